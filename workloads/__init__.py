@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["market", "quality"]
+MODULES = ["market", "quality", "encoding", "anomaly"]
 
 
 def load():
