@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["market", "quality", "encoding", "anomaly"]
+MODULES = ["market", "quality", "encoding", "anomaly", "modeling"]
 
 
 def load():
