@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tabularium.functions.text import strip
 from tabularium.operators.profile import string_columns
-from tabularium.operators.quantiles import quantiles
+from tabularium.operators.quantiles import quantiles, with_overall
 from tabularium.session import stored
 
 MISSING = "None"
@@ -42,13 +42,15 @@ def impute_group_median(
 ) -> DataFrame:
     """Null ← training median of the row's group, else the global training median."""
     fitted = df.where(train).select(group, column)
-    overall = quantiles(fitted, [], column, {"m": 0.5}, rows_bound).select("m").scalar()
-    medians = stored(
-        quantiles(fitted, [group], column, {"_median": 0.5}, rows_bound)
-        .where(_c(group).isNotNull())
-        .select(group, "_median"),
+    fits = stored(
+        quantiles(
+            with_overall(fitted, group, column), ["overall", group], column, {"_median": 0.5},
+            rows_bound, costly=True,
+        ),
         "group-medians",
     )
+    overall = fits.where("overall").agg(F.max("_median")).scalar()
+    medians = fits.where(~F.col("overall") & _c(group).isNotNull()).select(group, "_median")
     joined = df.join(medians, group, "left")
     return joined.withColumn(column, F.coalesce(_c(column), "_median", overall)).select(*df.columns)
 

@@ -47,7 +47,8 @@ def run_history(runs: DataFrame) -> DataFrame:
     return runs.withColumn(
         "duration_ms",
         F.coalesce(
-            F.unix_millis("completed_at") - F.unix_millis("started_at"), F.lit(0).cast("bigint")
+            F.floor((F.unix_micros("completed_at") - F.unix_micros("started_at")) / 1000),
+            F.lit(0).cast("bigint"),
         ),
     ).withColumn("delta_ms", F.col("duration_ms") - F.lag("duration_ms").over(w))
 

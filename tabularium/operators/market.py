@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions.numeric import pct_over, sample_skewness, variation_pct
-from tabularium.operators.quantiles import quantiles, with_quantiles
+from tabularium.operators.quantiles import quantiles, with_overall
 from tabularium.session import stored
 from tabularium.vocabulary import MONTH_NAMES, R2_BANDS, STABLE_VARIATION_PCT
 
@@ -61,15 +61,20 @@ def group_stats(
     df: DataFrame, group: str, price: str, digits: int = 2, rows_bound: int | None = None
 ) -> DataFrame:
     """Median, mean, deviation, count and range of the price per group, highest median first."""
-    stats = df.groupBy(group).agg(
-        F.avg(price).alias("mean_price"),
-        F.stddev_samp(price).alias("std_price"),
-        F.count(price).alias("transaction_count"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-    )
-    medians = quantiles(df, [group], price, {"median_price": 0.5}, rows_bound)
-    joined = with_quantiles(stats, medians, [group])
+    joined = quantiles(
+        df,
+        [group],
+        price,
+        {"median_price": 0.5},
+        rows_bound,
+        extra={
+            "mean_price": F.avg(price),
+            "std_price": F.stddev_samp(price),
+            "min_price": F.min(price),
+            "max_price": F.max(price),
+        },
+        costly=True,
+    ).withColumnRenamed("n", "transaction_count")
 
     def money(c: str) -> Column:
         return F.round(F.coalesce(F.col(c), F.lit(0.0)), digits).alias(c)
@@ -96,17 +101,22 @@ def group_volume(
 
 def market_kpis(df: DataFrame, price: str, rows_bound: int | None = None) -> DataFrame:
     """Median, mean, total, variation and the stable-market flag in one row."""
-    median = quantiles(df, [], price, {"m": 0.5}, rows_bound).select("m").scalar()
-    return df.agg(
-        F.avg(price).alias("mean_price"),
-        F.sum(price).alias("total_volume"),
-        F.count(price).alias("transactions"),
-        variation_pct(price).alias("cv_pct"),
+    return quantiles(
+        df,
+        [],
+        price,
+        {"median_price": 0.5},
+        rows_bound,
+        extra={
+            "mean_price": F.avg(price),
+            "total_volume": F.sum(price),
+            "cv_pct": variation_pct(price),
+        },
     ).select(
-        median.alias("median_price"),
+        "median_price",
         "mean_price",
         "total_volume",
-        "transactions",
+        F.col("n").alias("transactions"),
         "cv_pct",
         (F.col("cv_pct") < STABLE_VARIATION_PCT).alias("stable"),
     )
@@ -116,14 +126,23 @@ def top_group_premium(
     df: DataFrame, group: str, price: str, rows_bound: int | None = None
 ) -> DataFrame:
     """The group with the highest median and its premium over the market median."""
-    market = quantiles(df, [], price, {"m": 0.5}, rows_bound).select("m").scalar()
-    medians = quantiles(df, [group], price, {"median_price": 0.5}, rows_bound)
-    best = medians.orderBy(F.desc("median_price"), group).limit(1)
-    return best.select(
-        F.col(group).alias("top_group"),
-        F.col("median_price").alias("top_median"),
-        market.alias("market_median"),
-    ).withColumn("premium_pct", pct_over(F.col("top_median"), F.col("market_median")))
+    medians = quantiles(
+        with_overall(df, group, price), ["overall", group], price, {"m": 0.5},
+        rows_bound, costly=True,
+    )
+    own = ~F.col("overall")
+    return medians.agg(
+        F.max_by(
+            F.struct(F.col(group).alias("g"), F.col("m").alias("m")),
+            F.when(own, F.struct("m", F.col(group))),
+        ).alias("best"),
+        F.max(F.when(F.col("overall"), F.col("m"))).alias("market_median"),
+    ).select(
+        F.col("best.g").alias("top_group"),
+        F.col("best.m").alias("top_median"),
+        "market_median",
+        pct_over(F.col("best.m"), F.col("market_median")).alias("premium_pct"),
+    )
 
 
 def segment_of(col: Column, segments: Mapping[str, Sequence[str]]) -> Column:
@@ -145,18 +164,18 @@ def market_segments(
     labelled = df.withColumn("segment", segment_of(F.col(group), segments)).where(
         F.col("segment").isNotNull()
     )
-    stats = labelled.groupBy("segment").agg(
-        (F.sum(price) / 1e6).alias("volume_m"), F.count(price).alias("units")
+    q = quantiles(
+        labelled, ["segment"], price, {"median_price": 0.5}, rows_bound,
+        extra={"volume_m": F.sum(price) / 1e6}, costly=True,
     )
-    medians = quantiles(labelled, ["segment"], price, {"median_price": 0.5}, rows_bound)
-    return with_quantiles(stats, medians, ["segment"])
+    return q.select("segment", "volume_m", F.col("n").alias("units"), "median_price")
 
 
 def yearly_trend(
     df: DataFrame, year: str, price: str, rows_bound: int | None = None
 ) -> DataFrame:
     """Median price and count per year."""
-    q = quantiles(df, [year], price, {"median_price": 0.5}, rows_bound)
+    q = quantiles(df, [year], price, {"median_price": 0.5}, rows_bound, costly=True)
     return q.select(year, "median_price", F.col("n").alias("transactions"))
 
 
@@ -216,7 +235,7 @@ def box_summary(
 ) -> DataFrame:
     """Five-number summary, 1.5 IQR fences and outlier count per group, by descending median."""
     probs = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}
-    q = stored(quantiles(df, [group], price, probs, rows_bound), "box")
+    q = stored(quantiles(df, [group], price, probs, rows_bound, costly=True), "box").drop("n")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = q.withColumn("low_fence", F.col("q1") - reach).withColumn(
         "high_fence", F.col("q3") + reach

@@ -33,24 +33,41 @@ def quantiles(
     value: str,
     probs: dict[str, float],
     rows_bound: int | None = None,
+    extra: dict[str, Column] | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group: keys, ``n`` and one column per name.
 
     ``rows_bound`` is a proven upper bound on the rows of any group (for example the row count
-    of the scanned fact table, which parquet footers answer without a scan).
+    of the scanned fact table, which parquet footers answer without a scan). ``extra`` are
+    named aggregates over ``value`` that ride along in the same pass. ``costly`` marks an
+    input (a join) that should be written once rather than computed for both passes.
     """
-    present = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    present = df.select(*keys, F.col(f"`{value}`").cast("double").alias(value)).where(
+        F.col(f"`{value}`").isNotNull()
+    )
+    extra = extra or {}
+    riders = [c.alias(k) for k, c in extra.items()]
     if rows_bound is not None and rows_bound <= BUFFERED_ROWS:
         names = list(probs)
         wanted = F.array(*[F.lit(float(probs[k])) for k in names])
         agg = present.groupBy(*keys).agg(
-            F.count("*").alias("n"), F.percentile("_v", wanted).alias("_q")
+            F.count("*").alias("n"), F.percentile(value, wanted).alias("_q"), *riders
         )
-        return agg.select(*keys, "n", *[F.col("_q")[i].alias(k) for i, k in enumerate(names)])
-    return _bracketed(present, list(keys), probs)
+        picked = [F.col("_q")[i].alias(k) for i, k in enumerate(names)]
+        return agg.select(*keys, "n", *picked, *extra)
+    if costly:
+        present = stored(present, "quantile-input")
+    return _bracketed(present, list(keys), value, probs, extra)
 
 
-def _bracketed(present: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+def _bracketed(
+    present: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: dict[str, float],
+    extra: dict[str, Column],
+) -> DataFrame:
     names = sorted(probs, key=lambda k: probs[k])
     margin = 4.0 / ACCURACY
     edges: list[float] = []
@@ -58,11 +75,13 @@ def _bracketed(present: DataFrame, keys: list[str], probs: dict[str, float]) ->
         edges += [max(probs[name] - margin, 0.0), min(probs[name] + margin, 1.0)]
     sketch = present.groupBy(*keys).agg(
         F.count("*").alias("n"),
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("_cuts"),
+        F.percentile_approx(value, F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("_cuts"),
+        *[c.alias(k) for k, c in extra.items()],
     )
     sketch = stored(sketch, "quantile-brackets")
+    present = present.withColumnRenamed(value, "_v")
     if keys:
-        located = _null_safe_join(present, sketch, keys)
+        located = null_safe_join(present, sketch.select(*keys, "n", "_cuts"), keys)
     else:
         one = sketch.select(F.struct("n", "_cuts").alias("s")).scalar()
         located = present.select("_v", one["n"].alias("n"), one["_cuts"].alias("_cuts"))
@@ -115,10 +134,17 @@ def _bracketed(present: DataFrame, keys: list[str], probs: dict[str, float]) ->
         pos = F.lit(probs[name]) * (F.col("n") - 1)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         results.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*keys, "n", *results)
+    out = out.select(*keys, "n", *results)
+    if not extra:
+        return out
+    if not keys:
+        one = sketch.select(F.struct(*extra)).scalar()
+        return out.withColumns({k: one[k] for k in extra})
+    return null_safe_join(out, sketch.select(*keys, *extra), keys)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys where two nulls are equal."""
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
@@ -126,6 +152,14 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_quantiles(stats: DataFrame, quants: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach quantile columns to a per-group aggregate (both already one row per group)."""
-    return _null_safe_join(stats, quants.drop("n"), list(keys))
+def with_overall(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Every row under its own group and once more under the whole table (``overall`` = true).
+
+    Lets one pass produce the statistics of the groups and of the table.
+    """
+    kind = dict(df.dtypes)[group]
+    both = F.array(
+        F.struct(F.lit(False).alias("overall"), F.col(group).alias(group)),
+        F.struct(F.lit(True).alias("overall"), F.lit(None).cast(kind).alias(group)),
+    )
+    return df.select(F.explode(both).alias("g"), value).select("g.*", value)

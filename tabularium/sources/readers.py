@@ -80,27 +80,29 @@ def require_shape(df: DataFrame, rows: int, cols: int) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole ``*.txt`` files of the newest sub-folder (by name): title, content, modified."""
+    """Whole text files of the newest run folder: run, title, content, modified.
+
+    Files lie at ``folder/<run>/<title>.txt``.
+    """
+    parts = F.split(F.col("_metadata.file_path"), "/")
     files = (
         spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.txt")
         .text(folder)
         .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("file"),
-            F.col("_metadata.file_modification_time").alias("modified"),
+            F.element_at(parts, -2).alias("run"),
+            F.regexp_replace(F.element_at(parts, -1), r"\.txt$", "").alias("title"),
             F.col("value").alias("content"),
+            F.col("_metadata.file_modification_time").alias("modified"),
         )
-        .withColumn("run", F.element_at(F.split("path", "/"), -2))
-    )
-    newest = files.agg(F.max("run").alias("m")).scalar()
-    return files.where(F.col("run") == newest).select(
-        "run",
-        F.regexp_replace("file", r"\.txt$", "").alias("title"),
-        "content",
-        "modified",
     )
+    return newest(files, "run")
+
+
+def newest(df: DataFrame, run: str) -> DataFrame:
+    """Rows of the run that sorts last."""
+    return df.where(F.col(run) == df.agg(F.max(run)).scalar())
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType) -> DataFrame:

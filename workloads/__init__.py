@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["market", "quality", "encoding", "anomaly", "modeling"]
+MODULES = ["market", "quality", "encoding", "anomaly", "modeling", "retrieval", "streaming", "sources"]
 
 
 def load():
