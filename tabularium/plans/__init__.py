@@ -1 +1 @@
-"""Plans of the library."""
+"""End-to-end plans composed of the operators."""
