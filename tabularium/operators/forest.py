@@ -79,7 +79,7 @@ def fit_forest(
 ) -> DataFrame:
     """Stored node table of the forest; one task group per tree, each over one bounded sample."""
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         x = np.vstack(pdf.sort_values("pos")["x"].to_numpy())
         rng = np.random.default_rng([seed, tree])

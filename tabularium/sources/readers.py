@@ -86,10 +86,9 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     parts = F.split(F.col("_metadata.file_path"), "/")
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.txt")
-        .text(folder)
+        .text(folder, wholetext=True)
         .select(
             F.element_at(parts, -2).alias("run"),
             F.regexp_replace(F.element_at(parts, -1), r"\.txt$", "").alias("title"),
