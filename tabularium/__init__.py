@@ -2,4 +2,11 @@
 cleaning, encoding, anomaly detection, price modelling, market analytics, batch text
 retrieval and event monitoring."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions sent to Python workers travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

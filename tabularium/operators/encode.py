@@ -48,26 +48,25 @@ def fit_target(train: DataFrame, columns: Sequence[str], target: str) -> DataFra
     """Stored table (column, category, encoding, global_mean) for all columns in one scan.
 
     Categories are combined before the shuffle, so a category with a third of the rows costs
-    one row per task. The row with a null category carries the global mean for unseen values.
+    one row per task. Rows with a null category count in the global mean only.
     """
     t = _c(target).cast("double")
     pairs = [F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("category")) for c in columns]
-    stats = stored(
+    stats = (
         train.select(t.alias("_t"), F.explode(F.array(*pairs)).alias("p"))
         .select("_t", "p.*")
         .groupBy("column", "category")
-        .agg(F.count("_t").alias("n"), F.sum("_t").alias("s")),
-        "target-stats",
-    )
-    overall = (
-        stats.where(F.col("column") == columns[0]).agg(F.sum("s") / F.sum("n")).scalar()
+        .agg(F.count("_t").alias("n"), F.sum("_t").alias("s"))
     )
+    overall = train.agg(F.sum(t) / F.count(t)).scalar()
     w = smoothing_weight(F.col("n"))
-    return stats.where(F.col("category").isNotNull() & (F.col("n") > 0)).select(
-        "column",
-        "category",
-        (w * (F.col("s") / F.col("n")) + (1 - w) * overall).alias("encoding"),
-        overall.alias("global_mean"),
+    encoding = w * (F.col("s") / F.col("n")) + (1 - w) * F.col("global_mean")
+    fitted = stats.withColumn("global_mean", overall).where(
+        F.col("category").isNotNull() & (F.col("n") > 0)
+    )
+    return stored(
+        fitted.select("column", "category", encoding.alias("encoding"), "global_mean"),
+        "target-encoding",
     )
 
 
@@ -242,8 +241,6 @@ def fit(
     rows = df.where(train)
     te = [c for c in spec.target_encoded if c in df.columns]
     targets = fit_target(rows, te, spec.target) if te else None
-    if targets is not None:
-        targets = stored(targets, "target-encoding")
     categories = fit_categories(rows, [c for c in spec.one_hot if c in df.columns])
     encoded = _encode(rows, spec, targets, categories)
     hot = {f"{c}_{v}" for c, vs in categories.items() for v in vs[1:]}

@@ -106,7 +106,8 @@ def fit_forest(
             nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "path"]
         )
 
-    samples = draw_samples(df, features, trees, sample, seed)
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    samples = draw_samples(df, features, trees, sample, seed).repartition(tasks, "tree")
     return stored(samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA), "forest-nodes")
 
 
@@ -119,20 +120,18 @@ def raw_scores(
     shipped to the executors once as a broadcast variable.
     """
     pdf = nodes.orderBy("tree", "node").toPandas()
+    leaf = pdf["feature"] < 0
+    # A leaf points to itself, so every row can walk the same number of steps.
+    pdf["left"], pdf["right"] = pdf["left"].mask(leaf, pdf["node"]), pdf["right"].mask(leaf, pdf["node"])
+    pdf["threshold"] = pdf["threshold"].mask(leaf, np.inf)
+    pdf["feature"] = pdf["feature"].clip(lower=0)
+    columns = ["feature", "threshold", "left", "right", "path"]
     trees = [
-        {
-            "feature": g["feature"].to_numpy(),
-            "threshold": g["threshold"].to_numpy(),
-            "left": g["left"].to_numpy(),
-            "right": g["right"].to_numpy(),
-            "path": g["path"].to_numpy(),
-        }
-        for _, g in pdf.groupby("tree", sort=True)
+        tuple(g[c].to_numpy() for c in columns) for _, g in pdf.groupby("tree", sort=True)
     ]
-    leaves = max(int((t["feature"] < 0).sum()) for t in trees)
     shipped = df.sparkSession.sparkContext.broadcast(trees)
     scale = average_path(min(sample, df.count())) or 1.0
-    depth = math.ceil(math.log2(max(leaves, 2))) + math.ceil(math.log2(sample)) + 1
+    steps = math.ceil(math.log2(max(sample, 2)))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -142,18 +141,14 @@ def raw_scores(
                 yield pd.Series([], dtype="float64")
                 continue
             x = np.vstack(series.to_numpy())
-            rows = np.arange(len(x))
+            flat, base = x.ravel(), np.arange(len(x)) * x.shape[1]
             total = np.zeros(len(x))
-            for t in forest:
+            for feature, threshold, left, right, path in forest:
                 at = np.zeros(len(x), dtype=np.int64)
-                for _ in range(depth):
-                    f = t["feature"][at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    low = x[rows, np.where(inner, f, 0)] <= t["threshold"][at]
-                    at = np.where(inner, np.where(low, t["left"][at], t["right"][at]), at)
-                total += t["path"][at]
+                for _ in range(steps):
+                    low = flat[base + feature[at]] <= threshold[at]
+                    at = np.where(low, left[at], right[at])
+                total += path[at]
             yield pd.Series(-np.exp2(-(total / len(forest)) / scale))
 
     return df.withColumn("raw_score", score(_vector(features)))

@@ -42,15 +42,28 @@ def latest_n(df: DataFrame, order: list, n: int) -> DataFrame:
 
 
 def run_history(runs: DataFrame) -> DataFrame:
-    """Runs with their duration and the change against the previous run of the same owner."""
-    w = Window.partitionBy("owner").orderBy("started_at", "run_id")
-    return runs.withColumn(
-        "duration_ms",
-        F.coalesce(
-            F.floor((F.unix_micros("completed_at") - F.unix_micros("started_at")) / 1000),
-            F.lit(0).cast("bigint"),
-        ),
-    ).withColumn("delta_ms", F.col("duration_ms") - F.lag("duration_ms").over(w))
+    """Runs with their duration and the change against the previous run of the same owner.
+
+    The previous run is looked up by owner and month: within the month by a window, for the
+    first run of a month from the last run of the owner's month before. So an owner with very
+    many runs is not sorted by one task.
+    """
+    took = F.floor((F.unix_micros("completed_at") - F.unix_micros("started_at")) / 1000)
+    timed = runs.withColumn("duration_ms", F.coalesce(took, F.lit(0).cast("bigint"))).withColumn(
+        "_month", F.date_trunc("month", "started_at")
+    )
+    months = timed.groupBy("owner", "_month").agg(
+        F.max_by("duration_ms", F.struct("started_at", "run_id")).alias("_last")
+    )
+    by_month = Window.partitionBy("owner").orderBy("_month")
+    before = months.select("owner", "_month", F.lag("_last").over(by_month).alias("_before"))
+    inside = Window.partitionBy("owner", "_month").orderBy("started_at", "run_id")
+    previous = F.coalesce(F.lag("duration_ms").over(inside), F.col("_before"))
+    return (
+        timed.join(before, ["owner", "_month"])
+        .withColumn("delta_ms", F.col("duration_ms") - previous)
+        .drop("_month", "_before")
+    )
 
 
 def latest_metrics(runs: DataFrame, models: DataFrame, anomalies: DataFrame) -> DataFrame:

@@ -51,16 +51,16 @@ def nearest(
 
 
 def _scores(qv: np.ndarray, dv: np.ndarray, metric: str) -> np.ndarray:
-    """queries × docs score matrix."""
+    """queries × docs score matrix, at 9 digits so that copies of a vector tie."""
     if metric == "cosine":
         qn = qv / (np.linalg.norm(qv, axis=1, keepdims=True) + 1e-10)
         dn = dv / (np.linalg.norm(dv, axis=1, keepdims=True) + 1e-10)
-        return qn @ dn.T
+        return np.round(qn @ dn.T, 9)
     sq = (qv**2).sum(axis=1)[:, None] + (dv**2).sum(axis=1)[None, :] - 2 * qv @ dv.T
-    return -np.sqrt(np.maximum(sq, 0.0))
+    return np.round(-np.sqrt(np.maximum(sq, 0.0)), 9)
 
 
-def _keep(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def keep_best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Best k columns of every row, ties to the smaller id."""
     order = np.lexsort((ids, -scores), axis=1)[:, :k]
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
@@ -85,7 +85,7 @@ def _shipped(docs: DataFrame, head: pd.DataFrame, k: int, metric: str) -> DataFr
             dd = np.broadcast_to(d, s.shape)
             if best_s is not None:
                 s, dd = np.hstack([best_s, s]), np.hstack([best_d, dd])
-            best_s, best_d = _keep(s, dd, k)
+            best_s, best_d = keep_best(s, dd, k)
         if best_s is not None:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -113,7 +113,7 @@ def _grid(docs: DataFrame, asks: DataFrame, k: int, metric: str) -> DataFrame:
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({"q": [], "d": [], "score": []})
         s = _scores(np.vstack(a["v"].to_numpy()), np.vstack(b["v"].to_numpy()), metric)
-        s, d = _keep(s, np.broadcast_to(b["d"].to_numpy(), s.shape), k)
+        s, d = keep_best(s, np.broadcast_to(b["d"].to_numpy(), s.shape), k)
         return pd.DataFrame(
             {"q": np.repeat(a["q"].to_numpy(), s.shape[1]), "d": d.ravel(), "score": s.ravel()}
         )

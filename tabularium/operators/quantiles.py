@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tabularium.session import stored
 
-BUFFERED_ROWS = 2_000_000
+BUFFERED_ROWS = 1_000_000
 ACCURACY = 20_000
 
 

@@ -5,22 +5,28 @@ Questions arrive as a table; every operator works on all of them at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.text import tokens
 from tabularium.functions.vectors import cosine
 from tabularium.operators.intents import classify, route
-from tabularium.operators.nearest import nearest
+from tabularium.operators.nearest import keep_best, nearest
 from tabularium.session import stored
 from tabularium.sources.registry import top_per
 from tabularium.vocabulary import BM25_B, BM25_K1, MMR_LAMBDA, RRF_K
 
 RANK_BLOCK = 1_000_000
+MATRIX_CELLS = 4_000_000
+JOINED_SPACE = 1_000
+SCANNED_QUERIES = 1_024
 
 
 def tokenise_corpus(corpus: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -69,44 +75,45 @@ def bm25(
 ) -> DataFrame:
     """(query_id, doc_id, score) of every document that shares a term with the query.
 
-    Repeated query terms count repeatedly. Only terms of the batch leave the scan; the query
-    side is a stored table, broadcast when its size allows. A document's terms are all in one
-    task, so partial sums are complete before the one shuffle.
+    Repeated query terms count repeatedly. The query side is a stored table, broadcast when its
+    size allows. A document's terms are all in one task, so partial sums are complete before
+    the one shuffle, which carries the result rows.
     """
-    asked = stored(
-        queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
-        .groupBy("query_id", "term")
-        .agg(F.count("*").alias("qtf")),
-        "query-terms",
-    )
-    corpus = tokenised.agg(
-        F.struct(F.count("*").cast("double").alias("n"), F.avg("dl").alias("avgdl"))
-    ).scalar()
-    postings = term_counts(tokenised).join(asked.select("term").distinct(), "term", "left_semi")
-    df_ = F.col("df")
-    weights = stored(
-        postings.groupBy("term")
-        .agg(F.count("*").alias("df"))
-        .select("term", F.log(1 + (corpus["n"] - df_ + 0.5) / (df_ + 0.5)).alias("idf"))
-        .join(asked, "term"),
-        "query-weights",
-    )
+    corpus = _corpus_size(tokenised)
+    weights = _query_weights(tokenised, queries, query_id, text, corpus)
     tf = F.col("tf")
     part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * (F.col("dl") / corpus["avgdl"])))
     return (
         term_counts(tokenised)
         .join(weights, "term")
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("qtf") * F.col("idf") * part).alias("score"))
+        .agg(F.sum(F.col("w") * part).alias("score"))
     )
 
 
 def bm25_topn(
     tokenised: DataFrame, queries: DataFrame, query_id: str, text: str, n: int
 ) -> DataFrame:
-    """The ``n`` best positive scores per query; a query without words gets the first documents."""
-    scored = bm25(tokenised, queries, query_id, text).where(F.col("score") > 0)
-    best = top_per(scored, ["query_id"], [F.desc("score"), "doc_id"], n)
+    """The ``n`` best positive scores per query; a query without words gets the first documents.
+
+    Scores are compared at 9 digits, so copies of a document tie and the smaller id wins. A
+    batch whose query × term matrix is small is scored inside the scan: every task keeps its
+    own best ``n`` per query and no (query, document) pairs are shuffled. Larger batches, or
+    documents without integer ids, go through the relational ``bm25``.
+    """
+    shape = (
+        queries.select(F.col(query_id).alias("q"), F.explode(tokens(F.col(text))).alias("t"))
+        .agg(F.count_distinct("q").alias("q"), F.count_distinct("t").alias("t"))
+        .first()
+    )
+    integer_ids = dict(tokenised.dtypes)["doc_id"] in ("int", "bigint")
+    if integer_ids and shape["q"] * shape["t"] <= MATRIX_CELLS:
+        scored = _scan_scores(tokenised, queries, query_id, text, n)
+    else:
+        scored = bm25(tokenised, queries, query_id, text).withColumn("score", F.round("score", 9))
+    best = top_per(
+        scored.where(F.col("score") > 0), ["query_id"], [F.desc("score"), "doc_id"], n
+    )
     wordless = queries.where(F.size(tokens(F.coalesce(F.col(text), F.lit("")))) == 0)
     first = tokenised.orderBy("doc_id").limit(n).select("doc_id")
     listed = first.agg(F.array_sort(F.collect_list("doc_id"))).scalar()
@@ -116,6 +123,84 @@ def bm25_topn(
     return best.select("query_id", "doc_id", "score", "rank").unionByName(fallback)
 
 
+def _query_weights(
+    tokenised: DataFrame, queries: DataFrame, query_id: str, text: str, corpus: Column
+) -> DataFrame:
+    """Stored (query_id, term, w): idf times the count of the term in the query."""
+    asked = stored(
+        queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
+        .groupBy("query_id", "term")
+        .agg(F.count("*").alias("qtf")),
+        "query-terms",
+    )
+    df_ = F.col("df")
+    frequencies = (
+        tokenised.select(F.explode(F.array_distinct("toks")).alias("term"))
+        .join(asked.select("term").distinct(), "term", "left_semi")
+        .groupBy("term")
+        .agg(F.count("*").alias("df"))
+    )
+    idf = F.log(1 + (corpus["n"] - df_ + 0.5) / (df_ + 0.5))
+    weights = frequencies.select("term", idf.alias("idf")).join(asked, "term")
+    return stored(
+        weights.select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("w")), "query-weights"
+    )
+
+
+def _corpus_size(tokenised: DataFrame) -> Column:
+    return tokenised.agg(
+        F.struct(F.count("*").cast("double").alias("n"), F.avg("dl").alias("avgdl"))
+    ).scalar()
+
+
+def _scan_scores(
+    tokenised: DataFrame, queries: DataFrame, query_id: str, text: str, n: int
+) -> DataFrame:
+    """Best ``n`` (query_id, doc_id, score) per query and task; the weight matrix is shipped."""
+    weights = _query_weights(tokenised, queries, query_id, text, _corpus_size(tokenised)).toPandas()
+    avgdl = tokenised.agg(F.avg("dl")).first()[0] or 1.0
+    ids, q_at = np.unique(weights["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
+    terms, t_at = np.unique(weights["term"].to_numpy(dtype=str), return_inverse=True)
+    matrix = np.zeros((len(ids), len(terms)))
+    matrix[q_at, t_at] = weights["w"].to_numpy()
+    shipped = tokenised.sparkSession.sparkContext.broadcast((ids, terms.tolist(), matrix))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, known, w = shipped.value
+        vocabulary = pa.array(known, pa.string())
+        best_s = best_d = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                size = part.num_rows
+                lists = part.column(2)
+                row = pc.list_parent_indices(lists).to_numpy()
+                term = pc.index_in(pc.list_flatten(lists).cast(pa.string()), vocabulary)
+                hit = pc.is_valid(term).to_numpy(zero_copy_only=False)
+                term = pc.fill_null(term, 0).to_numpy()[hit].astype(np.int64)
+                tf = np.bincount(term * size + row[hit], minlength=len(known) * size)
+                tf = tf.reshape(len(known), size).astype(float)
+                dl = part.column(1).to_numpy(zero_copy_only=False)
+                length = BM25_K1 * (1 - BM25_B + BM25_B * dl / avgdl)
+                s = np.round(w @ (tf * (BM25_K1 + 1) / (tf + length[None, :])), 9)
+                d = np.broadcast_to(part.column(0).to_numpy(zero_copy_only=False), s.shape)
+                if best_s is not None:
+                    s, d = np.hstack([best_s, s]), np.hstack([best_d, d])
+                best_s, best_d = keep_best(s, d, n)
+        if best_s is not None and len(qids):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(qids, best_s.shape[1])),
+                    pa.array(best_d.ravel()),
+                    pa.array(best_s.ravel()),
+                ],
+                names=["query_id", "doc_id", "score"],
+            )
+
+    docs = tokenised.select(F.col("doc_id").cast("bigint").alias("doc_id"), "dl", "toks")
+    return docs.mapInArrow(scan, "query_id bigint, doc_id bigint, score double")
+
+
 def dense_topk(
     corpus: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", query_id: str = "query_id"
 ) -> DataFrame:
@@ -179,9 +264,9 @@ def mmr(
 
     ``candidates`` holds query_id, doc_id, merged_rank, embedding and query_vector, and should
     be a stored table, since each round reads it. A round scores every candidate against the
-    picks so far and takes the best per query by one map-side combined aggregation, so a query
-    may have any number of candidates. A query with at most ``k`` candidates keeps them all in
-    merged order.
+    picks so far and takes the best per query by one map-side combined aggregation; the next
+    round joins those picks, one short row per query. A query with at most ``k`` candidates
+    keeps them all in merged order.
     """
     counts = candidates.groupBy("query_id").agg(F.count("*").alias("_n"))
     sized = candidates.join(counts, "query_id")
@@ -202,9 +287,7 @@ def mmr(
     picked = many.withColumn("_s", F.col("relevance")).groupBy("query_id").agg(
         F.array(F.max_by(chosen, order)).alias("picks")
     )
-    for i in range(1, k):
-        # Picks are one short row per query; writing them keeps each round's plan flat.
-        picked = stored(picked, f"mmr-round{i}")
+    for _ in range(1, k):
         open_ = many.join(picked, "query_id").where(
             ~F.exists("picks", lambda p: p["doc_id"] == F.col("doc_id"))
         )
@@ -232,7 +315,8 @@ def hybrid_retrieve(
     ``queries``: query_id, text, embedding. ``corpus``: doc_id (integer), title, content,
     embedding. ``namespaces``: intent, title. Confident queries take their namespace only;
     the others fuse dense and BM25 lists (namespace documents first in the dense list) and
-    are diversified.
+    are diversified. The documents of a large namespace are never paired with its queries:
+    they are scanned by ``mmr_scan``.
     """
     first = top_k * 4
     asked = stored(route(classify(queries, "text")), "routed-queries")
@@ -242,30 +326,168 @@ def hybrid_retrieve(
         ),
         "namespace-positions",
     )
-    has_space = spaces.select("intent").distinct().withColumn("_space", F.lit(True))
-    asked = asked.join(has_space, "intent", "left").withColumn(
-        "route", F.when(F.col("_space"), F.col("route")).otherwise("open")
-    ).drop("_space")
+    sizes = spaces.groupBy("intent").agg(F.count("*").alias("_space"))
+    asked = asked.join(sizes, "intent", "left").withColumn(
+        "route", F.when(F.col("_space").isNotNull(), F.col("route")).otherwise("open")
+    )
 
-    bypass = asked.where(F.col("route") == "bypass").join(spaces, "intent").where(F.col("rank") <= top_k)
+    top = spaces.where(F.col("rank") <= top_k)
+    bypass = asked.where(F.col("route") == "bypass").join(top, "intent")
     bypass = bypass.select("query_id", "doc_id", F.col("rank").cast("int").alias("pick"))
 
     rest = stored(asked.where(F.col("route") != "bypass"), "open-queries")
     dense = dense_topk(corpus, rest, first).select("query_id", "doc_id", "rank")
-    preferred = rest.where(F.col("route") == "blend").join(spaces, "intent").select(
+    words = bm25_topn(tokenise_corpus(corpus, "doc_id", "content"), rest, "query_id", "text", first)
+    found = stored(
+        dense.withColumn("source", F.lit("dense")).unionByName(
+            words.select("query_id", "doc_id", "rank").withColumn("source", F.lit("words"))
+        ),
+        "found-lists",
+    )
+    dense = found.where(F.col("source") == "dense").drop("source")
+    words = found.where(F.col("source") == "words").drop("source")
+
+    large = (F.col("route") == "blend") & (F.col("_space") > JOINED_SPACE)
+    listed, scanned = rest.where(~large), rest.where(large)
+    preferred = listed.where(F.col("route") == "blend").join(spaces, "intent").select(
         "query_id", "doc_id", "rank"
     )
-    words = bm25_topn(tokenise_corpus(corpus, "doc_id", "content"), rest, "query_id", "text", first)
-    fused = reciprocal_rank_fusion([priority_union(preferred, dense), words])
+    own = listed.select("query_id")
+    fused = reciprocal_rank_fusion(
+        [
+            priority_union(preferred, dense.join(own, "query_id", "left_semi")),
+            words.join(own, "query_id", "left_semi"),
+        ]
+    )
     candidates = (
         fused.withColumn("merged_rank", -F.col("rrf"))
         .join(corpus.select("doc_id", "embedding"), "doc_id")
-        .join(rest.select("query_id", F.col("embedding").alias("query_vector")), "query_id")
+        .join(listed.select("query_id", F.col("embedding").alias("query_vector")), "query_id")
     )
     chosen = mmr(stored(candidates, "hybrid-candidates"), top_k).unionByName(bypass)
+    if not scanned.isEmpty():
+        chosen = chosen.unionByName(_scan_large(scanned, corpus, spaces, dense, words, top_k))
     return asked.select("query_id", "intent", "confidence", "route").join(chosen, "query_id")
 
 
+def _scan_large(
+    queries: DataFrame, corpus: DataFrame, spaces: DataFrame, dense: DataFrame, words: DataFrame,
+    top_k: int,
+) -> DataFrame:
+    """Selection for queries of large namespaces, a bounded block of queries at a time."""
+    blocks = math.ceil(queries.count() / SCANNED_QUERIES)
+    out = None
+    for block in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        out_block = mmr_scan(part, corpus, spaces, dense, words, top_k)
+        out = out_block if out is None else out.unionByName(out_block)
+    return out
+
+
+def mmr_scan(
+    queries: DataFrame, corpus: DataFrame, spaces: DataFrame, dense: DataFrame, words: DataFrame,
+    k: int, weight: float = MMR_LAMBDA,
+) -> DataFrame:
+    """Greedy diverse selection of a bounded query batch over whole namespaces.
+
+    Candidates of a query are all documents of its namespace plus its own short lists. Each of
+    the ``k`` rounds scans the documents once; a task returns its best candidate per query, so
+    what is shuffled and collected is one row per query and task, whatever the namespace size.
+    Ties go to the better fused score, then the smaller id. Namespaces have more than ``k``
+    documents here.
+    """
+    keys = queries.select("query_id")
+    lists = (
+        dense.withColumn("kind", F.lit(0)).unionByName(words.withColumn("kind", F.lit(1)))
+        .join(keys, "query_id", "left_semi")
+    )
+    asked = {
+        int(r["query_id"]): {
+            "intent": r["intent"], "space": int(r["_space"]), "v": _unit(np.array(r["embedding"], float)),
+            "dense": [], "words": {}, "picks": [], "vectors": [],
+        }
+        for r in queries.select("query_id", "intent", "_space", "embedding").collect()
+    }
+    for r in lists.orderBy("kind", "rank").collect():
+        own = asked[int(r["query_id"])]
+        if r["kind"] == 0:
+            own["dense"].append(int(r["doc_id"]))
+        else:
+            own["words"][int(r["doc_id"])] = int(r["rank"])
+    intents_ = sorted({q["intent"] for q in asked.values()})
+    named = spaces.where(F.col("intent").isin(*intents_)).groupBy("doc_id").agg(
+        F.collect_list(F.struct("intent", "rank")).alias("spaces")
+    )
+    docs = stored(
+        corpus.select("doc_id", F.col("embedding").cast("array<double>").alias("v"))
+        .join(named, "doc_id", "left")
+        .join(lists.select("doc_id").distinct().withColumn("listed", F.lit(True)), "doc_id", "left")
+        .where(F.col("spaces").isNotNull() | F.col("listed"))
+        .select("doc_id", "v", "spaces"),
+        "scan-documents",
+    )
+    # A listed document outside the namespace ranks behind it, in list order.
+    members = {
+        (int(r["doc_id"]), s["intent"])
+        for r in docs.join(lists.select("doc_id").distinct(), "doc_id", "left_semi").collect()
+        for s in (r["spaces"] or [])
+    }
+    for q in asked.values():
+        outside = [d for d in q.pop("dense") if (d, q["intent"]) not in members]
+        q["rank"] = {d: q["space"] + i + 1 for i, d in enumerate(outside)}
+
+    spark = queries.sparkSession
+    for _ in range(k):
+        shipped = spark.sparkContext.broadcast(asked)
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[int, tuple] = {}
+            for pdf in batches:
+                if len(pdf) == 0:
+                    continue
+                ids = pdf["doc_id"].to_numpy()
+                unit = _unit(np.vstack(pdf["v"].to_numpy()))
+                for qid, q in shipped.value.items():
+                    rank, word = q["rank"], q["words"]
+                    place = np.full(len(ids), np.inf)
+                    fused = np.full(len(ids), -1.0)
+                    for i, spaces_ in enumerate(pdf["spaces"]):
+                        d = int(ids[i])
+                        at = next((s["rank"] for s in spaces_ if s["intent"] == q["intent"]), None) if spaces_ is not None else None
+                        place[i] = at if at is not None else rank.get(d, np.inf)
+                        if d in word or np.isfinite(place[i]):
+                            extra = 1.0 / (RRF_K + word[d]) if d in word else 0.0
+                            fused[i] = 1.0 / (RRF_K + place[i]) + extra
+                    open_ = (fused >= 0) & ~np.isin(ids, q["picks"])
+                    if not open_.any():
+                        continue
+                    s = unit @ q["v"]
+                    if q["vectors"]:
+                        s = weight * s - (1 - weight) * (unit @ np.array(q["vectors"]).T).max(axis=1)
+                    s = np.where(open_, np.round(s, 12), -np.inf)
+                    top = np.lexsort((ids, -fused, -s))[0]
+                    found = (float(s[top]), float(fused[top]), -int(ids[top]), pdf["v"].iloc[top])
+                    if qid not in best or found[:3] > best[qid][:3]:
+                        best[qid] = found
+            rows = [(qid, -b[2], b[0], b[1], list(b[3])) for qid, b in best.items()]
+            yield pd.DataFrame(rows, columns=["query_id", "doc_id", "s", "r", "v"])
+
+        tops = docs.mapInPandas(
+            scan, "query_id bigint, doc_id bigint, s double, r double, v array<double>"
+        )
+        winner = F.max_by(F.struct("doc_id", "v"), F.struct("s", "r", -F.col("doc_id")))
+        for r in tops.groupBy("query_id").agg(winner.alias("w")).collect():
+            q = asked[int(r["query_id"])]
+            q["picks"].append(int(r["w"]["doc_id"]))
+            q["vectors"].append(_unit(np.array(r["w"]["v"], float)))
+    picked = [(qid, d, i + 1) for qid, q in asked.items() for i, d in enumerate(q["picks"])]
+    return spark.createDataFrame(picked, "query_id bigint, doc_id bigint, pick int")
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / (np.linalg.norm(v, axis=-1, keepdims=True) + 1e-10)
+
+
 def assemble_context(
     picks: DataFrame, chunks: DataFrame, live: DataFrame | None = None
 ) -> DataFrame:

@@ -78,22 +78,19 @@ def linear_attribution(
     df: DataFrame, coefs: Mapping[str, float], intercept: float, top: int = 8, logged: bool = True
 ) -> DataFrame:
     """Add ``top_features``: the largest contributions in price units, as (feature, impact)."""
-    price = unlog(linear(coefs, intercept)) if logged else F.lit(1.0)
+    priced = df.withColumn("_price", unlog(linear(coefs, intercept)) if logged else F.lit(1.0))
+    impacts = {n: phi * F.col("_price") for n, phi in contributions(coefs).items()}
     entries = F.array(
         *[
-            F.struct(
-                (-F.abs(phi * price)).alias("order"),
-                F.lit(n).alias("feature"),
-                (phi * price).alias("impact"),
-            )
-            for n, phi in contributions(coefs).items()
+            F.struct((-F.abs(i)).alias("order"), F.lit(n).alias("feature"), i.alias("impact"))
+            for n, i in impacts.items()
         ]
     )
-    best = F.slice(F.array_sort(entries), 1, top)
-    return df.withColumn(
-        "top_features",
-        F.transform(best, lambda e: F.struct(e["feature"].alias("feature"), e["impact"].alias("impact"))),
+    best = priced.withColumn("_best", F.slice(F.sort_array(entries), 1, top))
+    pairs = F.arrays_zip(
+        F.col("_best.feature").alias("feature"), F.col("_best.impact").alias("impact")
     )
+    return best.withColumn("top_features", pairs).drop("_price", "_best")
 
 
 def attribution_importance(

@@ -57,3 +57,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of a table with fewer files than the session has cores, dealt out by columns ``by``.
+
+    For work that is heavy per row: a table of one small file is otherwise read, and so
+    processed, by a single task. Tables of many files keep their scan partitions unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if len(df.inputFiles()) < cores else df

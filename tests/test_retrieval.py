@@ -61,7 +61,7 @@ def docs_df(spark):
     return spark.createDataFrame(list(DOCS.items()), "doc_id bigint, text string")
 
 
-def test_bm25(spark):
+def test_bm25(spark, monkeypatch):
     queries = ["XGBoost", "prices été prices", "nothing here"]
     toks = retrieval.tokenise_corpus(docs_df(spark), "doc_id", "text")
     got = retrieval.bm25(toks, ask(spark, queries), "query_id", "text").collect()
@@ -69,8 +69,12 @@ def test_bm25(spark):
     for q, text in enumerate(queries):
         for d, s in brute_bm25(text, DOCS).items():
             assert math.isclose(scores.get((q, d), 0.0), s, abs_tol=1e-9)
-    top = retrieval.bm25_topn(toks, ask(spark, queries), "query_id", "text", 1).collect()
-    assert {r["query_id"]: r["doc_id"] for r in top} == {0: 2, 1: 1}
+    for cells in (0, 10**6):
+        monkeypatch.setattr(retrieval, "MATRIX_CELLS", cells)
+        top = retrieval.bm25_topn(toks, ask(spark, queries), "query_id", "text", 1).collect()
+        assert {r["query_id"]: r["doc_id"] for r in top} == {0: 2, 1: 1}
+        want = brute_bm25(queries[1], DOCS)[1]
+        assert [round(r["score"], 6) for r in top if r["query_id"] == 1] == [round(want, 6)]
 
 
 def test_bm25_without_words_takes_first_documents(spark):
@@ -160,7 +164,10 @@ def small_corpus(spark):
     return df, texts, vecs, names
 
 
-def test_hybrid_equals_brute_force(spark):
+@pytest.mark.parametrize("joined,queries_per_block", [(1_000, 1_024), (0, 1_024), (0, 1)])
+def test_hybrid_equals_brute_force(spark, monkeypatch, joined, queries_per_block):
+    monkeypatch.setattr(retrieval, "JOINED_SPACE", joined)
+    monkeypatch.setattr(retrieval, "SCANNED_QUERIES", queries_per_block)
     corpus, texts, vecs, names = small_corpus(spark)
     asked = ["which year had the most home sales?", "unusual garage", "roof garage", "any outlier flag?"]
     rng = np.random.default_rng(11)

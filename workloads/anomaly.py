@@ -11,9 +11,9 @@ from workloads.base import query, rows, sales
 FEATURES = ["price", "l_quantity", "l_tax"]
 
 
-def planted(spark, d):
+def planted(spark, d, *parts):
     """Sales with extreme prices planted on some orders and a score from a fixed expression."""
-    s = sales(spark, d).withColumn(
+    s = sales(spark, d, *parts).withColumn(
         "price",
         F.when(F.col("l_orderkey") % 97 == 0, F.col("price") * 50).otherwise(F.col("price")),
     )
@@ -108,7 +108,7 @@ def flag_intersect(spark, d):
 def isolation_forest(spark, d):
     cols = ["l_orderkey", "l_linenumber", "price", "l_quantity", "l_tax"]
     out = forest.isolation_forest(
-        planted(spark, d).select(*cols), FEATURES, rows_bound=rows(spark, d, "lineitem")
+        planted(spark, d, "heavy").select(*cols), FEATURES, rows_bound=rows(spark, d, "lineitem")
     )
     return out.select(*cols, "iso_score", "iso_flag")
 

@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tabularium.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+SCHEMAS: dict[str, StructType] = {}  # read from a footer once per table, not once per query
+KEYS = {
+    "lineitem": ["l_orderkey", "l_partkey"],
+    "documents": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
+}
 
 
 def query(name: str, sql: str | None = None):
@@ -23,8 +32,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """One of the given tables; ``heavy`` spreads a single-file table for costly row work."""
+    path = f"{folder}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(SCHEMAS[path]).parquet(path)
+    return spread(df, *KEYS[name]) if heavy else df
 
 
 def rows(spark: SparkSession, folder: str, name: str) -> int:
@@ -35,9 +49,10 @@ def rows(spark: SparkSession, folder: str, name: str) -> int:
 def sales(spark: SparkSession, folder: str, *parts: str) -> DataFrame:
     """Line items as sales; ``parts`` names the dimensions a query needs.
 
-    "orders" adds the sale date, "hood" the customer's nation, "part" the product.
+    "orders" adds the sale date, "hood" the customer's nation, "part" the product; "heavy"
+    spreads the line items first.
     """
-    df = table(spark, folder, "lineitem").withColumnRenamed("l_extendedprice", "price")
+    df = table(spark, folder, "lineitem", "heavy" in parts).withColumnRenamed("l_extendedprice", "price")
     if "orders" in parts or "hood" in parts:
         orders = table(spark, folder, "orders")
         df = df.join(orders, df.l_orderkey == orders.o_orderkey)

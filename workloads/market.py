@@ -23,7 +23,7 @@ SELECT hood, round(median(price), 4) AS median_price, round(avg(price), 4) AS me
        round(min(price), 4) AS min_price, round(max(price), 4) AS max_price
 FROM sales GROUP BY hood""")
 def group_stats(spark, d):
-    return m.group_stats(sales(spark, d, "hood"), "hood", "price", 4, rows(spark, d, "lineitem"))
+    return m.group_stats(sales(spark, d, "hood", "heavy"), "hood", "price", 4, rows(spark, d, "lineitem"))
 
 
 @query("market_kpis", f"""WITH {SALES}
@@ -50,7 +50,7 @@ mk AS (SELECT median(price) AS md FROM sales)
 SELECT g.hood AS top_group, round(g.md, 4) AS top_median, round(mk.md, 4) AS market_median,
        round((g.md - mk.md) / mk.md * 100, 6) AS premium_pct FROM g, mk""")
 def top_group_premium(spark, d):
-    t = m.top_group_premium(sales(spark, d, "hood"), "hood", "price", rows(spark, d, "lineitem"))
+    t = m.top_group_premium(sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem"))
     return t.select(
         "top_group",
         F.round("top_median", 4).alias("top_median"),
@@ -70,7 +70,7 @@ SELECT segment, round(sum(price) / 1e6, 6) AS volume_m, count(price) AS units,
 FROM s WHERE segment IS NOT NULL GROUP BY segment""")
 def market_segments(spark, d):
     s = m.market_segments(
-        sales(spark, d, "hood"), "hood", "price", TIERS, rows(spark, d, "lineitem")
+        sales(spark, d, "hood", "heavy"), "hood", "price", TIERS, rows(spark, d, "lineitem")
     )
     return s.select(
         "segment",
@@ -87,14 +87,14 @@ SELECT hood, round(median(price), 4) AS median_price, round(avg(price), 4) AS me
 FROM sales GROUP BY hood)
 SELECT *, round(mean_price * transaction_count / 1e6, 4) AS volume_m FROM g""")
 def group_volume(spark, d):
-    return m.group_volume(sales(spark, d, "hood"), "hood", "price", rows(spark, d, "lineitem"))
+    return m.group_volume(sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem"))
 
 
 @query("yearly_trend", f"""WITH {SALES}
 SELECT yr, round(median(price), 4) AS median_price, count(price) AS transactions
 FROM sales GROUP BY yr""")
 def yearly_trend(spark, d):
-    t = m.yearly_trend(sales(spark, d, "orders"), "yr", "price", rows(spark, d, "lineitem"))
+    t = m.yearly_trend(sales(spark, d, "orders", "heavy"), "yr", "price", rows(spark, d, "lineitem"))
     return t.select("yr", F.round("median_price", 4).alias("median_price"), "transactions")
 
 
@@ -152,7 +152,9 @@ SELECT q.hood, round(any_value(q0), 6) AS q0, round(any_value(q1), 6) AS q1,
        count(*) FILTER (price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)) AS outliers
 FROM q JOIN sales USING (hood) GROUP BY q.hood""")
 def box_summary(spark, d):
-    b = m.box_summary(sales(spark, d, "hood"), "hood", "price")
+    b = m.box_summary(
+        sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem")
+    )
     nums = ["q0", "q1", "q2", "q3", "q4", "low_fence", "high_fence"]
     return b.select("hood", *[F.round(c, 6).alias(c) for c in nums], "outliers")
 
@@ -233,7 +235,7 @@ g AS (
 SELECT l_orderkey, l_linenumber, scenario, round(score, 4) AS score,
        round((score - md) / md * 100, 6) AS vs_median_pct FROM g, md""")
 def scenario_grid(spark, d):
-    base = sales(spark, d, "part").select(
+    base = sales(spark, d, "part", "heavy").select(
         "l_orderkey", "l_linenumber", "l_quantity", "p_size", "p_retailprice"
     )
     g = m.scenario_grid(

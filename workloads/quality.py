@@ -23,7 +23,7 @@ def train():
 
 
 def profiled(spark, d):
-    return gappy(sales(spark, d)).select(*PROFILED)
+    return gappy(sales(spark, d, "heavy")).select(*PROFILED)
 
 
 def _profile_sql() -> str:
@@ -186,7 +186,7 @@ SELECT l_orderkey, l_linenumber, gappy.hood, coalesce(qty, gm, am) AS qty
 FROM gappy LEFT JOIN g ON g.hood = gappy.hood, a""")
 def impute_group_median(spark, d):
     out = c.impute_group_median(
-        gappy(sales(spark, d, "hood")), "qty", "hood", train(), rows(spark, d, "lineitem")
+        gappy(sales(spark, d, "hood", "heavy")), "qty", "hood", train(), rows(spark, d, "lineitem")
     )
     return out.select("l_orderkey", "l_linenumber", "hood", "qty")
 

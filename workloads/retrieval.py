@@ -36,7 +36,7 @@ def quoted(s: str) -> str:
 @query("tokenize", f"""WITH t AS (SELECT doc_id, {TOKENS} AS toks FROM documents)
 SELECT doc_id, len(toks) AS n_tokens, md5(array_to_string(toks, ' ')) AS digest FROM t""")
 def tokenize(spark, d):
-    toks = table(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    toks = table(spark, d, "documents", heavy=True).select("doc_id", tx.tokens(F.col("text")).alias("t"))
     return toks.select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("digest")
     )
@@ -46,7 +46,7 @@ def tokenize(spark, d):
 SELECT doc_id, len(list_filter(toks, lambda w: NOT list_contains({STOP}, w))) AS n_content,
   md5(array_to_string(list_filter(toks, lambda w: NOT list_contains({STOP}, w)), ' ')) AS digest FROM t""")
 def content_words(spark, d):
-    toks = table(spark, d, "documents").select(
+    toks = table(spark, d, "documents", heavy=True).select(
         "doc_id", tx.content_tokens(tx.tokens(F.col("text"))).alias("t")
     )
     return toks.select(
@@ -61,7 +61,7 @@ SENTS = r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'),
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, md5(s[i]) AS digest
 FROM s, unnest(range(1, len(s) + 1)) AS u(i)""")
 def sentence_split(spark, d):
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents", heavy=True)
     s = docs.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence"))
     return s.select("doc_id", "pos", F.md5("sentence").alias("digest"))
 
@@ -95,7 +95,7 @@ SELECT doc_id, CAST(st // 462 AS INTEGER) AS chunk_index, len(w[st + 1 : st + 51
   md5(array_to_string(w[st + 1 : st + 512], ' ')) AS digest
 FROM w, unnest(range(0, len(w), 462)) AS u(st)""")
 def window_chunks(spark, d):
-    c = chunking.window_chunks(table(spark, d, "documents"), "doc_id", "text")
+    c = chunking.window_chunks(table(spark, d, "documents", heavy=True), "doc_id", "text")
     return c.select(
         "doc_id", "chunk_index", F.size(F.split("content", " ")).cast("bigint").alias("n_words"),
         F.md5("content").alias("digest"),
@@ -121,7 +121,7 @@ e AS (SELECT doc_id, pos, emitted AS c FROM f WHERE emitted IS NOT NULL
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS chunk_index,
   len(c) AS n_words, md5(array_to_string(c, ' ')) AS digest FROM e""")
 def chunk_documents(spark, d):
-    c = chunking.sentence_chunks(table(spark, d, "documents"), "doc_id", "source", "text")
+    c = chunking.sentence_chunks(table(spark, d, "documents", heavy=True), "doc_id", "source", "text")
     return c.select(
         "doc_id", "chunk_index", F.size(F.split("content", " ")).cast("bigint").alias("n_words"),
         F.md5("content").alias("digest"),
@@ -141,7 +141,7 @@ k AS (SELECT doc_id, count(*) AS kept, md5(string_agg(t, chr(10) ORDER BY pos))
 SELECT documents.doc_id, coalesce(kept, 0) AS kept, coalesce(digest, md5('')) AS digest
 FROM documents LEFT JOIN k ON k.doc_id = documents.doc_id""")
 def context_budget(spark, d):
-    docs = table(spark, d, "documents").select(
+    docs = table(spark, d, "documents", heavy=True).select(
         "doc_id", chunking.context_budget(tx.clean_sentences(F.col("text"))).alias("s")
     )
     return docs.select(
@@ -161,7 +161,7 @@ sc AS (SELECT item_id AS query_id, doc_id, sum(qtf * ln(1 + (n - df + 0.5) / (df
 
 
 def tokenised(spark, d):
-    return retrieval.tokenise_corpus(table(spark, d, "documents"), "doc_id", "text")
+    return retrieval.tokenise_corpus(table(spark, d, "documents", heavy=True), "doc_id", "text")
 
 
 @query("bm25_scores", BM25 + "SELECT query_id, doc_id, round(score, 6) AS score FROM sc")
@@ -171,7 +171,7 @@ def bm25_scores(spark, d):
 
 
 @query("bm25_topn", BM25 + """, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rk FROM sc WHERE score > 0)
-SELECT query_id, doc_id, round(score, 6) AS score, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 20""")
+SELECT query_id, doc_id, round(round(score, 9), 6) AS score, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 20""")
 def bm25_topn(spark, d):
     out = retrieval.bm25_topn(tokenised(spark, d), table(spark, d, "benchmark"), "item_id", "text", 20)
     return out.withColumn("score", F.round("score", 6))
@@ -193,11 +193,11 @@ CENTROIDS = """cen AS (SELECT label, list(x ORDER BY pos) AS v FROM (
       FROM embeddings) GROUP BY label, pos) GROUP BY label),
 ds AS (SELECT cen.label::BIGINT AS query_id, vec_id AS doc_id, list_cosine_similarity(v, embedding::DOUBLE[]) AS score
   FROM cen, embeddings),
-dk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM ds)"""
+dk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM ds)"""
 
 
 @query("dense_topk", f"""WITH {CENTROIDS}
-SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM dk WHERE rank <= 20""")
+SELECT query_id, doc_id, round(round(score, 9), 6) AS score, CAST(rank AS INTEGER) AS rank FROM dk WHERE rank <= 20""")
 def dense_topk(spark, d):
     out = retrieval.dense_topk(table(spark, d, "embeddings"), centroids(spark, d), 20, "vec_id")
     return out.select(
@@ -272,7 +272,7 @@ def mmr_rerank(spark, d):
 
 def corpus(spark, d):
     """Documents that have an embedding, titled by source."""
-    docs, e = table(spark, d, "documents"), table(spark, d, "embeddings")
+    docs, e = table(spark, d, "documents", heavy=True), table(spark, d, "embeddings")
     return docs.join(e, docs.doc_id == e.vec_id).select(
         "doc_id", F.col("source").alias("title"), F.col("text").alias("content"), "embedding"
     )
@@ -391,7 +391,7 @@ def citations(spark, d):
 
 def exchanges(spark, d):
     """Each user message with the next turn as its answer."""
-    c = table(spark, d, "conversations")
+    c = table(spark, d, "conversations", heavy=True)
     asks = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     answers = c.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
