@@ -7,10 +7,12 @@ can hold a third of a huge table. Beyond a proven bound the work is split in two
 1. a mergeable sketch per group gives, for each wanted quantile, a bracket of values that
    must contain it;
 2. values inside a bracket are counted one by one while everything between brackets collapses
-   to a single (count, min, max) row before the shuffle, and running counts then locate the
-   exact ranks.
+   to a single (count, min, max) row before the shuffle. Brackets are cut into blocks; running
+   counts over the blocks find those that hold a wanted rank, and running counts within these
+   find the value.
 
-Only bracket values ever cross the network, about ``8 / ACCURACY`` of the rows per quantile.
+Only bracket values ever cross the network, about ``8 / ACCURACY`` of the rows per quantile,
+and no task orders more than one block of a group.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from tabularium.session import stored
 
 BUFFERED_ROWS = 1_000_000
 ACCURACY = 20_000
+SLOTS = 1_000
 
 
 def quantiles(
@@ -87,19 +90,19 @@ def _bracketed(
         located = present.select("_v", one["n"].alias("n"), one["_cuts"].alias("_cuts"))
 
     v, cuts = F.col("_v"), F.col("_cuts")
-    inside = reduce(
-        lambda a, b: a | b,
-        [(v >= cuts[2 * i]) & (v <= cuts[2 * i + 1]) for i in range(len(names))],
-    )
-    passed = reduce(
-        lambda a, b: a + b,
-        [F.when(v > cuts[2 * i + 1], 1).otherwise(0) for i in range(len(names))],
-    )
+    block = F.lit(-1)
+    for i in range(len(names)):
+        # Beyond bracket i (so far): the gap that follows it.
+        block = F.when(v > cuts[2 * i + 1], F.lit(-2 - i)).otherwise(block)
+    for i in reversed(range(len(names))):
+        lo, hi = cuts[2 * i], cuts[2 * i + 1]
+        slot = F.coalesce(F.floor(F.try_divide((v - lo) * SLOTS, hi - lo)), F.lit(0))
+        slot = F.least(slot, F.lit(SLOTS - 1)) + i * SLOTS
+        block = F.when((v >= lo) & (v <= hi), slot).otherwise(block)
     cells = (
-        located.select(
-            *keys, "n", "_v", F.when(inside, v).alias("_own"), F.when(~inside, passed).alias("_gap")
-        )
-        .groupBy(*keys, "_own", "_gap")
+        located.select(*keys, "n", "_v", block.cast("bigint").alias("_block"))
+        .withColumn("_own", F.when(F.col("_block") >= 0, v))
+        .groupBy(*keys, "_block", "_own")
         .agg(
             F.max("n").alias("n"),
             F.count("*").alias("_c"),
@@ -107,9 +110,32 @@ def _bracketed(
             F.max("_v").alias("_hi"),
         )
     )
-    order = Window.partitionBy(*keys).orderBy("_lo") if keys else Window.orderBy("_lo")
-    end = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = cells.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
+    cells = stored(cells, "quantile-cells")  # small, and read twice
+
+    # Blocks are consecutive value ranges, at most SLOTS + 1 per quantile: their running count
+    # is cheap and names the few blocks that hold a wanted rank.
+    blocks = cells.groupBy(*keys, "_block").agg(
+        F.sum("_c").alias("_size"), F.min("_lo").alias("_from"), F.max("n").alias("_n")
+    )
+    order = Window.partitionBy(*keys).orderBy("_from") if keys else Window.orderBy("_from")
+    before = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
+    placed = blocks.withColumn("_before", before)
+    wanted = [
+        r(F.lit(probs[name]) * (F.col("_n") - 1)) for name in names for r in (F.floor, F.ceil)
+    ]
+    holds = reduce(
+        lambda a, b: a | b,
+        [(F.col("_before") <= w) & (w < F.col("_before") + F.col("_size")) for w in wanted],
+    )
+    needed = placed.where(holds).select(*keys, "_block", "_before")
+
+    inside = Window.partitionBy(*keys, "_block").orderBy("_lo")
+    running = F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (
+        null_safe_join(cells, needed, [*keys, "_block"])
+        .withColumn("_end", F.col("_before") + running)
+        .withColumn("_start", F.col("_end") - F.col("_c"))
+    )
 
     def at(rank: Column) -> Column:
         hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
