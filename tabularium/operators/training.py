@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators.scoring import linear
+from tabularium.session import literal_table
 from tabularium.vocabulary import (
     BOOST_DEPTH,
     BOOST_RATE,
@@ -36,7 +37,7 @@ class Ridge:
 
     def table(self, spark) -> DataFrame:
         lines = [(n, float(w)) for n, w in self.coefs.items()] + [("(intercept)", self.intercept)]
-        return spark.createDataFrame(lines, "term string, coefficient double").withColumn(
+        return literal_table(spark, lines, ["term", "coefficient"]).withColumn(
             "alpha", F.lit(self.alpha)
         )
 

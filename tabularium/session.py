@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tabularium", master: str | None = None, **conf: str) -> SparkSession:
@@ -67,3 +69,9 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *by) if len(df.inputFiles()) < cores else df
+
+
+def literal_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A short fixed table as literals in the plan, so its size is known without a job."""
+    lines = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*lines)))

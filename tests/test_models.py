@@ -27,6 +27,8 @@ def test_ridge_equals_closed_form(table):
     xc, yc = x - x.mean(0), pdf["y"] - pdf["y"].mean()
     w = np.linalg.solve(xc.T @ xc + 10 * np.eye(3), xc.T @ yc)
     np.testing.assert_allclose(list(model.coefs.values()), w, rtol=1e-9)
+    terms = {r["term"]: r["coefficient"] for r in model.table(df.sparkSession).collect()}
+    assert terms == {**model.coefs, "(intercept)": model.intercept}
     assert math.isclose(model.intercept, pdf["y"].mean() - x.mean(0) @ w, rel_tol=1e-9)
 
 

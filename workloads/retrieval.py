@@ -286,37 +286,93 @@ def questions(spark, d):
     )
 
 
-@query("hybrid_retrieve")
-def hybrid_retrieve(spark, d):
-    return retrieval.hybrid_retrieve(
-        questions(spark, d), corpus(spark, d), intents.namespaces(SPACES, spark)
-    )
-
-
-def _intent_sql() -> str:
+def intent_ctes(keys: str) -> str:
+    """CTEs sc … intent that classify the texts ``low`` of CTE ``t`` with the given key columns."""
     parts = []
-    for i, (name, (w, keys, pats)) in enumerate(INTENT_RULES.items()):
-        k = " + ".join(f"contains(low, {quoted(x)})::INT" for x in keys)
+    for i, (name, (w, words, pats)) in enumerate(INTENT_RULES.items()):
+        k = " + ".join(f"contains(low, {quoted(x)})::INT" for x in words)
         p = " + ".join(f"regexp_matches(low, {quoted(x)})::INT" for x in pats)
         parts.append(
-            f"SELECT conv_id, turn, {i} AS o, '{name}' AS name, least(({k}) / 2.0::DOUBLE, 1.0) * 0.4::DOUBLE * {w}"
+            f"SELECT {keys}, {i} AS o, '{name}' AS name, least(({k}) / 2.0::DOUBLE, 1.0) * 0.4::DOUBLE * {w}"
             f" + least(({p})::DOUBLE, 1.0) * 0.6::DOUBLE * {w} AS s FROM t"
         )
+    return (
+        "sc AS (" + "\nUNION ALL ".join(parts) + "),\n"
+        f"rk AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY s DESC, o) AS r FROM sc),\n"
+        f"bs AS (SELECT {keys}, max(name) FILTER (r = 1) AS name, max(s) FILTER (r = 1) AS s, max(s) FILTER (r = 2) AS s2 "
+        f"FROM rk GROUP BY {keys}),\n"
+        f"intent AS (SELECT {keys}, CASE WHEN s = 0 THEN 'general' ELSE name END AS intent, "
+        "CASE WHEN s = 0 THEN 0.0 ELSE least(s * (1.0 + greatest(s - s2, 0.0)), 1.0) END AS confidence FROM bs)\n"
+    )
+
+
+def _intent_sql() -> str:
     return (
         "WITH t AS (SELECT conv_id, turn, role, text, lower(CASE WHEN conv_id % 3 = 0 THEN concat('which year had the most home sales? ', text) "
         "WHEN conv_id % 3 = 1 THEN concat('how accurate is the model? ', text) ELSE text END) AS low FROM conversations "
-        "WHERE role = 'user'),\nsc AS (" + "\nUNION ALL ".join(parts) + "),\n"
-        "rk AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY s DESC, o) AS r FROM sc),\n"
-        "bs AS (SELECT a.conv_id, a.turn, a.name, a.s, b.s AS s2 FROM rk a JOIN rk b ON a.conv_id = b.conv_id AND a.turn = b.turn "
-        "WHERE a.r = 1 AND b.r = 2),\n"
-        "intent AS (SELECT conv_id, turn, CASE WHEN s = 0 THEN 'general' ELSE name END AS intent, "
-        "CASE WHEN s = 0 THEN 0.0 ELSE least(s * (1.0 + greatest(s - s2, 0.0)), 1.0) END AS confidence FROM bs)\n"
+        "WHERE role = 'user'),\n" + intent_ctes("conv_id, turn")
     )
 
 
 INTENTS = _intent_sql()
 
 
+def _hybrid_sql() -> str:
+    space = "CASE " + " ".join(
+        f"WHEN source IN ({', '.join(quoted(x) for x in ts)}) THEN '{i}'" for i, ts in SPACES.items()
+    ) + " END"
+    cos = "list_cosine_similarity(a.v, b.v)"
+    steps = ["s1 AS (SELECT query_id, arg_max(doc_id, (round(rel, 9), rrf, -doc_id)) AS doc_id, 1 AS pick FROM c GROUP BY query_id)"]
+    chosen = "SELECT * FROM s1"
+    for k in range(2, 6):
+        steps.append(f"""s{k} AS (SELECT query_id, arg_max(doc_id, (round(m, 9), rrf, -doc_id)) AS doc_id, {k} AS pick FROM (
+  SELECT a.query_id, a.doc_id, a.rrf, 0.7 * a.rel - 0.3 * max({cos}) AS m
+  FROM c a JOIN ({chosen}) p ON p.query_id = a.query_id JOIN c b ON b.query_id = p.query_id AND b.doc_id = p.doc_id
+  WHERE a.doc_id NOT IN (SELECT x.doc_id FROM ({chosen}) x WHERE x.query_id = a.query_id)
+  GROUP BY a.query_id, a.doc_id, a.rel, a.rrf) GROUP BY query_id)""")
+        chosen += f" UNION ALL SELECT * FROM s{k}"
+    return rf"""WITH t AS (SELECT item_id AS query_id, text, lower(text) AS low, embedding::DOUBLE[] AS v
+  FROM benchmark JOIN embeddings ON item_id = vec_id),
+{intent_ctes('query_id')},
+cp AS (SELECT doc_id, {space} AS intent, text, embedding::DOUBLE[] AS v FROM documents JOIN embeddings ON doc_id = vec_id),
+sp AS (SELECT intent, doc_id, row_number() OVER (PARTITION BY intent ORDER BY doc_id) AS rank FROM cp WHERE intent IS NOT NULL),
+rt AS (SELECT query_id, intent, confidence, CASE WHEN intent IN (SELECT intent FROM sp) AND confidence >= 0.7 THEN 'bypass'
+  WHEN intent IN (SELECT intent FROM sp) AND confidence > 0.3 THEN 'blend' ELSE 'open' END AS route FROM intent),
+dn AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(t.v, cp.v), 9) DESC, doc_id) AS rank FROM t, cp),
+dk AS (SELECT * FROM dn WHERE rank <= 20),
+tk AS (SELECT doc_id, {TOKENS} AS toks FROM cp),
+st AS (SELECT count(*)::DOUBLE AS n, avg(len(toks)) AS avgdl FROM tk),
+tf AS (SELECT doc_id, len(toks) AS dl, term, count(*) AS tf FROM tk, unnest(toks) AS u(term) GROUP BY ALL),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+qt AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest({TOKENS}) AS term FROM t) GROUP BY ALL),
+bm AS (SELECT query_id, doc_id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5))
+    * (tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * (dl / avgdl))))), 9) AS score
+  FROM qt JOIN dfq USING (term) JOIN tf USING (term), st GROUP BY query_id, doc_id),
+bk AS (SELECT * FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+  FROM bm WHERE score > 0) WHERE rank <= 20),
+pf AS (SELECT query_id, doc_id, rank FROM rt JOIN sp USING (intent) WHERE route = 'blend'),
+ls AS (SELECT * FROM pf UNION ALL
+  SELECT dk.query_id, dk.doc_id, coalesce((SELECT count(*) FROM pf WHERE pf.query_id = dk.query_id), 0)
+    + row_number() OVER (PARTITION BY dk.query_id ORDER BY dk.rank)
+  FROM dk WHERE NOT EXISTS (SELECT 1 FROM pf WHERE pf.query_id = dk.query_id AND pf.doc_id = dk.doc_id)),
+fu AS (SELECT query_id, doc_id, sum(1.0::DOUBLE / (60 + rank)) AS rrf FROM (SELECT * FROM ls UNION ALL SELECT * FROM bk) GROUP BY ALL),
+c AS (SELECT fu.query_id, fu.doc_id, rrf, list_cosine_similarity(t.v, cp.v) AS rel, cp.v FROM fu
+  JOIN rt ON rt.query_id = fu.query_id AND route <> 'bypass' JOIN t ON t.query_id = fu.query_id JOIN cp ON cp.doc_id = fu.doc_id),
+{", ".join(steps)},
+al AS (SELECT query_id, doc_id, pick FROM ({chosen}) UNION ALL
+  SELECT query_id, doc_id, rank FROM rt JOIN sp USING (intent) WHERE route = 'bypass' AND rank <= 5)
+SELECT rt.query_id, intent, round(confidence, 6) AS confidence, route, doc_id, CAST(pick AS INTEGER) AS pick
+FROM al JOIN rt ON rt.query_id = al.query_id"""
+
+
+@query("hybrid_retrieve", _hybrid_sql())
+def hybrid_retrieve(spark, d):
+    out = retrieval.hybrid_retrieve(
+        questions(spark, d), corpus(spark, d), intents.namespaces(SPACES, spark)
+    )
+    return out.withColumn("confidence", F.round("confidence", 6))
+
+
 def asked(spark, d):
     """User messages, two thirds of them opened by a question about the market."""
     users = table(spark, d, "conversations").where(F.col("role") == "user")
