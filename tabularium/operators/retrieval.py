@@ -24,6 +24,7 @@ from tabularium.sources.registry import top_per
 from tabularium.vocabulary import BM25_B, BM25_K1, MMR_LAMBDA, RRF_K
 
 RANK_BLOCK = 1_000_000
+RANK_BLOCKS = 50_000
 MATRIX_CELLS = 4_000_000
 JOINED_SPACE = 1_000
 SCANNED_QUERIES = 1_024
@@ -238,10 +239,14 @@ def priority_union(preferred: DataFrame, others: DataFrame) -> DataFrame:
 def positions(df: DataFrame, group: str, doc_id: str, name: str = "rank") -> DataFrame:
     """1-based position of each document within its group, ordered by an integer id.
 
-    Ids are cut into blocks; positions are block offset plus place within the block, so a
-    group that holds a third of the corpus is still ranked by many tasks.
+    The id range is cut into at most ``RANK_BLOCKS`` blocks; positions are block offset plus
+    place within the block, so a group that holds a third of the corpus is still ranked by
+    many tasks.
     """
-    block = F.floor(F.col(doc_id) / RANK_BLOCK)
+    ids = df.agg(F.struct(F.min(doc_id).alias("lo"), F.max(doc_id).alias("hi"))).scalar()
+    span = ids["hi"].cast("double") - ids["lo"]
+    width = F.greatest(F.lit(float(RANK_BLOCK)), F.ceil(span / RANK_BLOCKS))
+    block = F.floor((F.col(doc_id).cast("double") - ids["lo"]) / width)
     cut = df.withColumn("_block", block)
     sizes = cut.groupBy(group, "_block").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

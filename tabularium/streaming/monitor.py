@@ -7,7 +7,7 @@ the newest value of every key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -182,3 +182,31 @@ def append_all(stream: DataFrame, label: str) -> DataFrame:
         .awaitTermination()
     )
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def merge_stream(
+    stream: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], label: str
+) -> DataFrame:
+    """Run a stream over everything available, merging every micro-batch into a table.
+
+    Batch b writes version b from version b - 1, so a replayed batch rewrites the same version
+    instead of being merged twice. Returns the last version.
+    """
+    spark = stream.sparkSession
+    root, state = new_path(spark, label), new_path(spark, f"{label}-state")
+    last = [-1]
+    spark.createDataFrame([], stream.schema).write.parquet(f"{root}/v-1")
+
+    def step(rows: DataFrame, batch_id: int) -> None:
+        base = spark.read.schema(stream.schema).parquet(f"{root}/v{batch_id - 1}")
+        merge(base, rows).write.mode("overwrite").parquet(f"{root}/v{batch_id}")
+        last[0] = batch_id
+
+    (
+        stream.writeStream.option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .foreachBatch(step)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(stream.schema).parquet(f"{root}/v{last[0]}")

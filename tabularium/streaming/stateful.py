@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tabularium.sources.registry import top_per
+from tabularium.streaming.monitor import merge_stream
 from tabularium.vocabulary import EVENTS_PER_RUN, FINAL_STAGE
 
 COMPLETION = "run_id bigint, status string, completed_at timestamp, event_id bigint"
-HISTORY = "run_id bigint, event_ids array<bigint>"
 
 
 def completions(events: DataFrame) -> DataFrame:
@@ -44,36 +45,18 @@ def completions(events: DataFrame) -> DataFrame:
 
 
 def histories(events: DataFrame, keep: int = EVENTS_PER_RUN) -> DataFrame:
-    """The last ``keep`` event ids per run, updated with every batch.
+    """The last ``keep`` events of every run of a stream, as (run_id, ts, event_id) rows.
 
-    The state of a run never exceeds ``keep`` ids. Arrow batches are merged one at a time, so a
-    run with very many events in a batch is never held whole.
+    Each micro-batch is merged with the kept events and trimmed. Partitions trim to ``keep``
+    rows per run before the shuffle, so a run with most of the events is no hot spot.
     """
+    rows = events.select("run_id", "ts", "event_id")
 
-    def trim(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        ids = list(state.get[0]) if state.exists else []
-        times = list(state.get[1]) if state.exists else []
-        for pdf in batches:
-            ids += pdf["event_id"].tolist()
-            times += pdf["micros"].tolist()
-            newest = sorted(zip(times, ids))[-keep:]
-            times, ids = [t for t, _ in newest], [i for _, i in newest]
-        state.update((ids, times))
-        yield pd.DataFrame({"run_id": [key[0]], "event_ids": [ids]})
+    def trim(kept: DataFrame, fresh: DataFrame) -> DataFrame:
+        order = [F.desc("ts"), F.desc("event_id")]
+        return top_per(kept.unionByName(fresh), ["run_id"], order, keep, "_back").drop("_back")
 
-    return (
-        events.select("run_id", "event_id", F.unix_micros("ts").alias("micros"))
-        .groupBy("run_id")
-        .applyInPandasWithState(
-            trim,
-            HISTORY,
-            "event_ids array<bigint>, times array<bigint>",
-            "update",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+    return merge_stream(rows, trim, "histories")
 
 
 def batch_completions(events: DataFrame) -> DataFrame:
@@ -88,8 +71,6 @@ def batch_completions(events: DataFrame) -> DataFrame:
 
 def batch_histories(events: DataFrame, keep: int, runs: int) -> DataFrame:
     """Last events of the newest runs, newest by first event."""
-    from tabularium.sources.registry import top_per
-
     first = events.groupBy("run_id").agg(F.min(F.struct("ts", "event_id")).alias("first"))
     kept = first.orderBy(F.desc("first")).limit(runs).select("run_id")
     last = top_per(events, ["run_id"], [F.desc("ts"), F.desc("event_id")], keep, "_back")

@@ -142,9 +142,13 @@ def test_mmr(spark):
 
 def test_positions_cross_blocks(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "RANK_BLOCK", 10)
-    df = spark.range(0, 95, 3).select(F.lit("a").alias("g"), F.col("id").alias("doc_id"))
-    got = {r["doc_id"]: r["rank"] for r in retrieval.positions(df, "g", "doc_id").collect()}
-    assert got == {d: i + 1 for i, d in enumerate(range(0, 95, 3))}
+    monkeypatch.setattr(retrieval, "RANK_BLOCKS", 4)
+    dense = list(range(0, 95, 3))
+    sparse = [-(2**62), -5, 7, 2**40, 2**62]
+    for ids in (dense, sparse):
+        df = spark.createDataFrame([("a", i) for i in reversed(ids)], "g string, doc_id bigint")
+        got = {r["doc_id"]: r["rank"] for r in retrieval.positions(df, "g", "doc_id").collect()}
+        assert got == {d: i + 1 for i, d in enumerate(ids)}
 
 
 SPACES = {"temporal": ["price_trends_report"], "anomaly": ["anomaly_report"]}

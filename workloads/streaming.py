@@ -1,4 +1,4 @@
-"""Event monitoring queries; those named in STREAMED run as Structured Streaming queries."""
+"""Event monitoring and run-history queries; most run as Structured Streaming queries."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.operators import history as h
-from tabularium.session import new_path
 from tabularium.sources.readers import event_stream
-from tabularium.sources.registry import latest_per, save_table, upsert
+from tabularium.sources.registry import latest_complete_run, latest_per, upsert
 from tabularium.streaming import monitor, stateful
 from tabularium.vocabulary import DURATION_BOUNDS, FINAL_STAGE, STAGES
 from workloads.base import query, table
@@ -139,8 +138,7 @@ def bounded_history(spark, d):
 @query("bounded_history_stream", f"""WITH {EV}, r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, event_id DESC) AS back FROM ev)
 SELECT run_id, event_id FROM r WHERE back <= 20""")
 def bounded_history_stream(spark, d):
-    out = monitor.drain(stateful.histories(stream(spark, d), 20), ["run_id"], "history")
-    return out.select("run_id", F.explode("event_ids").alias("event_id"))
+    return stateful.histories(stream(spark, d), 20).select("run_id", "event_id")
 
 
 @query("metric_gauges", f"""WITH {EV} SELECT event_type, status, count(*) AS total,
@@ -181,22 +179,11 @@ def upsert_latest(spark, d):
 @query("stream_upsert", f"WITH {UPSERTED} SELECT run_id, event_id, status, value FROM u")
 def stream_upsert(spark, d):
     """Every micro-batch is merged into the run-state table of the batch before it."""
-    s = states(stream(spark, d))
-    root, state = new_path(spark, "run-state"), new_path(spark, "run-state-progress")
-    empty = spark.createDataFrame([], s.schema)
-    save_table(empty, f"{root}/v-1")
-
-    def merge(rows, batch_id):
-        base = spark.read.schema(s.schema).parquet(f"{root}/v{batch_id - 1}")
-        save_table(upsert(base, rows, ["run_id"], "event_id"), f"{root}/v{batch_id}")
-
-    q = (
-        s.writeStream.option("checkpointLocation", state)
-        .trigger(availableNow=True).foreachBatch(merge).start()
+    return monitor.merge_stream(
+        states(stream(spark, d)),
+        lambda base, rows: upsert(base, rows, ["run_id"], "event_id"),
+        "run-state",
     )
-    q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress else -1
-    return spark.read.schema(s.schema).parquet(f"{root}/v{last}")
 
 
 # Run history, derived from the events: one run per user and day.
@@ -236,8 +223,6 @@ def run_history(spark, d):
 @query("latest_run", f"""WITH {RUNS} SELECT run_id, status, rows_out FROM runs WHERE views > 0 AND clicks > 0
 ORDER BY run_id DESC LIMIT 1""")
 def latest_run(spark, d):
-    from tabularium.sources.registry import latest_complete_run
-
     r = runs(spark, d).select(
         "run_id", "status", "rows_out",
         (F.col("views") > 0).alias("has_model"), (F.col("clicks") > 0).alias("has_features"),
