@@ -10,7 +10,6 @@ import __spark_entry__ as contract
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 ROWS_ONLY = {
     "isolation_forest", "train_ridge", "train_gbt", "train_gbt_deep", "tree_attribution",
-    "fuzzy_indel",
 }
 
 

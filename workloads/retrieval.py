@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tabularium.functions import text as tx
 from tabularium.operators import chunking, conversation, grounding, intents, retrieval
 from tabularium.operators.canonical import best_indel, canonicalize
-from tabularium.session import stored
+from tabularium.session import new_path, stored
+from tabularium.sources.registry import save_table, top_per
 from tabularium.vocabulary import (
     HEDGES,
     INTENT_RULES,
@@ -128,6 +129,23 @@ def chunk_documents(spark, d):
     )
 
 
+@query("chunk_table", """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS w FROM documents)
+SELECT source, CAST(sum(CASE WHEN len(w) = 0 THEN 0 ELSE ceil(len(w) / 462.0) END) AS BIGINT) AS chunks
+FROM documents JOIN w USING (doc_id) GROUP BY source""")
+def chunk_table(spark, d):
+    """Chunks per source of a chunk table that was fully refreshed once."""
+    docs = table(spark, d, "documents", heavy=True)
+    path = new_path(spark, "chunk-table")
+    chunks = chunking.window_chunks(docs, "doc_id", "text").drop("content")
+    save_table(chunks, path)
+    refreshed = save_table(chunks, path)
+    per_doc = refreshed.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return (
+        table(spark, d, "documents").join(per_doc, "doc_id", "left").groupBy("source")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("chunks"))
+    )
+
+
 CLEAN = (r"list_filter(list_transform(string_split(regexp_replace(replace(text, chr(10), ' '), "
          r"'([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')")
 
@@ -207,8 +225,6 @@ def dense_topk(spark, d):
 
 def ranked_lists(spark, d):
     """Two ranked lists per source: longest documents and smallest document ids."""
-    from tabularium.sources.registry import top_per
-
     docs = table(spark, d, "documents").select(F.col("source").alias("query_id"), "doc_id", "n_chars")
     longest = top_per(docs, ["query_id"], [F.desc("n_chars"), "doc_id"], 20).drop("n_chars")
     early = top_per(docs, ["query_id"], ["doc_id"], 15).drop("n_chars")
@@ -430,8 +446,6 @@ SELECT source AS query_id, md5(string_agg(concat('[Source: ', source, ']', chr(1
   string_agg(concat(rk, ':', source), ',' ORDER BY rk) AS sources
 FROM r WHERE rk <= 3 GROUP BY source""")
 def citations(spark, d):
-    from tabularium.sources.registry import top_per
-
     docs = table(spark, d, "documents")
     picks = top_per(
         docs.select(F.col("source").alias("query_id"), "doc_id", "n_chars"),
@@ -542,6 +556,19 @@ def canonicalize_values(spark, d):
     return canonicalize(misspelled(spark, d), "value", P_TYPES)
 
 
-@query("fuzzy_indel")
+@query("fuzzy_indel", f"""WITH RECURSIVE m AS (SELECT p_partkey, {MISSPELLED} AS value FROM part),
+v AS (SELECT unnest({P_TYPES}) AS name, unnest(range({len(P_TYPES)})) AS ord),
+d AS (
+  SELECT value, name, ord, 0 AS i, list_transform(range(0, length(name) + 1), lambda x: 0) AS lcs
+  FROM (SELECT DISTINCT value FROM m), v
+  UNION ALL
+  SELECT value, name, ord, i + 1, list_concat([0], list_transform(range(1, length(name) + 1), lambda j:
+    greatest(lcs[j + 1], list_max(list_transform(range(1, j + 1), lambda k:
+      CASE WHEN substr(name, k, 1) = substr(value, i + 1, 1) THEN lcs[k] + 1 ELSE 0 END)))))
+  FROM d WHERE i < length(value)),
+s AS (SELECT value, name, ord, 200.0::DOUBLE * lcs[len(lcs)] / (length(value) + length(name)) AS score
+  FROM d WHERE i = length(value)),
+b AS (SELECT value, arg_max(name, (score, -ord)) AS name, max(score) AS score FROM s GROUP BY value)
+SELECT p_partkey, m.value, CASE WHEN score > 80 THEN name ELSE m.value END AS canonical FROM m JOIN b USING (value)""")
 def fuzzy_indel(spark, d):
     return canonicalize(misspelled(spark, d), "value", P_TYPES, best_indel)
