@@ -452,17 +452,21 @@ def mmr_scan(
                     continue
                 ids = pdf["doc_id"].to_numpy()
                 unit = _unit(np.vstack(pdf["v"].to_numpy()))
+                at = {int(d): i for i, d in enumerate(ids)}
+                nowhere = np.full(len(ids), np.inf)
+                spots: dict[str, np.ndarray] = {}
+                for i, memberships in enumerate(pdf["spaces"]):
+                    for m in memberships if memberships is not None else ():
+                        spots.setdefault(m["intent"], nowhere.copy())[i] = m["rank"]
                 for qid, q in shipped.value.items():
-                    rank, word = q["rank"], q["words"]
-                    place = np.full(len(ids), np.inf)
-                    fused = np.full(len(ids), -1.0)
-                    for i, spaces_ in enumerate(pdf["spaces"]):
-                        d = int(ids[i])
-                        at = next((s["rank"] for s in spaces_ if s["intent"] == q["intent"]), None) if spaces_ is not None else None
-                        place[i] = at if at is not None else rank.get(d, np.inf)
-                        if d in word or np.isfinite(place[i]):
-                            extra = 1.0 / (RRF_K + word[d]) if d in word else 0.0
-                            fused[i] = 1.0 / (RRF_K + place[i]) + extra
+                    place = spots.get(q["intent"], nowhere).copy()
+                    for d, r in q["rank"].items():
+                        if d in at:
+                            place[at[d]] = min(place[at[d]], r)
+                    fused = np.where(np.isfinite(place), 1.0 / (RRF_K + place), -1.0)
+                    for d, r in q["words"].items():
+                        if d in at:
+                            fused[at[d]] = max(fused[at[d]], 0.0) + 1.0 / (RRF_K + r)
                     open_ = (fused >= 0) & ~np.isin(ids, q["picks"])
                     if not open_.any():
                         continue
