@@ -100,8 +100,7 @@ def scaled_sql(c):
 SELECT l_orderkey, l_partkey, {', '.join(scaled_sql(c) for c in SCALED)} FROM gappy, r""")
 def robust_scale(spark, d):
     s = gappy(sales(spark, d, "orders"))
-    # No bound given: takes the two-pass exact quantile plan used for unbounded groups.
-    fitted = e.fit_robust(s.where(train()), SCALED)
+    fitted = e.fit_robust(s.where(train()), SCALED, rows(spark, d, "lineitem"))
     out = e.apply_robust(s, fitted, SCALED)
     return out.select("l_orderkey", "l_partkey", *[F.round(c, 6).alias(c) for c in SCALED])
 
