@@ -40,6 +40,7 @@ CHUNK_FLOOR = 0.300  # and none below this
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 VERDICT = "base_failed boolean, kept boolean, ratio double, reason string"
+TYPES = {"ratio": pa.float64(), "reason": pa.string()}  # of columns that may be all null
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
 
@@ -140,7 +141,8 @@ def quality_rules(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
         for batch in batches:
             for part in W.slices(batch, "_text"):
                 found = judge(part.column("_text"))
-                yield pa.RecordBatch.from_arrays([part.column("_key"), *(pa.array(found[n]) for n in names)], [key, *names])
+                columns = [part.column("_key"), *(pa.array(found[n], TYPES.get(n)) for n in names)]
+                yield pa.RecordBatch.from_arrays(columns, [key, *names])
 
     picked = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
     return picked.mapInArrow(run, f"`{key}` {kind}, {STATS}, {VERDICT}")

@@ -75,3 +75,9 @@ def test_bands_reject_noise_and_repeats_and_keep_prose(spark, data):
 def test_empty_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(0)
     assert quality.quality_rules(docs).count() == 0 and quality.keep_good(docs).count() == 0
+
+
+def test_slices_without_a_reason_keep_their_type(spark, data):
+    good = spark.read.parquet(f"{data}/documents.parquet").where("n_chars > 2000").limit(5)
+    short = spark.createDataFrame([(1, "x" * (3 << 20)), (2, "few words"), (3, None)], "doc_id long, text string")
+    assert quality.quality_rules(good.select("doc_id", "text").union(short)).count() == 8
