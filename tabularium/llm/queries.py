@@ -31,3 +31,35 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.quality import quality_rules
 
     return quality_rules(table(spark, folder, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm import toxicity
+
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit_labelled(docs, table(spark, folder, "labels")))
+
+
+@query(
+    "op8_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    g AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html),
+    b AS (SELECT page_id, strlen(html) AS n, first_id,
+                 list_transform(range(160), lambda i: (ascii(upper(substr(sha1(html), CAST(i // 4 + 1 AS BIGINT), 1)))
+                   - CASE WHEN upper(substr(sha1(html), CAST(i // 4 + 1 AS BIGINT), 1)) >= 'A' THEN 55 ELSE 48 END)
+                   >> (3 - i % 4) & 1) AS bits
+          FROM p JOIN g USING (html))
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST(16 * bits[5 * i + 1] + 8 * bits[5 * i + 2] + 4 * bits[5 * i + 3] + 2 * bits[5 * i + 4] + bits[5 * i + 5] + 1 AS BIGINT), 1)), '') AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM b
+    """,
+)
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.warc import archive
+
+    return archive(table(spark, folder, "pages")).drop("url", "offset", "length")
