@@ -52,9 +52,9 @@ def base32_sha1(data):
 def _records(pages: DataFrame, least: int, shards: int) -> DataFrame:
     """Pages with payload facts, record type, the page a revisit refers to, and the shard.
 
-    Payloads are dealt once, by digest and a salt of the page id so that a hot payload meets in
-    no single task; the narrow table of shared digests is replicated over the salts. The shard
-    is the partition itself: Spark's own hash of the same keys.
+    Payloads are dealt once, by a shard made of the digest and a salt of the page id, so that a
+    hot payload meets in no single task; a row for each shared digest, without payload, goes to
+    all of its salts and tells the first page there.
     """
     payload = F.coalesce("html", F.lit(""))
     url = F.coalesce("url", F.lit("about:blank"))
@@ -66,19 +66,24 @@ def _records(pages: DataFrame, least: int, shards: int) -> DataFrame:
         base32_sha1(F.encode(payload, "UTF-8")).alias("payload_digest"),
         F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(SALTS)).alias("salt"),
     )
-    first = facts.groupBy(*same).agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
-    first = first.select(*same, "first_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     keys = [*same, "salt"]
-    facts = facts.withColumn("salt", F.col("salt").cast("long"))
-    joined = facts.repartition(shards, *keys).join(first.repartition(shards, *keys), keys, "left")
-    copy = F.row_number().over(Window.partitionBy(*keys, "page_id").orderBy("url"))
-    joined = joined.withColumn("copy", copy)
+    facts = facts.withColumns({"salt": F.col("salt").cast("long"), "first_id": F.lit(None).cast("long"), "mark": F.lit(0)})
+    shared = facts.groupBy(*same).agg(F.min("page_id").cast("long").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    shared = shared.select(*same, "first_id", F.explode(salts).alias("salt"), F.lit(1).alias("mark"))
+    every = facts.unionByName(shared, allowMissingColumns=True)
+    shard = F.pmod(F.xxhash64(*keys), F.lit(shards))
+    every = every.withColumn("shard", shard).repartition("shard")
+    group = Window.partitionBy("shard", *keys)
+    copy = F.row_number().over(Window.partitionBy("shard", *keys, "page_id").orderBy("url"))
+    every = every.withColumns({"first_id": F.max("first_id").over(group), "known": F.max("mark").over(group)})
+    every = every.where("mark = 0").withColumn("copy", copy)
     owns = F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == 1)
-    known = F.col("first_id").isNotNull() | (F.col("page_id").isNull() & (F.col("copy") > 1))
-    revisit = known & ~owns & (F.col("payload_bytes") >= least)
-    return joined.select(
+    # Records without an id have no order between salts: all of them share salt 0.
+    revisit = (F.col("known") == 1) & ~owns & (F.col("payload_bytes") >= least)
+    return every.select(
         "page_id", "url", "payload", *same, F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first_id")).alias("refers_to"), "copy", F.pmod(F.hash(*keys), F.lit(shards)).alias("shard"),
+        F.when(revisit, F.col("first_id")).alias("refers_to"), "copy", "shard",
     )
 
 
