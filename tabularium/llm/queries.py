@@ -63,3 +63,44 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.warc import archive
 
     return archive(table(spark, folder, "pages")).drop("url", "offset", "length")
+
+
+def conversations_as_tools(chat: DataFrame) -> DataFrame:
+    """The conversations as tool use: each user turn calls a tool that the next turn answers.
+
+    The call names the tool by the length of the question, passes the question and its words,
+    and comes after the calls of the two turns before it; some lack a field their tool requires.
+    """
+    from pyspark.sql import functions as F
+
+    key = lambda shift: F.format_string("call-%d", F.col("turn") - shift)
+    text = F.coalesce("text", F.lit(""))
+    words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+    given = F.struct(text.alias("question"), F.when(words % 5 != 0, words).alias("words"))
+    after = F.array(key(2), key(1))
+    name = F.when(F.length(text) < 200, "lookup").when(F.length(text) < 800, "search").otherwise("archive")
+    call = F.to_json(F.struct(key(0).alias("id"), name.alias("name"), given.alias("arguments"), after.alias("after")))
+    answer = F.to_json(F.struct(key(1).alias("call_id"), text.alias("content")))
+    asked = chat.where("role = 'user'").select("conv_id", "turn", F.lit("assistant").alias("role"), call.alias("text"))
+    told = chat.where("role = 'assistant'").select("conv_id", "turn", F.lit("tool").alias("role"), answer.alias("text"))
+    return asked.unionByName(told)
+
+
+TOOLS = {
+    name: {"required": ["question", "words"], "properties": {"question": {"type": "string"}, "words": {"type": "integer"}}}
+    for name in ("lookup", "search")
+}
+
+
+@query("op9_chat_tools")
+def op9_chat_tools(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.chat import link_calls
+
+    return link_calls(conversations_as_tools(table(spark, folder, "conversations")), TOOLS)
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"))
