@@ -8,7 +8,7 @@ summed up per text (largest, sum, counts above thresholds). A logistic regressio
 other labelled documents than the dictionaries, turns these into a score from 0 to 1.
 
 Fitting takes at most ``DICTIONARY_DOCS`` and ``CALIBRATION_DOCS`` labelled rows, chosen by a
-hash of the id, so the sample that reaches the driver is bounded; every text is scored whole.
+hash of the id, so the sample that one task takes is bounded; every text is scored whole.
 Null and empty texts have no windows and get the score of a text without any saving. Repeated
 rows get equal scores. Without labelled rows of both classes every score is the smoothed share
 of toxic rows. Ids that are null are never trained on. An empty table gives an empty result.
@@ -16,6 +16,7 @@ of toxic rows. Ids that are null are never trained on. An empty table gives an e
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tabularium.llm import words as W
 
 FOLDS = 5
-DICTIONARY_DOCS = {1: 1500, 0: 3000}  # labelled rows per class for the dictionaries
+DICTIONARY_DOCS = {1: 1200, 0: 2000}  # labelled rows per class for the dictionaries
 CALIBRATION_DOCS = 5000  # labelled rows for the regression
 WINDOWS = (24, 10)  # words
 DICTIONARY_BYTES = 32 << 10
@@ -173,11 +174,25 @@ def fit_labelled(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known.where(fold != 0), "doc_id")
     rows = rows.select(fold.alias("fold"), F.xxhash64("doc_id").alias("rank"), "text", "toxic")
 
-    def first(where, n: int) -> list:
-        return rows.where(where).orderBy("rank", "text").limit(n).collect()
+    def first(part: str, where, n: int) -> DataFrame:
+        return rows.where(where).orderBy("rank", "text").limit(n).select(F.lit(part).alias("part"), "text", "toxic")
 
-    taught = {c: [r.text for r in first(F.col("fold").isin(1, 2) & (F.col("toxic") == c), n)] for c, n in DICTIONARY_DOCS.items()}
-    return fit(taught[1], taught[0], [(r.text, r.toxic) for r in first(F.col("fold") > 2, CALIBRATION_DOCS)])
+    sample = first("calibration", F.col("fold") > 2, CALIBRATION_DOCS)
+    for label, n in DICTIONARY_DOCS.items():
+        sample = sample.union(first("dictionary", F.col("fold").isin(1, 2) & (F.col("toxic") == label), n))
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict = {("dictionary", 0): [], ("dictionary", 1): []}
+        calibration = []
+        for batch in batches:
+            for part, text, label in zip(*(batch.column(c).to_pylist() for c in ("part", "text", "toxic"))):
+                calibration.append((text, label)) if part == "calibration" else texts[part, label].append(text)
+        model = fit(texts["dictionary", 1], texts["dictionary", 0], calibration)
+        yield pa.record_batch({"model": pa.array([pickle.dumps(tuple(model))], pa.binary())})
+
+    # The sample is bounded: one task fits the model, and the driver only sees the result.
+    found = sample.repartition(1).mapInArrow(train, "model binary").first()
+    return Model(*pickle.loads(found.model)) if found else fit([], [], [])
 
 
 def _fold(key):
