@@ -104,3 +104,26 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.packing import pack
 
     return pack(table(spark, folder, "documents"))
+
+
+SHINGLES = """
+    w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sh AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
+                                               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+"""
+
+
+@query(
+    "op6_ngram_jaccard",
+    f"""WITH RECURSIVE {SHINGLES}
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = w.doc_id), w.doc_id)) AS component_id
+    FROM w LEFT JOIN n USING (doc_id)""",
+)
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.jaccard import link_documents
+
+    return link_documents(table(spark, folder, "documents")).drop("class_id", "n_copies")
