@@ -9,9 +9,9 @@ with fewer words, the whole sequence is the one shingle. Documents link when
    common order. The order puts shingles that are frequent in some task's documents last (a
    table of at most ``FREQUENT`` rows; it only steers cost, every order gives the same links).
 3. Tiles are (shingle, size band): representatives that share a prefix shingle and whose sizes
-   are in one band or neighbouring ones. In each tile every member meets the member with the
-   least hash of its id, so a tile costs its length, not its square.
-4. Candidates are tested with 1,024-bit hashed bitmaps: bits that one has and the other lacks
+   are in one band or neighbouring ones. The members with the least hashes of their ids are the
+   hubs of their tiles, and every member meets the least of its hubs: one pair per member.
+4. Candidates are tested with hashed bitmaps of two bits or more for each shingle: bits that one has and the other lacks
    bound the overlap from above. Survivors meet in an exact sorted-array intersection.
 5. Components of the links so far. Tiles that still hold several components pair the members
    outside the tile's largest component with all others: only such pairs can still connect
@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabularium.llm import words as W
 from tabularium.llm.components import components
@@ -37,7 +38,7 @@ from tabularium.session import stored
 
 FREQUENT = 100_000  # shingles that may be put last; 0.8 MB in each task
 OFTEN = 8  # occurrences in one batch of documents that make a shingle a candidate for that
-WORDS64 = 16  # 64-bit words of a bitmap
+BITS_PER_SHINGLE = 2  # at least, in a bitmap of a power of two bits
 
 
 def shingle_sets(w: W.Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,9 +102,11 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
                 keep = n - -(-percent * n // 100) + (n > 0)
                 rank = np.arange(len(found)) - bounds[:-1][doc]
                 prefix = found[order][rank < keep[doc]]
-                bits = np.zeros((len(n), WORDS64), np.uint64)
-                spot = weight % np.uint64(64 * WORDS64)
-                np.bitwise_or.at(bits, (doc, (spot // np.uint64(64)).astype(np.int64)), np.uint64(1) << (spot % np.uint64(64)))
+                size = 1 << np.ceil(np.log2(np.maximum(n * BITS_PER_SHINGLE / 64, 4))).astype(np.int64)
+                begin = np.concatenate([[0], np.cumsum(size)])
+                bits = np.zeros(begin[-1], np.uint64)
+                spot = weight & (size[doc] * 64 - 1).astype(np.uint64)
+                np.bitwise_or.at(bits, begin[:-1][doc] + (spot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (spot & np.uint64(63)))
                 edges = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -111,7 +114,7 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
                         pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)),
                         pa.array((other[bounds[1:]] - other[bounds[:-1]]).view(np.int64)),
                         pa.ListArray.from_arrays(edges, pa.array(prefix.view(np.int64))),
-                        pa.array([b.tobytes() for b in bits], pa.binary()),
+                        pa.array([bits[i:j].tobytes() for i, j in zip(begin, begin[1:])], pa.binary()),
                     ],
                     ["id", "n", "sig", "sig2", "prefix", "bitmap"],
                 )
@@ -119,11 +122,11 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
     return docs.mapInArrow(run, "id long, n long, sig long, sig2 long, prefix array<long>, bitmap binary")
 
 
-def overlap_bound(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Upper bound of the intersections of sets with bitmaps ``a`` and ``b`` (rows)."""
-    only_a = np.bitwise_count(a & ~b).sum(1, dtype=np.int64)
-    only_b = np.bitwise_count(b & ~a).sum(1, dtype=np.int64)
-    return np.minimum(n_a - only_a, n_b - only_b)
+def overlap_bound(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> int:
+    """Upper bound of the intersection of sets with bitmaps ``a`` and ``b``; the longer is folded."""
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, min(len(a), len(b)))) for x in (a, b))
+    only_a, only_b = int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
+    return min(n_a - only_a, n_b - only_b)
 
 
 def _with(pairs: DataFrame, facts: DataFrame, names: list[str]) -> DataFrame:
@@ -138,12 +141,11 @@ def _bounded(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(f"bitmap_{e}").to_pylist()), np.uint64).reshape(-1, WORDS64) for e in "ab")
-            n_a, n_b = (batch.column(f"n_{e}").to_numpy() for e in "ab")
-            most = overlap_bound(a, b, n_a, n_b)
-            yield batch.select(["a", "b"]).filter(pa.array(100 * most >= percent * (n_a + n_b - most)))
+            good = []
+            for x, y, n_a, n_b in zip(*(batch.column(c).to_pylist() for c in ("bitmap_a", "bitmap_b", "n_a", "n_b"))):
+                most = overlap_bound(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), n_a, n_b)
+                good.append(100 * most >= percent * (n_a + n_b - most))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return _with(pairs, reps, ["n", "bitmap"]).mapInArrow(run, "a long, b long")
 
@@ -190,37 +192,35 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
     frequent = frequent_shingles(docs, width, FREQUENT)
     facts = stored(_prefixes(docs, width, percent, frequent), "prefixes")
     same = ["n", "sig", "sig2"]
-    reps = facts.where("n > 0").groupBy(*same).agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.min_by("prefix", "id").alias("prefix"), F.min_by("bitmap", "id").alias("bitmap")
-    )
+    reps = facts.where("n > 0").groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     reps = stored(reps, "classes")
+    chosen = reps.where("id is not null").select("id")
 
-    live = reps.where("id is not null")
-    tiles = live.select(F.explode("prefix").alias("shingle"), "id", "n").withColumn("band", _bands(F.col("n"), percent))
-    fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
-    member = tiles.select("shingle", "band", F.col("id").alias("a"), "n")
+    # One shuffle of the prefixes; shingles of a single representative end here.
+    tiles = facts.join(chosen, "id", "left_semi").select(F.explode("prefix").alias("shingle"), F.col("id").alias("a"), F.col("n").cast("int").alias("n"))
+    crowded = tiles.withColumn("size", F.count("*").over(Window.partitionBy("shingle"))).where("size > 1")
+    crowded = stored(crowded.select("shingle", "a", "n", _bands(F.col("n"), percent).alias("band")), "tiles")
     # The least member of a tile's own band and of the band below stand for all of them.
-    least = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("b"), F.col("n").alias("m"))).alias("least")
-    hubs = tiles.groupBy("shingle", "band").agg(least, F.count("*").alias("size"))
-    hubs = stored(hubs.select("shingle", "band", "least.b", "least.m", "size"), "tiles")
-    shared = hubs.groupBy("shingle").agg(F.sum("size").alias("size")).where("size > 1").select("shingle")
-    near = hubs.join(shared, "shingle", "left_semi").select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "b", "m")
-    crowded = stored(member.join(shared, "shingle", "left_semi"), "crowded")
-    candidates = crowded.join(near, ["shingle", "band"]).where(fits)
-    candidates = stored(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    links = stored(_exact(stored(_bounded(candidates, live, percent), "bounded"), docs, width, percent), "links")
+    least = F.min(F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("b"), F.col("n").alias("m"))).alias("least")
+    hubs = crowded.groupBy("shingle", "band").agg(least).select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "least.*")
+    fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
+    # Every member first meets one of its hubs only, the least of all, which links most copies.
+    first = crowded.join(hubs, ["shingle", "band"]).where(fits).groupBy("a").agg(F.min(F.struct("h", "b")).alias("least"))
+    first = stored(first.select(F.least("a", "least.b").alias("a"), F.greatest("a", "least.b").alias("b")).distinct(), "candidates")
+    bitmaps = facts.select("id", "n", "bitmap").join(chosen, "id", "left_semi").dropDuplicates(["id"])
+    links = stored(_exact(stored(_bounded(first, bitmaps, percent), "bounded"), docs, width, percent), "links")
     found = components(links)
 
     # What may still connect two components: members outside the largest component of a tile.
     placed = crowded.join(found.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    placed = placed.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "band", "a", "n", "component")
+    placed = placed.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "a", "n", "component")
     sizes = placed.groupBy("shingle", "tile", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("shingle", "tile").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
-    placed = stored(placed.join(main.where("parts > 1"), ["shingle", "tile"]), "placed")
+    placed = stored(placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]), "placed")
     outside = placed.where("component <> main").select("shingle", "tile", F.col("a").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     rest = placed.join(outside, ["shingle", "tile"]).where(fits & (F.col("component") != F.col("other")))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(candidates, ["a", "b"], "left_anti")
-    more = _exact(stored(_bounded(rest, live, percent), "bounded"), docs, width, percent)
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
     found = components(links.union(more))
 
     classes = reps.select(*same, F.col("id").alias("class_id"), "copies").join(found.withColumnRenamed("id", "class_id"), "class_id", "left")

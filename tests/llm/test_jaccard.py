@@ -81,12 +81,11 @@ def test_bitmaps_bound_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(50):
         a, b = (rng.choice(400, rng.integers(1, 200), replace=False) for _ in "ab")
-        maps = np.zeros((2, 2), np.uint64)
+        maps = [np.zeros(4, np.uint64), np.zeros(8, np.uint64)]
         for row, values in zip(maps, (a, b)):
             for v in values:
-                row[(v % 128) // 64] |= np.uint64(1) << np.uint64(v % 64)
-        most = jaccard.overlap_bound(maps[:1], maps[1:], np.array([len(a)]), np.array([len(b)]))
-        assert most[0] >= len(set(a) & set(b))
+                row[(v % (64 * len(row))) // 64] |= np.uint64(1) << np.uint64(v % 64)
+        assert jaccard.overlap_bound(*maps, len(a), len(b)) >= len(set(a) & set(b))
 
 
 def test_components(spark):
