@@ -127,3 +127,23 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.jaccard import link_documents
 
     return link_documents(table(spark, folder, "documents")).drop("class_id", "n_copies")
+
+
+@query(
+    "op3_repeated_passages",
+    """
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w WHERE len(w) >= 13),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM p),
+    own AS (SELECT s, min(doc_id) AS o FROM win GROUP BY s),
+    cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM win JOIN own USING (s) WHERE o < doc_id),
+    one AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n FROM one ANTI JOIN cov USING (doc_id, k) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op3_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
