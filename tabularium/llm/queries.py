@@ -147,3 +147,10 @@ def op3_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.substrings import remove_repeats
 
     return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
