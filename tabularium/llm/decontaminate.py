@@ -4,8 +4,9 @@ Terms are words and word pairs (A-Z as a-z) of the benchmark items; documents ar
 passages of 64 words that start every 32. Items are handled in blocks of ``BLOCK``, each with a
 latent space of its own, so a space always has more dimensions than items:
 
-1. Document frequencies of the block's terms over all half passages; terms in more than
-   ``MAX_SHARE`` of them weigh nothing.
+1. Document frequencies of the block's terms over all half passages; words in more than
+   ``MAX_SHARE`` of them weigh nothing, word pairs always count, so that a leak that a third of
+   all documents share keeps its weight.
 2. Distributed randomised SVD of the TF-IDF passages (with the items as further rows): every
    task adds up its part of A'A times a random matrix, the parts are summed by term blocks, and
    the left singular vectors of the sum span the latent space.
@@ -34,7 +35,9 @@ from tabularium.llm import words as W
 HALF = 32  # words; a passage is two halves
 BLOCK = 192  # items of one latent space
 OVERSAMPLE = 32
-MAX_SHARE = 0.02
+MAX_SHARE = 0.001  # of half passages, for words; word pairs always count
+SLICE_BYTES = 1 << 20
+SIEVE_BITS = 20
 COSINE = 0.3
 LCS_PERCENT, ANSWER_PERCENT = 70, 50
 TERM_BLOCK = 256
@@ -53,6 +56,10 @@ def _terms(w: W.Words, hashed: np.ndarray, known: np.ndarray) -> tuple[np.ndarra
     """Word and number in ``known`` of every occurrence of a known term."""
     pairs, pair = W.windows(w, hashed, 2)
     at, found = np.concatenate([np.arange(len(hashed)), pairs]), np.concatenate([hashed, pair])
+    maybe = np.zeros(1 << SIEVE_BITS, bool)
+    maybe[known & np.uint64(len(maybe) - 1)] = True
+    likely = np.flatnonzero(maybe[found & np.uint64(len(maybe) - 1)])
+    at, found = at[likely], found[likely]
     where = np.minimum(np.searchsorted(known, found), len(known) - 1)
     hit = known[where] == found
     return at[hit], where[hit]
@@ -67,7 +74,7 @@ def _halves(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _sums(group: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
     """Sum of ``rows`` by group."""
-    out = np.zeros((n, rows.shape[1]))
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
     if len(group):
         order = np.argsort(group, kind="stable")
         group = group[order]
@@ -78,7 +85,7 @@ def _sums(group: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, W.Words, np.ndarray]]:
     for batch in batches:
-        for part in W.slices(batch):
+        for part in W.slices(batch, limit=SLICE_BYTES):
             w = W.split(part.column("text"))
             yield part, w, W.hashes(w, fold=True)
 
@@ -126,8 +133,8 @@ def _sketch(docs: DataFrame, terms: np.ndarray, idf: np.ndarray, omega: np.ndarr
             at, term = _terms(w, hashed, terms)
             at, term = at[idf[term] > 0], term[idf[term] > 0]
             half = np.unique(_halves(w)[0][at], return_inverse=True)[1]
-            weight = idf[term][:, None]
-            rows = _sums(half, int(half.max(initial=-1)) + 1, weight * omega[term])
+            weight = idf[term][:, None].astype(np.float32)
+            rows = _sums(half, int(half.max(initial=-1)) + 1, weight * omega[term].astype(np.float32))
             total += _sums(term, len(terms), weight * rows[half])
         for k in range(0, len(terms), TERM_BLOCK):
             yield pa.record_batch({"block": pa.array([k]), "part": pa.array([total[k : k + TERM_BLOCK].tobytes()], pa.binary())})
@@ -157,7 +164,8 @@ def fit(docs: DataFrame, items: list[tuple[int, str]]) -> Space | None:
     if not len(terms):
         return None
     df, halves = _frequencies(docs, terms)
-    idf = np.where(df > max(20, MAX_SHARE * halves), 0.0, np.log((halves + 1) / (df + 1)) + 1)
+    frequent = (df > max(20, MAX_SHARE * halves)) & np.isin(terms, hashed)
+    idf = np.where(frequent, 0.0, np.log((halves + 1) / (df + 1)) + 1)
     at, term = _terms(w, hashed, terms)
     omega = np.random.Generator(np.random.PCG64(5)).standard_normal((len(terms), min(len(terms), len(items) + OVERSAMPLE)))
     own = _sums(w.doc[at], len(items), idf[term][:, None] * omega[term])
