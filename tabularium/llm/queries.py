@@ -154,3 +154,12 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op1_token_segments")
+def op1_token_segments(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tabularium.llm.tokens import round_trip
+
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
