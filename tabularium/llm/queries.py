@@ -163,3 +163,10 @@ def op1_token_segments(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.tokens import round_trip
 
     return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_main_text")
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.html import extract_main
+
+    return extract_main(table(spark, folder, "pages"))
