@@ -29,11 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TRAINING_PAGES, ROUNDS, SEED = 600, 4, 7
+TRAINING_PAGES, ROUNDS, SEED = 800, 5, 7
 PATH_BINS, WORD_BINS, HIDDEN = 128, 64, 16
 BATCH = 256  # pages
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head|svg|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!?(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head|svg|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -200,7 +200,7 @@ class PageComposer:
     """Pages by rule; texts of main blocks start with a mark that the trainer takes off."""
 
     MARK = "⁠"
-    BODY = [("article", ""), ("main", ""), ("div", "content"), ("div", "post entry"), ("section", "story"), ("div", "article body"), ("div", "text")]
+    BODY = [("article", "")] * 5 + [("main", "")] * 2 + [ ("div", "content"), ("div", "post entry"), ("section", "story"), ("div", "article body"), ("div", "text")]
     SMALL = {
         "nav": [("nav", ""), ("div", "menu"), ("ul", "navigation"), ("div", "breadcrumb"), ("div", "topbar nav")],
         "header": [("header", ""), ("div", "header"), ("div", "masthead banner")],
@@ -224,10 +224,17 @@ class PageComposer:
 
     def __init__(self, seed: int):
         self.r = random.Random(seed)
-        self.syllables = ["".join(self.r.choice("bcdfghklmnprstvwz") + self.r.choice("aeiouäéó") for _ in range(self.r.randint(1, 2))) for _ in range(80)]
+        self.learn_language()
+
+    def learn_language(self) -> None:
+        """New syllables for each page, so that only set phrases tell anything by their words."""
+        pick = self.r.choice
+        self.syllables = [pick("bcdfghklmnprstvwz") + pick("aeiouäéó") + pick(["", "n", "r", "st"]) for _ in range(self.r.choice([12, 40, 120]))]
 
     def words(self, low: int, high: int) -> str:
         n, out = self.r.randint(low, high), []
+        if self.r.random() < 0.08:  # one word over and over, or a list
+            return self.r.choice([" ", " | "]).join([self.r.choice(self.syllables) if k % self.r.choice([1, 9]) else self.syllables[0] for k in range(n)])
         for k in range(n):
             word = "".join(self.r.choice(self.syllables) for _ in range(self.r.randint(1, 3)))
             out.append(word.capitalize() if not k or out[-1].endswith(".") else word)
@@ -249,7 +256,7 @@ class PageComposer:
         elif kind == "form":
             parts.append(f"<label>{self.words(1, 3)}</label><input><button>{r.choice(self.PHRASES[kind])}</button>")
         elif kind == "comments":
-            parts += [self.wrap(r.choice([("div", "comment"), ("li", "reply"), ("article", "comment")]), f"<p>{self.words(2, 50)}</p>") for _ in range(r.randint(1, 6))]
+            parts += [self.wrap(r.choice([("div", "comment"), ("li", "reply"), ("div", "reply"), ("li", "comment")]), f"<p>{self.words(2, 50)}</p>") for _ in range(r.randint(1, 6))]
         else:
             tag = r.choice(["p", "div", "span", ""])
             parts += [f"<{tag}>{self.words(1, 40)}</{tag}>" if tag else self.words(1, 40) for _ in range(r.randint(1, 2))]
@@ -281,6 +288,7 @@ class PageComposer:
 
     def page(self) -> str:
         r = self.r
+        self.learn_language()
         top = [self.boilerplate(k) for k in ("notice", "header", "nav", "ad", "form") if r.random() < 0.5]
         r.shuffle(top)
         bottom = [self.boilerplate(k) for k in ("ad", "comments", "aside", "form", "notice") if r.random() < 0.4]
