@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+import workloads
 
-QUERIES = contract.queries()
+QUERIES = workloads.load()[0]
 # Eager: their result is read back from a table or a fitted model, so the plan says little.
 SKIP = {"train_gbt", "train_gbt_deep", "train_ridge", "tree_attribution", "hybrid_retrieve"}
 

@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import workloads
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = workloads.load()
 ROWS_ONLY = {
     "isolation_forest", "train_ridge", "train_gbt", "train_gbt_deep", "tree_attribution",
 }
