@@ -58,9 +58,12 @@ def filter_options(df: DataFrame, categorical: Sequence[str], numeric: Sequence[
 
 
 def group_stats(
-    df: DataFrame, group: str, price: str, digits: int = 2, rows_bound: int | None = None
+    df: DataFrame, group: str, price: str, digits: int = 2, rows_bound: int | None = None, volume: bool = False
 ) -> DataFrame:
-    """Median, mean, deviation, count and range of the price per group, highest median first."""
+    """Median, mean, deviation, count and range of the price per group, highest median first.
+
+    ``volume`` adds the traded volume in millions, from the sum of the prices.
+    """
     joined = quantiles(
         df,
         [group],
@@ -72,6 +75,7 @@ def group_stats(
             "std_price": F.stddev_samp(price),
             "min_price": F.min(price),
             "max_price": F.max(price),
+            **({"volume_m": F.sum(price) / 1e6} if volume else {}),
         },
         costly=True,
     ).withColumnRenamed("n", "transaction_count")
@@ -87,6 +91,7 @@ def group_stats(
         "transaction_count",
         money("min_price"),
         money("max_price"),
+        *([F.round("volume_m", 4).alias("volume_m")] if volume else []),
     ).orderBy(F.desc("median_price"), group)
 
 
@@ -94,9 +99,7 @@ def group_volume(
     df: DataFrame, group: str, price: str, rows_bound: int | None = None
 ) -> DataFrame:
     """Group statistics plus the traded volume in millions."""
-    return group_stats(df, group, price, digits=4, rows_bound=rows_bound).withColumn(
-        "volume_m", F.round(F.col("mean_price") * F.col("transaction_count") / 1e6, 4)
-    )
+    return group_stats(df, group, price, digits=4, rows_bound=rows_bound, volume=True)
 
 
 def market_kpis(df: DataFrame, price: str, rows_bound: int | None = None) -> DataFrame:
