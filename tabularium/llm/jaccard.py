@@ -6,8 +6,8 @@ with fewer words, the whole sequence is the one shingle. Documents link when
 
 1. Equal sets become one class, represented by its smallest id; only representatives go on.
 2. Two sets that link share a shingle among the first ``n - ceil(percent * n / 100) + 1`` of any
-   common order. The order puts shingles that are frequent in some task's documents last (a
-   table of at most ``FREQUENT`` rows; it only steers cost, every order gives the same links).
+   common order. The order puts frequent shingles, such as those of a template, last (a table
+   of at most ``FREQUENT`` rows; it only steers cost, every order gives the same links).
 3. Tiles are (shingle, size band): representatives that share a prefix shingle and whose sizes
    are in one band or neighbouring ones. The members with the least hashes of their ids are the
    hubs of their tiles, and every member meets the least of its hubs: one pair per member.
@@ -37,7 +37,7 @@ from tabularium.llm.components import components
 from tabularium.session import stored
 
 FREQUENT = 100_000  # shingles that may be put last; 0.8 MB in each task
-OFTEN = 8  # occurrences in one batch of documents that make a shingle a candidate for that
+COUNTERS = 1 << 20  # counters of shingles in a task; 16 MB
 BITS_PER_SHINGLE = 2  # at least, in a bitmap of a power of two bits
 
 
@@ -68,15 +68,38 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, n
         yield part, np.searchsorted(doc, np.arange(part.num_rows + 1)), found
 
 
+def heavy(held: np.ndarray, counts: np.ndarray, found: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The counters ``held`` with the hashes ``found`` added; beyond ``most`` all lose the next largest count."""
+    weight = np.concatenate([counts, np.ones(sum(map(len, found)), np.int64)])
+    held, at = np.unique(np.concatenate([held, *found]), return_inverse=True)
+    counts = np.bincount(at, weights=weight, minlength=len(held)).astype(np.int64)
+    if len(held) > most:
+        counts = counts - np.partition(counts, len(counts) - most - 1)[len(counts) - most - 1]
+    return held[counts > 0], counts[counts > 0]
+
+
 def frequent_shingles(docs: DataFrame, width: int, most: int) -> np.ndarray:
-    """Sorted hashes of at most ``most`` shingles, those with the most local repeats."""
+    """Sorted hashes of at most ``most`` shingles, those with the most repeats within tasks.
+
+    Each task counts all its documents in at most ``COUNTERS`` counters, so neither the size of
+    batches nor the number of partitions decides what is found: a count falls short by at most
+    1 per task plus the occurrences there divided by ``COUNTERS``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts, fresh = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         for batch in batches:
-            every = [found for _, _, found in _sets(batch, width)]
-            if every:
-                found, n = np.unique(np.concatenate(every), return_counts=True)
-                yield pa.record_batch({"shingle": pa.array(found[n >= OFTEN].view(np.int64)), "n": pa.array(n[n >= OFTEN])})
+            for _, _, found in _sets(batch, width):
+                fresh.append(found)
+                if sum(map(len, fresh)) >= COUNTERS:
+                    held, counts = heavy(held, counts, fresh, COUNTERS)
+                    fresh = []
+        held, counts = heavy(held, counts, fresh, COUNTERS)
+        held, counts = held[counts > 1], counts[counts > 1]
+        best = np.argsort(-counts, kind="stable")[:most]
+        for i in range(0, len(best), 10_000):
+            part = best[i : i + 10_000]
+            yield pa.record_batch({"shingle": pa.array(held[part].view(np.int64)), "n": pa.array(counts[part])})
 
     rows = docs.select("text").mapInArrow(run, "shingle long, n long")
     top = rows.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most).select("shingle")
@@ -213,12 +236,15 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
 
     # What may still connect two components: members outside the largest component of a tile.
     placed = crowded.join(found.withColumnRenamed("id", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    placed = placed.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "a", "n", "component")
+    placed = placed.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "a", "n", "component", "band")
+    placed = placed.select("shingle", "tile", "a", "n", "component", (F.col("tile") == F.col("band")).alias("own"))
     sizes = placed.groupBy("shingle", "tile", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("shingle", "tile").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
     placed = stored(placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]), "placed")
-    outside = placed.where("component <> main").select("shingle", "tile", F.col("a").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    rest = placed.join(outside, ["shingle", "tile"]).where(fits & (F.col("component") != F.col("other")))
+    outside = placed.where("component <> main").select("shingle", "tile", F.col("a").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"), F.col("own").alias("owned"))
+    # Two members of one band share two tiles and meet in the lower, where they are at home.
+    apart = (F.col("component") != F.col("other")) & (F.col("own") | F.col("owned"))
+    rest = placed.join(outside, ["shingle", "tile"]).where(fits & apart)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
     found = components(links.union(more))

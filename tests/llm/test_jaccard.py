@@ -100,3 +100,23 @@ def test_components(spark):
             for x in root[b]:
                 root[x] = root[a]
     assert {k: min(v) for k, v in root.items() if len(v) > 1 and k != min(v)} == got
+
+
+def test_frequent_shingles_do_not_depend_on_partitions(spark):
+    """A template dealt two documents to a task is found as it is in one task."""
+    template = " ".join(f"t{k}" for k in range(20))
+    docs = spark.createDataFrame([(i, f"{template} own{i} word{i}") for i in range(40)], "doc_id long, text string")
+    for parts in (1, 20):
+        dealt = docs.repartitionByRange(parts, "doc_id")
+        assert len(jaccard.frequent_shingles(dealt, 4, 1_000)) == 17, parts
+    assert len(jaccard.frequent_shingles(docs, 4, 5)) == 5
+
+
+def test_heavy_counters_keep_what_is_frequent():
+    rng = np.random.default_rng(3)
+    often, held, counts = np.arange(3, dtype=np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for _ in range(20):
+        found = [rng.integers(1_000, 1 << 40, 200).astype(np.uint64), np.repeat(often, 30)]
+        held, counts = jaccard.heavy(held, counts, found, 50)
+    assert len(held) <= 50 and set(often) <= set(held)
+    assert all(600 - 20 * 290 / 50 <= counts[held == k][0] <= 600 for k in often)
