@@ -13,9 +13,10 @@ with fewer words, the whole sequence is the one shingle. Documents link when
    hubs of their tiles, and every member meets the least of its hubs: one pair per member.
 4. Candidates are tested with hashed bitmaps of two bits or more for each shingle: bits that one has and the other lacks
    bound the overlap from above. Survivors meet in an exact sorted-array intersection.
-5. Components of the links so far. Tiles that still hold several components pair the members
-   outside the tile's largest component with all others: only such pairs can still connect
-   anything, so no link between components is lost and copies are never paired again.
+5. Components of the links so far. Tiles that still hold several components are cut into blocks
+   of bounded size, where the members outside the tile's largest component are tested against
+   all others by brief bitmaps: only such pairs can still connect anything, so no link between
+   components is lost, copies are never paired again, and pairs that fail never become rows.
 
 Null and empty texts have an empty set, no links, and are their own component. Repeated rows
 share a class. Rows with a null id get their class's component (null if no row of it has an id).
@@ -38,6 +39,8 @@ from tabularium.session import stored
 
 FREQUENT = 100_000  # shingles that may be put last; 0.8 MB in each task
 COUNTERS = 1 << 20  # counters of shingles in a task; 16 MB
+TILE_ROWS = 512  # members of a tile, about, in one side of a block
+BRIEF = 512  # bits of the bitmaps that blocks test
 BITS_PER_SHINGLE = 2  # at least, in a bitmap of a power of two bits
 
 
@@ -107,7 +110,7 @@ def frequent_shingles(docs: DataFrame, width: int, most: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """id, n, sig, prefix and bitmap of every document."""
+    """id, n, signatures, prefix, bitmap and brief bitmap of every document."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +133,9 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
                 bits = np.zeros(begin[-1], np.uint64)
                 spot = weight & (size[doc] * 64 - 1).astype(np.uint64)
                 np.bitwise_or.at(bits, begin[:-1][doc] + (spot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (spot & np.uint64(63)))
+                brief = np.zeros((len(n), BRIEF // 64), np.uint64)
+                spot = weight & np.uint64(BRIEF - 1)
+                np.bitwise_or.at(brief, (doc, (spot >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (spot & np.uint64(63)))
                 edges = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -138,11 +144,12 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
                         pa.array((other[bounds[1:]] - other[bounds[:-1]]).view(np.int64)),
                         pa.ListArray.from_arrays(edges, pa.array(prefix.view(np.int64))),
                         pa.array([bits[i:j].tobytes() for i, j in zip(begin, begin[1:])], pa.binary()),
+                        pa.array([row.tobytes() for row in brief], pa.binary()),
                     ],
-                    ["id", "n", "sig", "sig2", "prefix", "bitmap"],
+                    ["id", "n", "sig", "sig2", "prefix", "bitmap", "brief"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, sig long, sig2 long, prefix array<long>, bitmap binary")
+    return docs.mapInArrow(run, "id long, n long, sig long, sig2 long, prefix array<long>, bitmap binary, brief binary")
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> int:
@@ -152,6 +159,67 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> int:
     return min(n_a - only_a, n_b - only_b)
 
 
+def _block_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of one block that may link two components, by size and brief bitmap."""
+    n, side, bits = rows["n"], rows["side"], rows["brief"]
+    i, j = np.triu_indices(len(n), 1)
+    meet = (rows["component"][i] != rows["component"][j]) & (rows["own"][i] | rows["own"][j]) & (rows["outside"][i] | rows["outside"][j])
+    meet &= ((side[i] == 0) | (side[i] != side[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    i, j = i[meet], j[meet]
+    only_i, only_j = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+    for word in bits.T:
+        x, y = word[i], word[j]
+        only_i += np.bitwise_count(x & ~y)
+        only_j += np.bitwise_count(y & ~x)
+    most = np.minimum(n[i] - only_i, n[j] - only_j)
+    good = 100 * most >= percent * (n[i] + n[j] - most)
+    return i[good], j[good]
+
+
+def _paired(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members of a tile that may still link, found block by block.
+
+    A tile's members are dealt into groups of about ``TILE_ROWS`` and every two groups meet in
+    one block, so a tile of any size is spread over many tasks, none holds more than a block,
+    and only pairs that pass the test become rows.
+    """
+    group = F.pmod(F.xxhash64("a"), F.col("groups"))
+    dealt = members.withColumn("group", group).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    low, high = F.least("group", "other"), F.greatest("group", "other")
+    side = F.when(low == high, 0).when(F.col("group") == low, 1).otherwise(2)
+    block = F.xxhash64("shingle", "tile", low, high)
+    names = ["block", "side", "a", "n", "component", "own", "outside", "brief"]
+    dealt = dealt.withColumn("block", block).withColumn("side", side).select(*names)
+
+    def test(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        edges = np.flatnonzero(np.diff(rows["block"])) + 1
+        for start, stop in zip([0, *edges], [*edges, len(rows["block"])]):
+            if stop - start > 1:
+                i, j = _block_pairs({c: v[start:stop] for c, v in rows.items()}, percent)
+                pairs.append((rows["a"][start + i], rows["a"][start + j]))
+        x, y = (np.concatenate(side) for side in zip(*pairs))
+        return pa.record_batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names[:-1]}
+            rows["brief"] = np.frombuffer(b"".join(batch.column("brief").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            if held is not None:
+                rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+            last = int(np.searchsorted(rows["block"], rows["block"][-1]))  # its block may go on
+            held = {c: v[last:] for c, v in rows.items()}
+            yield test({c: v[:last] for c, v in rows.items()})
+        if held is not None:
+            yield test(held)
+
+    found = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
+    return found.distinct()
+
+
 def _with(pairs: DataFrame, facts: DataFrame, names: list[str]) -> DataFrame:
     """Pairs (a, b) with the named facts of both ends."""
     for end in ("a", "b"):
@@ -239,13 +307,14 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
     placed = placed.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "a", "n", "component", "band")
     placed = placed.select("shingle", "tile", "a", "n", "component", (F.col("tile") == F.col("band")).alias("own"))
     sizes = placed.groupBy("shingle", "tile", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("shingle", "tile").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
-    placed = stored(placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]), "placed")
-    outside = placed.where("component <> main").select("shingle", "tile", F.col("a").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"), F.col("own").alias("owned"))
+    main = sizes.groupBy("shingle", "tile").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"),
+        F.ceil(F.sum("size") / TILE_ROWS).alias("groups"),
+    )
+    placed = placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]).withColumn("outside", F.col("component") != F.col("main"))
+    brief = facts.select(F.col("id").alias("a"), "brief").join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").dropDuplicates(["a"])
     # Two members of one band share two tiles and meet in the lower, where they are at home.
-    apart = (F.col("component") != F.col("other")) & (F.col("own") | F.col("owned"))
-    rest = placed.join(outside, ["shingle", "tile"]).where(fits & apart)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    rest = _paired(placed.join(brief, "a"), percent).join(first, ["a", "b"], "left_anti")
     more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
     found = components(links.union(more))
 

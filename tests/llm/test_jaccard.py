@@ -120,3 +120,12 @@ def test_heavy_counters_keep_what_is_frequent():
         held, counts = jaccard.heavy(held, counts, found, 50)
     assert len(held) <= 50 and set(often) <= set(held)
     assert all(600 - 20 * 290 / 50 <= counts[held == k][0] <= 600 for k in often)
+
+
+def test_tiles_of_many_blocks(spark, monkeypatch):
+    """Blocks of two members give the links that one block gives."""
+    rows = near_copies(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(docs, 4, 85).collect()}
+    assert got == brute(rows, 4, 85)
