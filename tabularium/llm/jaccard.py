@@ -40,7 +40,7 @@ from tabularium.session import stored
 FREQUENT = 100_000  # shingles that may be put last; 0.8 MB in each task
 COUNTERS = 1 << 20  # counters of shingles in a task; 16 MB
 TILE_ROWS = 512  # members of a tile, about, in one side of a block
-BRIEF = 512  # bits of the bitmaps that blocks test
+BRIEF = 1024  # bits of the bitmaps that blocks test
 BITS_PER_SHINGLE = 2  # at least, in a bitmap of a power of two bits
 
 
@@ -314,7 +314,7 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
     placed = placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]).withColumn("outside", F.col("component") != F.col("main"))
     brief = facts.select(F.col("id").alias("a"), "brief").join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").dropDuplicates(["a"])
     # Two members of one band share two tiles and meet in the lower, where they are at home.
-    rest = _paired(placed.join(brief, "a"), percent).join(first, ["a", "b"], "left_anti")
+    rest = _paired(placed.join(brief, "a"), percent)
     more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
     found = components(links.union(more))
 
