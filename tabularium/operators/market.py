@@ -33,28 +33,20 @@ def filter_options(df: DataFrame, categorical: Sequence[str], numeric: Sequence[
 
     One scan: the columns are unpivoted inside the row and combined before the shuffle.
     """
-    pairs = [
-        F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("option"))
-        for c in categorical
-    ]
-    options = (
-        df.select(F.explode(F.array(*pairs)).alias("o"))
+    def cell(c: str, option: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(c).alias("field"), option.cast("string").alias("option"), value.cast("double").alias("v")
+        )
+
+    none = F.lit(None)
+    cells = [cell(c, F.col(c), none) for c in categorical] + [cell(c, none, F.col(c)) for c in numeric]
+    return (
+        df.select(F.explode(F.array(*cells)).alias("o"))
         .select("o.*")
-        .where(F.col("option").isNotNull())
+        .where(F.col("option").isNotNull() | F.col("field").isin(*numeric))
         .groupBy("field", "option")
-        .agg(F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
-    )
-    ranges = [
-        F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in numeric
-    ]
-    bounds = (
-        df.select(F.explode(F.array(*ranges)).alias("o"))
-        .select("o.*")
-        .groupBy("field")
         .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-        .select("field", F.lit(None).cast("string").alias("option"), "lo", "hi")
     )
-    return options.unionByName(bounds)
 
 
 def group_stats(
