@@ -119,13 +119,7 @@ FEATURE_NOTES = [
     ("OverallScore", "OverallQual * OverallCond", "Quality × condition interaction"),
 ]
 
-# Named market segments of the housing table.
-MARKET_SEGMENTS = {
-    "Luxury Tier": ["NridgHt", "StoneBr", "NoRidge"],
-    "Upper-Mid Tier": ["Timber", "Veenker", "Somerst", "Crawfor"],
-    "Mid-Market": ["CollgCr", "Gilbert", "NWAmes", "Mitchel"],
-    "Value Tier": ["Edwards", "OldTown", "BrkSide", "MeadowV"],
-}
+# Market reports.
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 STABLE_VARIATION_PCT = 35
 R2_BANDS = (0.70, 0.85)
@@ -136,20 +130,15 @@ RIDGE_FOLDS = 5
 BOOST_ROUNDS = 1000
 BOOST_RATE = 0.05
 BOOST_DEPTH = 4
-BOOST_PATIENCE = 50
 
-# Pipeline stages, statuses and histogram bounds of the monitoring stream.
+# Pipeline stages and histogram bounds of the monitoring stream.
 STAGES = [
     "ingestion_agent", "schema_agent", "cleaning_agent", "feature_agent", "encoding_agent",
     "anomaly_agent", "ml_agent", "orchestration_agent",
 ]
-STATUSES = ["PENDING", "STARTED", "PROGRESS", "WARNING", "RETRYING", "SUCCESS", "FAILED"]
 FINAL_STAGE = "orchestration_agent"
 DURATION_BOUNDS = [0.5, 1, 2, 5, 10, 30, 60, 120, 300]
-RETRIEVAL_BOUNDS = [0.1, 0.5, 1, 2, 5, 10]
-REQUEST_BOUNDS = [0.01, 0.05, 0.1, 0.5, 1, 5]
 EVENTS_PER_RUN = 500
-RUNS_KEPT = 50
 
 # Retrieval and grounding parameters.
 CHUNK_WORDS = 180
@@ -184,16 +173,6 @@ HEDGES = [
     "based on general knowledge",
 ]
 
-# Document titles that belong to an intent.
-INTENT_TITLES = {
-    "neighborhood": ["neighborhood_stats", "market_segments"],
-    "model_performance": ["model_evaluation_report", "pipeline_summary"],
-    "data_quality": ["cleaning_report", "data_dictionary"],
-    "anomaly": ["anomaly_report"],
-    "feature": ["feature_importance_report", "feature_manifest"],
-    "temporal": ["price_trends_report"],
-}
-
 # Intent rules as (weight, keywords, patterns), in tie-break order.
 INTENT_RULES = {
     "neighborhood": (
