@@ -3,7 +3,8 @@
 A text passes the base rules with at least 50 words of which at most half lie in repeated
 3-word windows. It then passes the compression bands if the zstandard ratio (compressed over
 plain UTF-8 bytes) of the whole text lies between the limits for its length, and so do those of
-its fixed chunks: a low ratio is repetitive or formulaic text, a high one is noise.
+its fixed chunks: a low ratio is repetitive or formulaic text, a high one is noise. The least
+ratio of the whole goes on falling with the length, so from a chunk on the chunks decide.
 
 Null and empty texts have no words and fail the base rules. Nothing depends on other rows, so
 repeated rows and ties get equal verdicts, and every row is a row of the result; an empty table
@@ -25,17 +26,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 LEVEL = 3
 CHUNK = 2048
-# UTF-8 bytes from which a row holds: ratio of the whole text, at least and at most
-BANDS = (
-    (0, 0.500, 0.85),
-    (500, 0.480, 0.80),
-    (1_000, 0.462, 0.75),
-    (2_000, 0.440, 0.72),
-    (4_000, 0.418, 0.70),
-    (8_000, 0.402, 0.70),
-    (20_000, 0.385, 0.70),
-)
-CHUNK_BAND = (0.455, 0.80)  # most full chunks must lie inside
+# UTF-8 bytes, least and largest ratio of the whole text: straight lines in the logarithm of the
+# length between the rows, level before the first, and lower by FALL for each doubling after the last
+BANDS = ((300, 0.500, 0.85), (600, 0.490, 0.79), (1_000, 0.475, 0.74), (1_500, 0.458, 0.72), (2_048, 0.444, 0.70))
+FALL = 0.03  # prose falls by 0.01 to 0.02
+CHUNK_BAND = (0.455, 0.80)  # more than half of the full chunks reach the first, half stay within the second
 CHUNK_FLOOR = 0.300  # and none below this
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -93,17 +88,24 @@ def statistics(w: W.Words) -> dict[str, np.ndarray]:
     }
 
 
+def whole_band(size: int) -> tuple[float, float]:
+    """Least and largest ratio of a whole text of ``size`` bytes."""
+    at, low, high = zip(*BANDS)
+    spot, at = np.log2(size), np.log2(at)
+    return float(max(0.0, np.interp(spot, at, low) - FALL * max(0.0, spot - at[-1]))), float(np.interp(spot, at, high))
+
+
 def compression_reason(text: bytes, squeeze: zstandard.ZstdCompressor) -> tuple[float, str | None]:
     """Ratio of the whole text, and why the bands reject it, if they do."""
     ratio = len(squeeze.compress(text)) / len(text)
-    low, high = next(b[1:] for b in reversed(BANDS) if len(text) >= b[0])
+    low, high = whole_band(len(text))
     if ratio < low:
         return ratio, "repetitive"
     if ratio > high:
         return ratio, "incompressible"
     chunks = [text[k : k + CHUNK] for k in range(0, len(text) - CHUNK + 1, CHUNK)]
     ratios = np.array([len(squeeze.compress(c)) / CHUNK for c in chunks])
-    if len(ratios) and (ratios.min() < CHUNK_FLOOR or 2 * (ratios < CHUNK_BAND[0]).sum() > len(ratios)):
+    if len(ratios) and (ratios.min() < CHUNK_FLOOR or 2 * (ratios < CHUNK_BAND[0]).sum() >= len(ratios)):
         return ratio, "repetitive chunks"
     if 2 * (ratios > CHUNK_BAND[1]).sum() > len(ratios):
         return ratio, "incompressible chunks"

@@ -1,3 +1,4 @@
+import os
 import re
 from collections import Counter
 
@@ -72,6 +73,34 @@ def test_bands_reject_noise_and_repeats_and_keep_prose(spark, data):
     assert good.count() >= 0.97 * total.count() > 0
 
 
+@pytest.mark.parametrize("size", [200_000, 1_000_000])
+def test_long_prose_is_kept(size):
+    import random
+
+    rng = random.Random(5)
+    syllables = [a + b for a in "bcdfglmnprst" for b in ("a", "e", "i", "o", "un", "er")]
+    known = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(3_000)]
+    weights = [1 / (k + 3) for k in range(len(known))]
+    text = " ".join(w + "." * (k % 11 == 0) for k, w in enumerate(rng.choices(known, weights, k=size // 4)))[:size]
+    ratio, reason = quality.compression_reason(text.encode(), quality.zstandard.ZstdCompressor(level=quality.LEVEL))
+    assert len(text) == size and ratio < 0.385 and reason is None
+
+
+def test_prose_of_people_is_kept():
+    path = "/usr/share/common-licenses/GPL-3"
+    if not os.path.exists(path):
+        pytest.skip("no licence text on this machine")
+    found = quality.judge(pa.array([open(path, encoding="utf-8").read()]))
+    assert found["kept"][0] and found["ratio"][0] < 0.385
+
+
+def test_least_ratio_falls_with_every_length():
+    floors = [quality.whole_band(2**k)[0] for k in range(8, 40)]
+    assert all(a >= b for a, b in zip(floors, floors[1:])) and all(a > b for a, b in zip(floors[3:17], floors[4:18]))
+    passage = " ".join(f"w{k * 7919 % 10007:x}" for k in range(1_500)).encode()
+    assert quality.compression_reason(passage * 40, quality.zstandard.ZstdCompressor(level=quality.LEVEL))[1] == "repetitive"
+
+
 def test_empty_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(0)
     assert quality.quality_rules(docs).count() == 0 and quality.keep_good(docs).count() == 0
