@@ -4,7 +4,9 @@ A text passes the base rules with at least 50 words of which at most half lie in
 3-word windows. It then passes the compression bands if the zstandard ratio (compressed over
 plain UTF-8 bytes) of the whole text lies between the limits for its length, and so do those of
 its fixed chunks: a low ratio is repetitive or formulaic text, a high one is noise. The least
-ratio of the whole goes on falling with the length, so from a chunk on the chunks decide.
+ratio of the whole goes on falling with the length, so from a chunk on the chunks decide; the
+last chunk ends with the text. Texts shorter than a chunk are cut into smaller pieces for noise.
+Random letters compress like dense technical prose and count as noise from a third of the chunks.
 
 Null and empty texts have no words and fail the base rules. Nothing depends on other rows, so
 repeated rows and ties get equal verdicts, and every row is a row of the result; an empty table
@@ -30,8 +32,10 @@ CHUNK = 2048
 # length between the rows, level before the first, and lower by FALL for each doubling after the last
 BANDS = ((300, 0.500, 0.85), (600, 0.490, 0.79), (1_000, 0.475, 0.74), (1_500, 0.458, 0.72), (2_048, 0.444, 0.70))
 FALL = 0.03  # prose falls by 0.01 to 0.02
-CHUNK_BAND = (0.455, 0.80)  # more than half of the full chunks reach the first, half stay within the second
+CHUNK_BAND = (0.455, 0.68)  # more than half of the chunks reach the first, nine in ten stay within the second
 CHUNK_FLOOR = 0.300  # and none below this
+LETTERS, ASCII = 0.585, 0.75  # at most a third of chunks of so much ASCII is above: random letters
+PIECE, PIECE_HIGH = 512, 0.80  # texts shorter than a chunk: nine in ten pieces stay within
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 VERDICT = "base_failed boolean, kept boolean, ratio double, reason string"
@@ -95,6 +99,11 @@ def whole_band(size: int) -> tuple[float, float]:
     return float(max(0.0, np.interp(spot, at, low) - FALL * max(0.0, spot - at[-1]))), float(np.interp(spot, at, high))
 
 
+def pieces(text: bytes, size: int) -> list[bytes]:
+    """Consecutive stretches of ``size`` bytes; the last ends with the text and may overlap its forerunner."""
+    return [text[k : k + size] for k in (*range(0, len(text) - size, size), len(text) - size)] if len(text) >= size else []
+
+
 def compression_reason(text: bytes, squeeze: zstandard.ZstdCompressor) -> tuple[float, str | None]:
     """Ratio of the whole text, and why the bands reject it, if they do."""
     ratio = len(squeeze.compress(text)) / len(text)
@@ -103,11 +112,15 @@ def compression_reason(text: bytes, squeeze: zstandard.ZstdCompressor) -> tuple[
         return ratio, "repetitive"
     if ratio > high:
         return ratio, "incompressible"
-    chunks = [text[k : k + CHUNK] for k in range(0, len(text) - CHUNK + 1, CHUNK)]
+    chunks = pieces(text, CHUNK)
     ratios = np.array([len(squeeze.compress(c)) / CHUNK for c in chunks])
-    if len(ratios) and (ratios.min() < CHUNK_FLOOR or 2 * (ratios < CHUNK_BAND[0]).sum() >= len(ratios)):
+    if not chunks:
+        ratios = np.array([len(squeeze.compress(c)) / PIECE for c in pieces(text, PIECE)])
+        return ratio, "incompressible chunks" if 10 * (ratios > PIECE_HIGH).sum() > len(ratios) else None
+    if ratios.min() < CHUNK_FLOOR or 2 * (ratios < CHUNK_BAND[0]).sum() >= len(ratios):
         return ratio, "repetitive chunks"
-    if 2 * (ratios > CHUNK_BAND[1]).sum() > len(ratios):
+    letters = [r > LETTERS and (np.frombuffer(c, np.uint8) < 128).mean() >= ASCII for r, c in zip(ratios, chunks)]
+    if 10 * (ratios > CHUNK_BAND[1]).sum() > len(ratios) or 3 * sum(letters) > len(ratios):
         return ratio, "incompressible chunks"
     return ratio, None
 

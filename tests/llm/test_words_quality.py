@@ -101,6 +101,43 @@ def test_least_ratio_falls_with_every_length():
     assert quality.compression_reason(passage * 40, quality.zstandard.ZstdCompressor(level=quality.LEVEL))[1] == "repetitive"
 
 
+def prose_of(size):
+    import random
+
+    rng = random.Random(size)
+    known = ["".join(rng.choices("abcdefgimnoprstu", k=rng.randint(2, 9))) for _ in range(900)]
+    return " ".join(rng.choices(known, [1 / (k + 40) for k in range(900)], k=size)).encode()[:size]
+
+
+@pytest.mark.parametrize("clean, noisy", [(12_000, 18_000), (15_000, 15_000), (24_000, 6_000), (4_096, 2_047), (900, 1_000), (300, 600)])
+def test_noise_in_part_of_a_text(clean, noisy):
+    import base64
+    import random
+
+    rng = random.Random(clean)
+    lines = b"\n".join(base64.b64encode(rng.randbytes(57)) for _ in range(noisy // 77 + 1))[:noisy]
+    squeeze = quality.zstandard.ZstdCompressor(level=quality.LEVEL)
+    assert quality.compression_reason(prose_of(clean), squeeze)[1] is None
+    assert quality.compression_reason(prose_of(clean) + b"\n" + lines, squeeze)[1].startswith("incompressible")
+
+
+def test_random_letters_in_half_of_a_text_are_noise():
+    import random
+
+    rng = random.Random(4)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(15_000)).encode()
+    squeeze = quality.zstandard.ZstdCompressor(level=quality.LEVEL)
+    assert quality.compression_reason(prose_of(15_000) + letters, squeeze)[1] == "incompressible chunks"
+
+
+def test_pieces_reach_the_end():
+    for n in (0, 4, 5, 6, 9, 10, 11, 23):
+        text = bytes(range(n))
+        got = quality.pieces(text, 5)
+        assert all(len(p) == 5 for p in got) and len(got) == (-(-n // 5) if n >= 5 else 0)
+        assert n < 5 or (set(b"".join(got)) == set(text) and got[-1] == text[-5:])
+
+
 def test_empty_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(0)
     assert quality.quality_rules(docs).count() == 0 and quality.keep_good(docs).count() == 0
