@@ -1,8 +1,8 @@
 """Main text of web pages: a recurrent labeller over the sequence of leaf blocks.
 
 A page becomes its leaf blocks in page order: stretches of text between block-level tags, with
-the path of open tags above them (names, classes, ids, roles). Scripts, styles, comments and
-heads are no text; character references are decoded; white space inside a block is one space.
+the path of open tags above them (names, classes, ids, roles). Scripts, styles, comments,
+titles, drawings and selection lists are no text; character references are decoded; white space inside a block is one space.
 A numpy bidirectional LSTM reads, for every block, hashed vectors of its tag path and its words
 and a few counts, and labels the block with the whole page as context. Pages run through it in
 batches of similar length.
@@ -32,8 +32,15 @@ from pyspark.sql import DataFrame
 TRAINING_PAGES, ROUNDS, SEED = 800, 5, 7
 PATH_BINS, WORD_BINS, HIDDEN = 128, 64, 16
 BATCH = 256  # pages
+# Tags that cannot stand inside a title, svg or select: they end one that was left open.
+_BLOCK = r"</?(?:html|head|body|article|main|section|header|footer|nav|aside|div|p|h[1-6]|ul|ol|li|dl|dt|dd|table|form|fieldset|figure|figcaption|blockquote|pre|address|details|center)(?=[\s/>])"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head|svg|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style|noscript|template)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    r"|<svg(?=[\s/>])[^>]*/>"
+    rf"|<svg(?=[\s/>])[^>]*>(?:<foreignobject(?=[\s/>]).*?</foreignobject\s*>|(?!</svg(?=[\s/>])|{_BLOCK}).)*(?:</svg(?=[\s/>])[^>]*>)?"
+    rf"|<(?:select|title)(?=[\s/>])[^>]*>(?:(?!</(?:select|title)(?=[\s/>])|<(?:meta|link|base|script|style)(?=[\s/>])|{_BLOCK}).)*(?:</(?:select|title)(?=[\s/>])[^>]*>)?"
+    r"|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -74,6 +81,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             continue
         flush()
         links = 0
+        if tag == "head":  # its tags have no text; what cannot stand in it belongs to the body
+            continue
         if m[2]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:

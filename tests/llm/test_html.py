@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from tabularium.llm import html
 
@@ -14,6 +15,31 @@ def test_blocks():
     assert html.blocks("") == [] == html.blocks("<p>  </p><script>x") and html.blocks("a < b")[0][0] == "a < b"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>T</title><body><article><p>one</article>", ["one"]),
+    ("<html><head><title>T</title><meta charset=utf-8><link rel=x><p>one<p>two", ["one", "two"]),
+    ("<head><title>T<meta charset=utf-8></head><body><p>one", ["one"]),
+    ("<head><title>T <b>bold</b> < U</title></head><p>one", ["one"]),
+    ("<p>one <svg width='1' /> two</p><p>three</p>", ["one two", "three"]),
+    ("<p>one <svg><title>t</title><text>no</text></svg> two<p>three", ["one two", "three"]),
+    ("<svg><foreignObject><div>no</div></foreignObject></svg><p>one", ["one"]),
+    ("<div><svg><path d='M0'><p>one</p></div>", ["one"]),
+    ("<form><select><option>no<option>no</form><p>one", ["one"]),
+    ("<select><option>no</option></select><p>one", ["one"]),
+    ("<head-line>one</head-line><svg-icon>two</svg-icon><style-note>three</style-note>", ["one", "two", "three"]),
+    ("<script>no</script ><style>no</style\n><p>one", ["one"]),
+])
+def test_open_and_custom_tags(page, want):
+    assert [t for t, _, _ in html.blocks(page)] == want
+
+
+def test_article_of_a_page_without_end_of_head(spark):
+    body = "<article><h1>Title of it</h1><p>Some text that is read by many.</p></article><footer>© x</footer>"
+    pages = spark.createDataFrame([(k, "u", f"<html><head><title>T</title>{end}<body>{body}") for k, end in enumerate(["</head>", ""])], "page_id long, url string, html string")
+    texts = [r.text for r in html.extract_main(pages).collect()]
+    assert texts[0] == texts[1] and texts[0].startswith("Title of it")
+
+
 def test_gradients_match_differences():
     inputs, labels = html.training_set(3, 5)
     x, mask = html.pad(inputs)
