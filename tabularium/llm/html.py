@@ -29,7 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TRAINING_PAGES, ROUNDS, SEED = 800, 5, 7
+TRAINING_PAGES, ROUNDS, SEED = 800, 6, 7
+LONG_PAGES = ((240, 12), (64, 60), (32, 400))  # more of them: how many, blocks of an article at most
 PATH_BINS, WORD_BINS, HIDDEN = 128, 64, 16
 BATCH = 256  # pages
 # Tags that cannot stand inside a title, svg or select: they end one that was left open.
@@ -231,8 +232,9 @@ class PageComposer:
         "header": ["Menu", "Skip to content"],
     }
 
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, longest: int = 0):
         self.r = random.Random(seed)
+        self.longest = longest  # blocks of a long article; 0 for usual ones
         self.learn_language()
 
     def learn_language(self) -> None:
@@ -268,16 +270,31 @@ class PageComposer:
             parts += [self.wrap(r.choice([("div", "comment"), ("li", "reply"), ("div", "reply"), ("li", "comment")]), f"<p>{self.words(2, 50)}</p>") for _ in range(r.randint(1, 6))]
         else:
             tag = r.choice(["p", "div", "span", ""])
-            parts += [f"<{tag}>{self.words(1, 40)}</{tag}>" if tag else self.words(1, 40) for _ in range(r.randint(1, 2))]
-        if r.random() < 0.5:
+            most = r.choice([3, 40]) if self.longest else 40
+            parts += [f"<{tag}>{self.words(1, most)}</{tag}>" if tag else self.words(1, most) for _ in range(r.randint(1, 2))]
+        if self.longest and r.random() < 0.3:  # nothing but a set phrase
+            parts = [f"{r.choice(self.PHRASES[kind])} {r.choice(self.syllables)}"]
+        elif r.random() < 0.5:
             parts.insert(r.randint(0, len(parts)), f"<p>{r.choice(self.PHRASES[kind])}</p>")
         return self.wrap(r.choice(self.SMALL[kind]), "".join(parts))
 
+    def run(self) -> str:
+        """An article of many blocks of one kind, half of the time one text over and over."""
+        r, tag = self.r, self.r.choice(["p", "p", "p", "li", "div", "td", "blockquote"])
+        size = r.choice([(1, 12), (5, 30), (30, 90)])
+        text = self.words(*size) if r.random() < 0.5 else ""
+        parts = [f"<{tag}>{self.MARK}{text or self.words(*size)}</{tag}>" for _ in range(r.randint(1, self.longest))]
+        if r.random() < 0.5:
+            parts.insert(0, f"<h1>{self.MARK}{self.words(2, 12)}</h1>")
+        return self.wrap(r.choice(self.BODY), "".join(parts))
+
     def article(self) -> str:
         r, mark, parts = self.r, self.MARK, []
+        if self.longest and r.random() < 0.5:
+            return self.run()
         if r.random() < 0.85:
             parts.append(f"<h1>{mark}{self.words(2, 12)}</h1>")
-        for _ in range(r.randint(1, 12)):
+        for _ in range(r.randint(1, self.longest or 12)):
             tag = r.choice(["p"] * 8 + ["h2", "h3", "blockquote", "pre", "li", "div", "td", "figcaption"])
             text = mark + (self.words(1, 8) if tag in ("h2", "h3", "figcaption") else self.words(*r.choice([(1, 12), (5, 90), (40, 200)])))
             if tag == "li":
@@ -298,18 +315,19 @@ class PageComposer:
     def page(self) -> str:
         r = self.r
         self.learn_language()
-        top = [self.boilerplate(k) for k in ("notice", "header", "nav", "ad", "form") if r.random() < 0.5]
+        share = r.choice([0.0, 0.5]) if self.longest else 0.5
+        top = [self.boilerplate(k) for k in ("notice", "header", "nav", "ad", "form") if r.random() < share]
         r.shuffle(top)
-        bottom = [self.boilerplate(k) for k in ("ad", "comments", "aside", "form", "notice") if r.random() < 0.4]
+        bottom = [self.boilerplate(k) for k in ("ad", "comments", "aside", "form", "notice") if r.random() < 0.8 * share]
         r.shuffle(bottom)
         bottom += [self.boilerplate("footer")] if r.random() < 0.8 else []
         body = "".join([*top, self.article() if r.random() < 0.96 else "", *bottom])
         return f"<html><head><title>{self.words(1, 9)}</title></head><body>{self.wrap(('div', 'page'), body) if r.random() < 0.4 else body}"
 
 
-def training_set(n: int, seed: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Inputs and labels of composed pages."""
-    composer, inputs, labels = PageComposer(seed), [], []
+def training_set(n: int, seed: int, longest: int = 0) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Inputs and labels of composed pages, with articles of up to ``longest`` blocks if that is given."""
+    composer, inputs, labels = PageComposer(seed, longest), [], []
     for _ in range(n):
         found = blocks(composer.page())
         if found:
@@ -323,13 +341,19 @@ def trained() -> Labeller:
     """The labeller, fitted with Adam on composed pages."""
     model = Labeller()
     inputs, labels = training_set(TRAINING_PAGES, SEED)
+    usual = len(inputs)
+    for n, longest in LONG_PAGES:
+        more = training_set(n, SEED + longest, longest)
+        inputs, labels = inputs + more[0], labels + more[1]
     rng = np.random.default_rng(SEED)
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in "12")
     step = 0
-    for _ in range(ROUNDS):
-        order = rng.permutation(len(inputs))
-        for k in range(0, len(order), 16):
-            some = order[k : k + 16]
+    long = sorted(range(usual, len(inputs)), key=lambda k: len(inputs[k]))  # pages of like length together
+    for turn in range(ROUNDS):
+        rate = 0.01 * (1 - turn / ROUNDS)
+        order = rng.permutation(usual)
+        batches = [order[k : k + 16] for k in range(0, usual, 16)] + [long[k : k + 16] for k in range(0, len(long), 16)]
+        for some in (batches[k] for k in rng.permutation(len(batches))):
             x, mask = pad([inputs[i] for i in some])
             y = np.zeros(mask.shape)
             for j, i in enumerate(some):
@@ -338,7 +362,7 @@ def trained() -> Labeller:
             for name, g in model.gradients(x, mask, y).items():
                 first[name] = 0.9 * first[name] + 0.1 * g
                 second[name] = 0.99 * second[name] + 0.01 * g * g
-                model.p[name] = model.p[name] - 0.01 * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
+                model.p[name] = model.p[name] - rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
     return model
 
 

@@ -72,6 +72,21 @@ def test_held_out_accuracy():
     assert right.mean() > 0.95
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 12, 200, 2_000, 20_000])
+def test_no_paragraph_of_a_plain_article_is_lost(n):
+    model = html.trained()
+    for title in ("", "<h1>Title of it</h1>"):
+        for footer in ("", "<footer>© x</footer>"):
+            found = html.blocks(f"<article>{title}{'<p>Words of a long text here.</p>' * n}</article>{footer}")
+            assert list(model.label([html.vectors(found)])[0]) == [True] * (n + bool(title)) + [False] * bool(footer)
+
+
+def test_held_out_accuracy_of_long_pages():
+    inputs, labels = html.training_set(20, 97, 400)
+    right = np.concatenate([f == l.astype(bool) for f, l in zip(html.trained().label(inputs), labels)])
+    assert max(map(len, labels)) > 300 and right.mean() > 0.98
+
+
 def test_given_pages(spark, data):
     pages = spark.read.parquet(f"{data}/pages.parquet")
     rows = html.extract_main(pages.selectExpr("*", "1 as text", "2 as n_chars")).collect()
