@@ -9,10 +9,11 @@
 * ``rank``: place in a topological order of the conversation. A call comes after all calls it
   names in ``after``; among free calls the earlier turn goes first. The sort key is the pair
   (latest turn among the call and all it depends on, steps past that turn), found by joins that
-  repeat until nothing changes; references forward in time are therefore followed, whole
-  conversations are never gathered. Calls on a cycle, and calls of no later turn that wait for
-  one, are ``cyclic``: their key would grow for ever, so the joins stop once a chain is longer
-  than ``depth``. A call of a later turn does not wait for cyclic ones.
+  repeat until nothing changes; references forward in time are therefore followed. Calls on a
+  cycle, and calls of no later turn that wait for one, are ``cyclic``: their key would grow for
+  ever. Conversations that still change after ``depth`` rounds, by a cycle or a longer chain, are
+  ordered one by one in tasks, from ids, turns and references alone; that is exact for chains of
+  any length. A call of a later turn does not wait for cyclic ones.
 * ``problems``: sorted list of what the schema of the named tool finds wrong (``unknown tool``,
   ``not json``, ``missing <field>``, ``type <field>``, ``extra <field>``).
 * ``line``: the call and its result as canonical JSON: sorted keys, no spaces, ASCII escapes.
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 
 from tabularium.session import stored
 
-DEPTH = 64  # longest chain of calls that share one turn key; longer ones count as cycles
+DEPTH = 64  # rounds of joins, after which the conversations left are ordered one by one
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
 
 
@@ -72,19 +73,62 @@ def _first(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(F.struct("turn", "text")).alias("first"))
 
 
+def order_of(turns: dict[str, int | None], needs: list[tuple[str, str]]) -> dict[str, tuple[int | None, int, bool]]:
+    """(key, steps, cyclic) of the calls of one conversation, in time linear in calls and references."""
+    users: dict[str, list[str]] = {k: [] for k in turns}
+    for one, other in needs:
+        users[other].append(one)
+    key: dict[str, int | None] = {}
+    for first in sorted(turns, key=lambda k: (turns[k] is not None, turns[k] or 0), reverse=True):
+        todo = [first] if first not in key else []
+        while todo:  # whatever depends on the latest turn has its key
+            one = todo.pop()
+            if one not in key:
+                key[one] = turns[first]
+                todo += users[one]
+    waits = dict.fromkeys(turns, 0)
+    for one, other in needs:
+        waits[one] += key[one] == key[other]
+    free, steps, placed = [k for k in turns if not waits[k]], dict.fromkeys(turns, 0), set()
+    while free:
+        other = free.pop()
+        placed.add(other)
+        for one in users[other]:
+            if key[one] == key[other]:
+                steps[one] = max(steps[one], steps[other] + 1)
+                waits[one] -= 1
+                if not waits[one]:
+                    free.append(one)
+    return {k: (key[k], steps[k], k not in placed) for k in turns}
+
+
 def _order(calls: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     """(conv, id, key, steps, cyclic) of calls; ``edges`` are (conv, id, needs) of known calls."""
     state = stored(calls.select("conv", "id", F.col("turn").alias("key"), F.lit(0).alias("steps")), "calls")
     edges = stored(edges, "call-edges")
-    for _ in range(10 * depth):
+    start, moved = state, None
+    for _ in range(depth):
         need = state.select("conv", F.col("id").alias("needs"), F.col("key").alias("k"), F.col("steps").alias("s"))
         late = edges.join(need, ["conv", "needs"]).groupBy("conv", "id").agg(F.max(F.struct("k", F.col("s") + 1)).alias("late"))
         moved = state.join(late, ["conv", "id"]).where(F.col("late") > F.struct(F.col("key").alias("k"), F.col("steps").alias("s")))
-        moved = stored(moved.where(F.col("steps") <= depth).select("conv", "id", F.col("late.k").alias("k"), F.col("late.col2").alias("s")), "calls-moved")
+        moved = stored(moved.select("conv", "id", F.col("late.k").alias("k"), F.col("late.col2").alias("s")), "calls-moved")
         if moved.isEmpty():
-            break
+            return state.withColumn("cyclic", F.lit(False))
         state = stored(state.join(moved, ["conv", "id"], "left").select("conv", "id", F.coalesce("k", "key").alias("key"), F.coalesce("s", "steps").alias("steps")), "calls")
-    return state.withColumn("cyclic", F.col("steps") > depth)
+    if moved is None:
+        moved = state
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        turns = {i: None if pd.isna(t) else int(t) for i, t in zip(rows["id"], rows["turn"])}
+        found = order_of(turns, [(i, n) for i, n in zip(rows["id"], rows["needs"]) if not pd.isna(n)])
+        out = [(rows["conv"].iloc[0], i, None if k is None else str(k), s, c) for i, (k, s, c) in found.items()]
+        return pd.DataFrame(out, columns=["conv", "id", "key", "steps", "cyclic"])
+
+    open_ = stored(moved.select("conv").distinct(), "calls-open")
+    rest = start.join(open_, "conv", "left_semi").select("conv", "id", F.col("key").cast("string").alias("turn")).join(edges, ["conv", "id"], "left")
+    rest = rest.groupBy("conv").applyInPandas(finish, "conv string, id string, key string, steps int, cyclic boolean")
+    done = state.join(open_, "conv", "left_anti").withColumn("cyclic", F.lit(False))
+    return done.unionByName(rest.withColumn("key", F.col("key").cast("long")))
 
 
 def link_calls(messages: DataFrame, schemas: dict[str, dict], depth: int = DEPTH) -> DataFrame:

@@ -38,6 +38,19 @@ def test_links_order_and_checks(spark):
     assert json.loads(rows[(1, 0, "b")].line)["result"] == "early"
 
 
+def test_chains_longer_than_the_rounds_are_no_cycles(spark):
+    n = 70
+    rows = [(1, 0, "assistant", call(f"c{k:02}", after=[f"c{k + 1:02}"])) for k in range(n)]  # one turn, backwards
+    rows += [(2, k, "assistant", call(f"c{k:02}", after=[f"c{k + 1:02}"])) for k in range(n)]  # forward in time
+    rows += [(3, 0, "assistant", call("a", after=["b"])), (3, 0, "assistant", call("b", after=["a"])), (3, 0, "assistant", call("w", after=["a"])), (3, 1, "assistant", call("z", after=["a"]))]
+    rows += [(4, None, "assistant", call("y", after=["x"])), (4, None, "assistant", call("x"))]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.id): (r.status, r.rank) for r in chat.link_calls(messages, SCHEMAS, depth=3).collect()}
+    assert all(got[c, f"c{k:02}"] == ("unanswered", n - k) for c in (1, 2) for k in range(n))
+    assert [got[3, k] for k in "abwz"] == [("cyclic", None)] * 3 + [("unanswered", 1)]
+    assert got[4, "x"] == ("unanswered", 1) and got[4, "y"] == ("unanswered", 2)
+
+
 def test_problems():
     assert chat.problems_of('{"x": true, "y": 1}', SCHEMAS["add"]) == ["extra y", "type x"]
     assert chat.problems_of("{}", SCHEMAS["add"]) == ["missing x"]
