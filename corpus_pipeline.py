@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next stage's documents. All but the last return the columns of documents.
 Rows that repeat an id are one document and stay or go together. A text of which the third
-stage leaves no word has no content left and goes.
+stage leaves no word stays as an empty text.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; ``n_chars`` follows the text."""
     kept = remove_repeats(docs, rewrite=True)
-    kept = kept.where("text is null or text <> ''")
     size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
     return kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

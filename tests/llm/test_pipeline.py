@@ -44,3 +44,13 @@ def test_stages_against_brute_force(spark, data):
         docs = spark.createDataFrame(rows, after.schema) if name != "packing" else docs
     got = corpus_pipeline.run(spark, data)
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in rows)
+
+
+def test_documents_without_a_word_left_stay(spark, data):
+    passage = " ".join(f"word{k}" for k in range(20))
+    rows = [(1, passage, "en", "a", len(passage)), (2, passage, "en", "a", len(passage)), (3, "", "en", "a", 0), (4, None, "en", "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.repeated_passages(spark, docs, data)
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in left.collect()) == [(1, passage, len(passage)), (2, "", 0), (3, "", 0), (4, None, None)]
+    packed = corpus_pipeline.packing(spark, corpus_pipeline.decontamination(spark, left, data), data)
+    assert sorted(r.doc_id for r in packed.collect()) == [1, 2, 3, 4]
