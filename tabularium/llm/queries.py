@@ -170,3 +170,12 @@ def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.html import extract_main
 
     return extract_main(table(spark, folder, "pages"))
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tabularium.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
