@@ -179,3 +179,64 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from tabularium.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    "op12_collocations",
+    """
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+    pos AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k)),
+    f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM pos GROUP BY ALL),
+    n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, a FROM f WHERE k > 1 AND a >= 100),
+    cut AS (SELECT lang, phrase, a, w, unnest(range(1, k)) AS j, k FROM c),
+    s AS (SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, n.n,
+                 CAST(CAST(1000 AS HUGEINT) * cut.a * n.n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+          FROM cut JOIN n ON n.lang = cut.lang
+          JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1:j], ' ')
+          JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[j + 1:], ' ')),
+    m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inner_ AS (SELECT lang, array_to_string(w[i:i + v - 1], ' ') AS phrase, max(a) AS longer
+               FROM (SELECT lang, w, k, a, unnest(range(2, k)) AS v FROM c), unnest(range(1, k - v + 2)) AS u(i) GROUP BY ALL),
+    kept AS (SELECT m.* FROM m LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+    """,
+)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
+@query(
+    "op13_prefix_trie",
+    """
+    WITH own AS (SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+                 FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    b AS (SELECT *, [4294967295] || flatten(list_transform(range(1, length(CAST(c AS VARCHAR)) + 1),
+                 lambda i: [CAST(ascii(substr(CAST(c AS VARCHAR), i, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM own),
+    h AS (SELECT c, turns, xor(list_reduce(steps, lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384 * (s & 1)) END),
+                 4294967295) % 6 AS h FROM b),
+    built AS (SELECT h.c, coalesce(base.turns[1:h.h], []) || coalesce(h.turns[h.h + 1:], []) AS path
+              FROM h LEFT JOIN own base ON base.c = h.c - h.c % 100),
+    m AS (SELECT c, path[1:d] AS p, d, d = len(path) AS ends FROM (SELECT c, path, unnest(range(len(path) + 1)) AS d FROM built)),
+    node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS ids
+             FROM m GROUP BY p, d),
+    kid AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+    share AS (SELECT node.p, node.d, CASE WHEN node.d = 0 THEN 0 ELSE (n - 1) * length(node.p[node.d].t) END AS v,
+                     CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf
+              FROM node LEFT JOIN kid USING (p, d)),
+    up AS (SELECT p[1:k] AS p, k AS d, CAST(sum(v) AS BIGINT) AS saved, CAST(sum(leaf) AS BIGINT) AS leaves
+           FROM (SELECT p, v, leaf, unnest(range(d + 1)) AS k FROM share) GROUP BY ALL)
+    SELECT node.conv_id, node.d AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(n_children, 0) AS n_children,
+           leaves AS n_leaves, saved AS saved_tokens, sha256(node.ids) AS ends_sha256
+    FROM node JOIN up USING (p, d) LEFT JOIN kid USING (p, d) LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.p = node.p[1:node.d - 1]
+    """,
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from tabularium.llm.prefixes import prefix_trie
+
+    return prefix_trie(table(spark, folder, "conversations"))

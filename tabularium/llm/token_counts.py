@@ -33,15 +33,16 @@ from tabularium.llm import words as W
 FREQUENT = 1 << 15  # pre-tokens in the broadcast table
 KEY_BYTES = 48  # of one of them: the table never exceeds FREQUENT * (KEY_BYTES + 2) bytes
 COUNTERS = 1 << 17  # pre-tokens that a task counts at once
-CACHE = 1 << 17  # missed pre-tokens whose lengths a task keeps
+CACHE = 1 << 19  # missed pre-tokens whose lengths a task keeps
 CACHED_CHARS = 256  # longer pre-tokens are encoded each time
 PART = 1 << 18  # characters of a text cut at once
 HELD = 1 << 17  # pre-tokens looked up at once
 SLICE_BYTES = 1 << 20
 # The pattern of byte-level pre-tokenization (a fixed value of the tokenizer format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Characters outside these ranges may be newer than one of the two Unicode tables.
-UNUSUAL = r"[^\x00-՗Ḁ-῿ - ₠-₸℀-⅏　-ゖ一-龥가-힣]"
+# Ranges of characters that both Unicode tables class alike; texts with others are cut by the library.
+USUAL = [(0x00, 0x557), (0x1E00, 0x1FFF), (0x2000, 0x205F), (0x20A0, 0x20B8), (0x2100, 0x214F), (0x3000, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
+UNUSUAL = "[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in USUAL) + "]"
 
 
 class PreTokens:
