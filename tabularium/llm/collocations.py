@@ -35,6 +35,7 @@ SLICE_BYTES = 1 << 19
 KEPT = 1 << 20  # keys that a task sums before it hands them on
 FILTER_BITS = 27  # a filter has at most 2 ** 27 bits; a fuller one costs time, never phrases
 SHARD = 1 << 18  # candidates of a trie
+WINDOW = 1 << 16  # slots behind the last one used that are searched for room for a state's children
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -174,15 +175,15 @@ class Sums:
 
 def frequent(docs: DataFrame, filters: list[Filter], least: int) -> DataFrame:
     """Keys of the next level's windows that occur ``least`` times, and of the languages at the first."""
-    held, k = docs.sparkSession.sparkContext.broadcast(filters), len(filters) + 1
+    held, k = docs.sparkSession.sparkContext.broadcast([tuple(f) for f in filters]), len(filters) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums()
+        sums, known = Sums(), [Filter(*f) for f in held.value]
         for batch in batches:
             for piece in W.slices(batch, limit=SLICE_BYTES):
                 p = split(piece)
                 alive = np.ones(len(p.keys), bool)
-                for at in levels(p, held.value):
+                for at in levels(p, known):
                     alive = np.zeros(len(p.keys), bool)
                     alive[at] = True
                 sums.add(phrase_keys(p.keys, _next(p, alive, k), k))
@@ -205,7 +206,7 @@ def candidates(docs: DataFrame, filters: list[Filter]) -> DataFrame:
 
     With its language's key, its words' keys and the keys of both parts of every cut.
     """
-    held = docs.sparkSession.sparkContext.broadcast(filters)
+    held = docs.sparkSession.sparkContext.broadcast([tuple(f) for f in filters])
 
     def lists(columns: list[np.ndarray]) -> pa.Array:
         flat = np.stack(columns, axis=1).reshape(-1).view(np.int64)
@@ -213,11 +214,11 @@ def candidates(docs: DataFrame, filters: list[Filter]) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Sums()
+        seen, known = Sums(), [Filter(*f) for f in held.value]
         for batch in batches:
             for piece in W.slices(batch, limit=SLICE_BYTES):
                 p, raw = split(piece), None
-                for k, at in enumerate(levels(p, held.value), 1):
+                for k, at in enumerate(levels(p, known), 1):
                     if k == 1 or not len(at):
                         continue
                     keys, first = np.unique(phrase_keys(p.keys, at, k), return_index=True)
@@ -247,7 +248,8 @@ def candidates(docs: DataFrame, filters: list[Filter]) -> DataFrame:
 class Trie(NamedTuple):
     """A double array over the words of a shard: a state's child by word w is base[state] + w."""
 
-    words: np.ndarray  # sorted keys; word w is words[w - 1]
+    words: np.ndarray  # sorted keys
+    labels: np.ndarray  # the number, from 1, of each
     base: np.ndarray  # 0 where a state has no child
     check: np.ndarray  # parent state of each slot, -1 for none; the root is slot 0
     accepts: np.ndarray  # number of the phrase that ends in a state, or -1
@@ -256,7 +258,7 @@ class Trie(NamedTuple):
     def walk(self, p: Pieces) -> Iterator[np.ndarray]:
         """Per level the states of all positions that are still in the trie."""
         word = np.minimum(np.searchsorted(self.words, p.keys), len(self.words) - 1)
-        word = np.where(self.words[word] == p.keys, word + 1, 0)
+        word = np.where(self.words[word] == p.keys, self.labels[word], 0)
         at = np.flatnonzero(word)
         state, depth = np.zeros(len(at), np.int64), 0
         while len(at):
@@ -275,9 +277,11 @@ def build_trie(phrases: np.ndarray, words: list[np.ndarray]) -> Trie:
     """The trie of phrases, given by key and by the keys of their words."""
     sizes = np.array([len(w) for w in words])
     flat = np.concatenate(words)
-    known, number = np.unique(flat, return_inverse=True)
+    known, number, often = np.unique(flat, return_inverse=True, return_counts=True)
+    label = np.empty(len(known), np.int64)  # frequent words get small labels, which keeps the rows of a state short
+    label[np.argsort(-often, kind="stable")] = np.arange(1, len(known) + 1)
     labels = np.zeros((len(words), sizes.max()), np.int64)  # 0 where a phrase has ended
-    labels[np.arange(sizes.max()) < sizes[:, None]] = number + 1
+    labels[np.arange(sizes.max()) < sizes[:, None]] = label[number]
     node, parents, names = np.zeros(len(words), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     ends, count = np.zeros(len(words), np.int64), 1
     for depth in range(labels.shape[1]):
@@ -294,24 +298,22 @@ def build_trie(phrases: np.ndarray, words: list[np.ndarray]) -> Trie:
     first = np.flatnonzero(np.append(True, np.diff(parent) > 0))
     last = np.append(first[1:], len(parent))
     room = len(known) + 2  # children lie behind as many slots as there are words, so that bases stay positive
-    free = np.ones(room + 2 * len(parent) + len(known) + 2, bool)
+    free = np.ones(2 * room + 2 * len(parent), bool)
     free[:room] = False
-    base, slot, top, low = np.zeros(count, np.int64), np.zeros(count, np.int64), room, room
+    base, slot, top = np.zeros(count, np.int64), np.zeros(count, np.int64), room
     many = np.flatnonzero(last - first > 1)
     for f in many[np.argsort(-(last - first)[many], kind="stable")]:
         own = name[first[f] : last[f]]
-        while low < top and not free[low]:
-            low += 1
-        tried = low + np.flatnonzero(free[low : low + 256])
-        if tried[-1] - own[0] + own[-1] >= len(free):
-            free = np.append(free, np.ones(len(free), bool))
-        fits = np.flatnonzero(free[(tried - own[0])[:, None] + own].all(axis=1))
-        at = int(tried[fits[0]] if len(fits) else top) - int(own[0])
-        if at + own[-1] >= len(free):
-            free = np.append(free, np.ones(len(free), bool))
-        free[at + own] = False
-        top = max(top, at + int(own[-1]) + 1)
-        base[parent[first[f]]], slot[child[first[f] : last[f]]] = at, at + own
+        if top + own[-1] >= len(free):
+            free = np.append(free, np.ones(len(free) + int(own[-1]), bool))
+        low = max(room, top - WINDOW)
+        at = low + np.flatnonzero(free[low : top + 1])  # where the first child may go; the last of these always fits
+        for w in own[1:]:
+            at = at[free[at + (w - own[0])]]
+        place = int(at[0]) - int(own[0])
+        free[place + own] = False
+        top = max(top, place + int(own[-1]) + 1)
+        base[parent[first[f]]], slot[child[first[f] : last[f]]] = place, place + own
     single = first[last - first == 1]
     places = np.flatnonzero(free)[: len(single)]
     if len(places) < len(single):
@@ -322,7 +324,7 @@ def build_trie(phrases: np.ndarray, words: list[np.ndarray]) -> Trie:
     bases[slot] = base
     check[slot[child]] = slot[parent]
     accepts[slot[ends]] = np.arange(len(phrases))
-    return Trie(known, bases, check, accepts, phrases)
+    return Trie(known, label.astype(np.int32), bases, check, accepts, phrases)
 
 
 def tries(found: DataFrame, shards: int) -> DataFrame:
@@ -351,10 +353,10 @@ def count_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
         rows = built.where(F.col("shard") == shard).select("trie").collect()  # one trie of about SHARD phrases
         if not rows:
             continue
-        held = spark.sparkContext.broadcast(Trie(*pickle.loads(rows[0].trie)))
+        held = spark.sparkContext.broadcast(pickle.loads(rows[0].trie))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trie = held.value
+            trie = Trie(*held.value)
             counts, parts, size = np.zeros(len(trie.base), np.int64), [], 0
             for batch in batches:
                 for piece in W.slices(batch, limit=SLICE_BYTES):
