@@ -213,12 +213,15 @@ def prefix_trie(chat: DataFrame) -> DataFrame:
     nodes = nodes_of(grouped, diverged)
     sums = subtree_sums(nodes, grouped, diverged)
     zero = [F.lit(0).cast("long").alias(c) for c in ("d", "p1", "p2")]
-    totals = nodes.agg(F.coalesce(F.sum("v"), F.lit(0)).alias("saved"), F.coalesce(F.sum("u"), F.lit(0)).alias("leaves"))
-    root = each.groupBy().agg(F.min("conv").alias("rep"), F.count("*").alias("n")).where("n > 0")
+    none = F.lit(None).cast("long")
+    booked = each.select(F.col("conv").alias("rep"), F.lit(1).alias("n"), F.lit(0).alias("v"), F.lit(0).alias("u"))
+    booked = booked.unionByName(nodes.select(none.alias("rep"), F.lit(0).alias("n"), "v", "u"))
+    root = booked.agg(
+        F.min("rep").alias("rep"), F.sum("n").alias("n"), F.sum("v").alias("saved"), F.greatest(F.sum("u"), F.lit(1)).alias("leaves")
+    ).where("n > 0")
     below = nodes.select("d", "p1", "p2", "q1", "q2", "rep", "n").join(sums, ["d", "p1", "p2"])
-    top = root.select(*zero, F.lit(None).cast("long").alias("q1"), F.lit(None).cast("long").alias("q2"), "rep", "n")
-    scalar = totals.select(*zero, "saved", F.greatest("leaves", F.lit(1)).alias("leaves"))
-    every = stored(below.unionByName(top.join(scalar, ["d", "p1", "p2"])), "sums")
+    top = root.select(*zero, none.alias("q1"), none.alias("q2"), "rep", "n", "saved", "leaves")
+    every = stored(below.unionByName(top), "sums")
     children = every.where("d > 0").groupBy((F.col("d") - 1).alias("d"), F.col("q1").alias("p1"), F.col("q2").alias("p2"))
     parents = every.select((F.col("d") + 1).alias("d"), F.col("p1").alias("q1"), F.col("p2").alias("q2"), F.col("rep").alias("parent_conv_id"))
     ends = grouped.where("zd = size").select(F.col("zd").alias("d"), F.col("z1").alias("p1"), F.col("z2").alias("p2"), "conv")
