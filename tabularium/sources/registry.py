@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -75,10 +75,14 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: str)
     ).select(*base.columns)
 
 
-def append_history(df: DataFrame, path: str, run_id: str) -> None:
-    """Append rows of one run to a run-partitioned history table; a retried run replaces itself."""
+def append_history(df: DataFrame, path: str, run_id: str | Column) -> None:
+    """Append rows to a run-partitioned history table, all runs of ``run_id`` in one job.
+
+    A run that is appended again replaces itself; the partitions of other runs are not touched.
+    """
     (
-        df.withColumn("run_id", F.lit(run_id))
+        df.withColumn("run_id", run_id if isinstance(run_id, Column) else F.lit(run_id))
+        .hint("rebalance", "run_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.operators import history as h
+from tabularium.session import new_path
+from tabularium.sources.merge import merge_stream
 from tabularium.sources.readers import event_stream
 from tabularium.sources.registry import latest_complete_run, latest_per, upsert
 from tabularium.streaming import monitor, stateful
@@ -123,10 +125,29 @@ def run_progress(spark, d):
   FROM ev WHERE stage = '{FINAL_STAGE}' AND status IN ('SUCCESS', 'FAILED'))
 SELECT run_id, status, ts AS completed_at, event_id FROM f WHERE rk = 1""")
 def run_completion(spark, d):
-    out = monitor.append_all(stateful.completions(stream(spark, d)), "completions")
+    out = stateful.completions(stream(spark, d))
     return out.withColumn("completed_at", F.col("completed_at").cast("timestamp_ntz"))
 
 
+@query("run_endings", f"""WITH {EV}, e AS (SELECT run_id, epoch_us(ts) AS us, event_id,
+  CASE WHEN stage = '{FINAL_STAGE}' AND status IN ('SUCCESS', 'FAILED') THEN status END AS final FROM ev),
+p AS (SELECT max(us) // 1000 * 1000 - {stateful.LATENESS_S * 1_000_000} AS passed FROM e),
+b AS (SELECT e.*, CASE WHEN us - lag(us) OVER (PARTITION BY run_id ORDER BY us, event_id) > {stateful.SILENCE_S * 1_000_000} THEN 1 ELSE 0 END AS broken
+  FROM e, p WHERE us < passed),
+s AS (SELECT *, sum(broken) OVER (PARTITION BY run_id ORDER BY us, event_id) AS part FROM b),
+n AS (SELECT *, row_number() OVER (PARTITION BY run_id, part ORDER BY us, event_id) AS n FROM s),
+r AS (SELECT run_id, part, min(us) AS started, max(us) + {stateful.SILENCE_S * 1_000_000} AS until, max((us, event_id, n, '')) AS last,
+  min((us, event_id, n, final)) FILTER (final IS NOT NULL) AS done FROM n GROUP BY ALL)
+SELECT run_id, make_timestamp(started) AS started_at, make_timestamp(CASE WHEN done IS NULL THEN until ELSE done[1] END) AS ended_at,
+  coalesce(done[4], 'TIMEOUT') AS status, CASE WHEN done IS NULL THEN last[2] ELSE done[2] END AS event_id,
+  CASE WHEN done IS NULL THEN last[3] ELSE done[3] END AS n_events
+FROM r, p WHERE done IS NOT NULL OR until < passed""")
+def run_endings(spark, d):
+    """How every run ended: in its final stage or by a day of silence."""
+    out = monitor.append_all(stateful.endings(stream(spark, d)), "endings")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
+
+
 @query("bounded_history", f"""WITH {EV}, fr AS (SELECT run_id FROM ev GROUP BY run_id ORDER BY min((ts, event_id)) DESC LIMIT 50),
 r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, event_id DESC) AS back FROM ev)
 SELECT run_id, event_id, stage, status FROM r WHERE back <= 20 AND run_id IN (SELECT run_id FROM fr)""")
@@ -178,11 +199,10 @@ def upsert_latest(spark, d):
 
 @query("stream_upsert", f"WITH {UPSERTED} SELECT run_id, event_id, status, value FROM u")
 def stream_upsert(spark, d):
-    """Every micro-batch is merged into the run-state table of the batch before it."""
-    return monitor.merge_stream(
-        states(stream(spark, d)),
-        lambda base, rows: upsert(base, rows, ["run_id"], "event_id"),
-        "run-state",
+    """Every micro-batch is merged into the buckets of the run-state table that its runs fall into."""
+    root, keys = new_path(spark, "run-state"), ["run_id"]
+    return merge_stream(
+        states(stream(spark, d)), keys, lambda base, rows: upsert(base, rows, keys, "event_id"), root, f"{root}-checkpoint"
     )
 
 
