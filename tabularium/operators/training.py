@@ -1,4 +1,4 @@
-"""Model training: cross-validated ridge from sufficient statistics and boosted trees."""
+"""Model training: cross-validated ridge from sufficient statistics."""
 
 from __future__ import annotations
 
@@ -7,20 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators.scoring import linear
 from tabularium.session import literal_table
-from tabularium.vocabulary import (
-    BOOST_DEPTH,
-    BOOST_RATE,
-    BOOST_ROUNDS,
-    RIDGE_ALPHAS,
-    RIDGE_FOLDS,
-)
+from tabularium.vocabulary import RIDGE_ALPHAS, RIDGE_FOLDS
 
 
 @dataclass
@@ -109,35 +101,3 @@ def _solve(gram: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
     p = len(mean) - 1
     w = np.linalg.solve(centred[:p, :p] + alpha * np.eye(p), centred[:p, p])
     return w, float(mean[p] - mean[:p] @ w)
-
-
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the Spark ML vector ``features``; nulls count as 0."""
-    filled = df.na.fill(0, subset=list(features))
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
-
-
-def fit_boosted(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    validation: Column,
-    rounds: int = BOOST_ROUNDS,
-    depth: int = BOOST_DEPTH,
-    rate: float = BOOST_RATE,
-    seed: int = 42,
-) -> GBTRegressionModel:
-    """Boosted trees with early stopping on the rows where ``validation`` is true."""
-    data = assemble(df, features).select(
-        "features", F.col(label).cast("double").alias("label"), validation.alias("held")
-    )
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=rate,
-        validationIndicatorCol="held",
-        validationTol=1e-4,
-        seed=seed,
-    ).fit(data)

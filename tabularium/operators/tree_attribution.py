@@ -15,35 +15,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.session import new_path
-
-
-def tree_nodes(spark, model: GBTRegressionModel) -> DataFrame:
-    """Node table (tree, weight, node, prediction, cover, left, right, feature, threshold)."""
-    path = new_path(spark, "boosted-model")
-    model.write().overwrite().save(path)
-    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("tree", "meta", "weight")
-    n = F.col("nodeData")
-    return (
-        spark.read.parquet(f"{path}/data")
-        .withColumnRenamed("treeID", "tree")
-        .join(weights.select("tree", "weight"), "tree")
-        .select(
-            "tree",
-            "weight",
-            n["id"].alias("node"),
-            n["prediction"].alias("prediction"),
-            n["rawCount"].cast("double").alias("cover"),
-            n["leftChild"].alias("left"),
-            n["rightChild"].alias("right"),
-            n["split"]["featureIndex"].alias("feature"),
-            F.try_element_at(n["split"]["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"),
-        )
-    )
+from tabularium.operators.boosting import Boosted
 
 
 def leaf_paths(nodes: pd.DataFrame) -> list[tuple[float, dict[int, tuple[float, float, float]]]]:
@@ -89,33 +64,29 @@ def batch_attributions(x: np.ndarray, leaves) -> np.ndarray:
     return phi
 
 
-def tree_attribution(
-    df: DataFrame, model: GBTRegressionModel, features: Sequence[str]
-) -> DataFrame:
-    """Add ``prediction``, ``base_value`` and ``attributions`` (one number per feature).
+def tree_attribution(df: DataFrame, model: Boosted, features: Sequence[str]) -> DataFrame:
+    """Add ``prediction``, ``base_value`` and ``attributions`` (one number per feature)."""
+    return attribute_nodes(df, model.nodes(), features, model.base)
+
+
+def attribute_nodes(df: DataFrame, nodes: pd.DataFrame, features: Sequence[str], constant: float = 0.0) -> DataFrame:
+    """The same from a node table and the constant that the trees add to.
 
     The model, not the data, sets the size of the node table that is shipped to the tasks.
     """
-    spark = df.sparkSession
-    nodes = tree_nodes(spark, model).toPandas()
     leaves = leaf_paths(nodes)
-    base = sum(v * math.prod(s for _, _, s in p.values()) for v, p in leaves)
-    shipped = spark.sparkContext.broadcast(leaves)
+    base = constant + sum(v * math.prod(s for _, _, s in p.values()) for v, p in leaves)
+    shipped = df.sparkSession.sparkContext.broadcast(leaves)
 
     @F.pandas_udf("array<double>")
-    def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def attribute(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         paths = shipped.value
-        for series in batches:
-            if len(series) == 0:
-                yield pd.Series([], dtype=object)
-                continue
-            x = np.vstack(series.to_numpy())
-            yield pd.Series(list(batch_attributions(x, paths)))
+        for columns in batches:
+            x = np.column_stack([c.to_numpy(float) for c in columns])
+            yield pd.Series(list(batch_attributions(x, paths)), dtype=object)
 
-    vector = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)) for f in features])
-    return df.withColumn("base_value", F.lit(float(base))).withColumn(
-        "attributions", attribute(vector)
-    ).withColumn(
+    values = [F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)) for f in features]
+    return df.withColumn("base_value", F.lit(float(base))).withColumn("attributions", attribute(*values)).withColumn(
         "prediction",
         F.col("base_value") + F.aggregate("attributions", F.lit(0.0), lambda a, v: a + v),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tabularium.operators import anomaly, chunking, clean, encode, features, forest, profile
 from tabularium.operators import reports, scoring, training
+from tabularium.operators.boosting import LEAF_WISE, fit_boosted
 from tabularium.operators.canonical import canonical_columns
 from tabularium.operators.market import group_stats
 from tabularium.session import stored
@@ -188,12 +189,11 @@ def predict_all(matrix: DataFrame, encoder: encode.Encoder, rounds: int) -> Data
         keep = [F.col(f"`{n}`").cast("double").alias(a) for n, a in safe.items()]
         return df.select(*keep, F.col(f"`{label}`").alias("label_value"), year.alias("sold"))
 
-    for model_name, depth in (("boosted", 4), ("boosted_deep", 5)):
-        model = training.fit_boosted(
-            plain(fitting), list(safe.values()), "label_value", F.col("sold") == VALIDATION_YEAR,
-            rounds=rounds, depth=depth,
+    for model_name, shape in (("boosted", {}), ("boosted_leaves", LEAF_WISE)):
+        model = fit_boosted(
+            plain(fitting), list(safe.values()), "label_value", F.col("sold") == VALIDATION_YEAR, rounds=rounds, **shape
         )
-        scored = model.transform(training.assemble(plain(held), list(safe.values())))
+        scored = plain(held).withColumn("prediction", model.predict())
         out = out.unionByName(
             scored.select(
                 F.lit(model_name).alias("model_name"),

@@ -130,6 +130,9 @@ RIDGE_FOLDS = 5
 BOOST_ROUNDS = 1000
 BOOST_RATE = 0.05
 BOOST_DEPTH = 4
+BOOST_PATIENCE = 50
+BOOST_LEAVES = 31
+BOOST_LEAF_ROWS = 20
 
 # Pipeline stages and histogram bounds of the monitoring stream.
 STAGES = [

@@ -94,7 +94,7 @@ def test_anomalies(run):
 def test_models(run):
     rows = run.metrics.collect()
     assert {(r["model_name"], r["split"]) for r in rows} == {
-        (m, s) for m in ("ridge", "boosted", "boosted_deep") for s in ("val", "test")
+        (m, s) for m in ("ridge", "boosted", "boosted_leaves") for s in ("val", "test")
     }
     best = run.champion.first()
     assert best["model_name"] == "ridge" and best["test_r2"] > 0.8

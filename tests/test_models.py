@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tabularium.operators import forest, scoring, training
 from tabularium.operators.encode import fit_target, one_hot, ordinal_code, apply_target, fit_categories
-from tabularium.operators.tree_attribution import leaf_paths, batch_attributions, tree_attribution, tree_nodes
+from tabularium.operators.boosting import fit_boosted
+from tabularium.operators.tree_attribution import leaf_paths, batch_attributions, tree_attribution
 
 
 @pytest.fixture(scope="module")
@@ -52,9 +53,9 @@ def test_ridge_cv_error_equals_refit(table):
 def test_boosting_and_attribution(table, spark):
     _, df = table
     names = ["a", "b", "c"]
-    model = training.fit_boosted(df, names, "y", F.col("id") % 5 == 0, rounds=6, rate=0.3)
+    model = fit_boosted(df, names, "y", F.col("id") % 5 == 0, rounds=6, rate=0.3)
     out = tree_attribution(df, model, names)
-    scored = model.transform(training.assemble(df, names)).select("id", F.col("prediction").alias("p"))
+    scored = df.select("id", model.predict().alias("p"))
     both = out.join(scored, "id")
     assert both.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
     spread = both.agg(F.var_samp("y"), F.avg((F.col("y") - F.col("p")) ** 2)).first()
@@ -65,8 +66,8 @@ def test_attribution_equals_brute_force(spark, table):
     """Every coalition of every tree evaluated by walking the tree."""
     pdf, df = table
     names = ["a", "b", "c"]
-    model = training.fit_boosted(df, names, "y", F.col("id") % 5 == 0, rounds=3, rate=0.5)
-    nodes = tree_nodes(spark, model).toPandas()
+    model = fit_boosted(df, names, "y", F.col("id") % 5 == 0, rounds=3, rate=0.5)
+    nodes = model.nodes()
     x = pdf[names].to_numpy()[:5]
 
     def value(tree, row, known, node=0):
