@@ -1,16 +1,18 @@
 """Collocation mining: candidate phrases counted by double-array tries that every task walks.
 
-Words and phrases of a language are known by 64-bit keys; equal keys count as equal words. First,
-level by level, what may be frequent is found: a phrase of k words can only be frequent if both
-its phrases of k - 1 words are, so each level sums the keys of just those windows and hands a bit
-filter of the keys that reach the limit to the next. The filters have a fixed greatest size and no
-false negatives. One more pass writes the surviving phrases out as candidates.
+Words and phrases of a language are known by 64-bit keys, a phrase's made of those of the phrases
+without its last and without its first word; equal keys count as equal phrases. First, level by
+level, what may be frequent is found: a phrase of k words can only be frequent if both its phrases
+of k - 1 words are, so each level sums the keys of just those windows and hands a bit filter of the
+keys that reach the limit to the next. The filters have a fixed greatest size and no false
+negatives. Joins of the levels then tell the words of every candidate, without another pass.
 
 The candidates are dealt by key into shards of about ``SHARD`` phrases, and a task per shard builds
 a double-array trie of their words. Shard after shard is broadcast (its size is bounded by the
 shard); tasks stream all documents through it: all positions of a slice take their next word at
-once, a level at a time, accepting states are counted by ``bincount``, and the counts of all tasks
-are summed. Only phrases whose counts of the trie reach the limit stay.
+once, a level at a time, accepting states are counted by ``bincount``, and the vectors of all tasks
+are summed in blocks. Only phrases whose counts of the trie reach the limit stay. The spelling
+of words is fetched last, for the phrases that are reported or tie with one.
 
 Null texts are empty, a null language is ``und``. Repeated rows count as often as they occur,
 ids play no part, columns other than text and language are ignored. Long texts are taken whole.
@@ -19,12 +21,13 @@ An empty table, or one without a frequent phrase, gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.llm import words as W
@@ -35,6 +38,7 @@ SLICE_BYTES = 1 << 19
 KEPT = 1 << 20  # keys that a task sums before it hands them on
 FILTER_BITS = 27  # a filter has at most 2 ** 27 bits; a fuller one costs time, never phrases
 SHARD = 1 << 18  # candidates of a trie
+VECTOR = 1 << 12  # counts that are summed as one value
 WINDOW = 1 << 16  # slots behind the last one used that are searched for room for a state's children
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -88,14 +92,9 @@ def split(batch: pa.RecordBatch) -> Pieces:
     return Pieces(data, starts, ends, keys, left, row, langs)
 
 
-def phrase_keys(keys: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """Key of the phrase of ``width`` words at each position; that of one word is the word's own."""
-    if width == 1:
-        return keys[at]
-    total = np.zeros(len(at), np.uint64)
-    for j in range(width):
-        total = total * _BASE + keys[at + j]
-    return W.mix(total)
+def pair_keys(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Key of the phrase whose parts without the last and without the first word have these keys."""
+    return W.mix(W.mix(head) * _BASE + tail)
 
 
 class Filter(NamedTuple):
@@ -124,57 +123,63 @@ def build_filter(keys: DataFrame) -> Filter:
     return Filter(bits, words)
 
 
-def levels(p: Pieces, filters: list[Filter]) -> Iterator[np.ndarray]:
-    """Per level the positions whose phrase, and every phrase inside it, passes its filter."""
-    alive = np.ones(len(p.keys), bool)
+def levels(p: Pieces, filters: list[Filter]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per level the keys at all positions and which of them pass, with every phrase inside, their filters."""
+    keys, alive = p.keys, np.ones(len(p.keys), bool)
     for k, one in enumerate(filters, 1):
-        at = _next(p, alive, k)
-        at = at[one.has(phrase_keys(p.keys, at, k))]
-        alive = np.zeros(len(p.keys), bool)
-        alive[at] = True
-        yield at
+        if k > 1:
+            keys, alive = step(p, keys, alive, k)
+        alive[alive] = one.has(keys[alive])
+        yield keys, alive
 
 
-def _next(p: Pieces, alive: np.ndarray, k: int) -> np.ndarray:
-    """Positions of ``k`` words of a piece whose two phrases of k - 1 words are alive."""
-    if k == 1:
-        return np.arange(len(p.keys))
-    return np.flatnonzero(alive[:-1] & alive[1:] & (p.left[:-1] >= k)) if len(alive) else np.zeros(0, np.int64)
+def step(p: Pieces, keys: np.ndarray, alive: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of ``k`` words at all positions where both phrases of k - 1 words are alive."""
+    on = np.zeros(len(keys), bool)
+    on[:-1] = alive[:-1] & alive[1:] & (p.left[:-1] >= k)
+    at, longer = np.flatnonzero(on), np.zeros(len(keys), np.uint64)
+    longer[at] = pair_keys(keys[at], keys[at + 1])
+    return longer, on
 
 
 class Sums:
-    """How often keys occur; sorted, merged as they come."""
+    """How often keys occur, with the two keys that each is made of; sorted, merged as they come."""
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.n, self.parts, self.held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+        self.columns, self.parts, self.held = [np.zeros(0, np.uint64)] * 3 + [np.zeros(0, np.int64)], [], 0
 
-    def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> None:
-        if n is None:
-            keys, n = np.unique(keys, return_counts=True)
-        self.parts.append((keys, n))
+    def __len__(self) -> int:
+        return len(self.columns[0])
+
+    def add(self, keys: np.ndarray, head: np.ndarray, tail: np.ndarray) -> None:
+        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+        self.parts.append([keys, head[first], tail[first], n])
         self.held += len(keys)
-        if self.held > max(len(self.keys), KEPT // 4):
+        if self.held > max(len(self), KEPT // 4):
             self.merge()
 
     def merge(self) -> None:
-        keys = np.concatenate([self.keys, *[k for k, _ in self.parts]])
-        n = np.concatenate([self.n, *[c for _, c in self.parts]])
+        keys, head, tail, n = (np.concatenate(c) for c in zip(self.columns, *self.parts))
         self.parts, self.held = [], 0
         order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
+        keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-        self.keys, self.n = keys[first], np.add.reduceat(n, first) if len(first) else n
+        n = np.add.reduceat(n[order], first) if len(first) else n
+        self.columns = [keys[first], head[order[first]], tail[order[first]], n]
 
     def batch(self) -> pa.RecordBatch:
         self.merge()
-        return pa.RecordBatch.from_arrays([pa.array(self.keys.view(np.int64)), pa.array(self.n)], ["key", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in self.columns[1:]], ["head", "tail", "n"])
 
 
 def frequent(docs: DataFrame, filters: list[Filter], least: int) -> DataFrame:
-    """Keys of the next level's windows that occur ``least`` times, and of the languages at the first."""
+    """(key, head, tail, n) of the next level's windows that occur ``least`` times.
+
+    At the first level the head of a word is its language, which is also a row of its own.
+    """
     held, k = docs.sparkSession.sparkContext.broadcast([tuple(f) for f in filters]), len(filters) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,67 +187,49 @@ def frequent(docs: DataFrame, filters: list[Filter], least: int) -> DataFrame:
         for batch in batches:
             for piece in W.slices(batch, limit=SLICE_BYTES):
                 p = split(piece)
-                alive = np.ones(len(p.keys), bool)
-                for at in levels(p, known):
-                    alive = np.zeros(len(p.keys), bool)
-                    alive[at] = True
-                sums.add(phrase_keys(p.keys, _next(p, alive, k), k))
                 if k == 1:
-                    sums.add(p.langs[p.row])
-                if len(sums.keys) > KEPT:
+                    langs = p.langs[p.row]
+                    sums.add(p.keys, langs, p.keys)
+                    sums.add(langs, langs, langs)
+                else:
+                    for shorter, alive in levels(p, known):
+                        pass
+                    keys, on = step(p, shorter, alive, k)
+                    at = np.flatnonzero(on)
+                    sums.add(keys[at], shorter[at], shorter[at + 1])
+                if len(sums) > KEPT:
                     yield sums.batch()
                     sums.clear()
         yield sums.batch()
 
-    found = docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return stored(found.where(F.col("n") >= least), f"frequent-{k}")
-
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            head, tail = (batch.column(c).to_numpy().view(np.uint64) for c in ("head", "tail"))
+            keys = tail if k == 1 else pair_keys(head, tail)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *batch.columns], ["key", "head", "tail", "n"])
 
-CANDIDATE = "key long, lang string, phrase string, whole long, words array<long>, heads array<long>, tails array<long>"
+    found = docs.mapInArrow(run, "head long, tail long, n long").groupBy("head", "tail").agg(F.sum("n").alias("n"))
+    return stored(found.where(F.col("n") >= least).mapInArrow(name, "key long, head long, tail long, n long"), f"frequent-{k}")
 
 
-def candidates(docs: DataFrame, filters: list[Filter]) -> DataFrame:
-    """Every phrase of two words or more that passes all filters, once.
+def candidates(tables: list[DataFrame]) -> DataFrame:
+    """(key, whole, words, heads, tails) of every phrase of two words or more in the levels' tables.
 
-    With its language's key, its words' keys and the keys of both parts of every cut.
+    ``whole`` is the language's key; heads and tails are the keys of both parts of every cut.
     """
-    held = docs.sparkSession.sparkContext.broadcast([tuple(f) for f in filters])
-
-    def lists(columns: list[np.ndarray]) -> pa.Array:
-        flat = np.stack(columns, axis=1).reshape(-1).view(np.int64)
-        ends = np.arange(len(columns[0]) + 1, dtype=np.int32) * len(columns)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, known = Sums(), [Filter(*f) for f in held.value]
-        for batch in batches:
-            for piece in W.slices(batch, limit=SLICE_BYTES):
-                p, raw = split(piece), None
-                for k, at in enumerate(levels(p, known), 1):
-                    if k == 1 or not len(at):
-                        continue
-                    keys, first = np.unique(phrase_keys(p.keys, at, k), return_index=True)
-                    new = ~np.isin(keys, seen.keys)
-                    for part in seen.parts:
-                        new &= ~np.isin(keys, part[0])
-                    keys, at = keys[new], at[first[new]]
-                    if not len(at):
-                        continue
-                    seen.add(keys, np.ones(len(keys), np.int64))
-                    raw = raw or p.data.tobytes()
-                    phrases = [b" ".join([raw[p.starts[i + j] : p.ends[i + j]] for j in range(k)]) for i in at.tolist()]
-                    names = piece.column("lang").fill_null("und").take(pa.array(p.row[at]))
-                    columns = [
-                        pa.array(keys.view(np.int64)), names.cast(pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                        pa.array(p.langs[p.row[at]].view(np.int64)), lists([p.keys[at + j] for j in range(k)]),
-                        lists([phrase_keys(p.keys, at, j) for j in range(1, k)]),
-                        lists([phrase_keys(p.keys, at + j, k - j) for j in range(1, k)]),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in CANDIDATE.split(", ")])
-                if len(seen.keys) > KEPT:
-                    seen.clear()
-
-    return stored(docs.mapInArrow(run, CANDIDATE).dropDuplicates(["key"]), "candidates")
+    none = F.array().cast("array<long>")
+    shorter = tables[0].select("key", F.col("head").alias("whole"), F.array("key").alias("words"), none.alias("heads"), none.alias("tails"))
+    out = shorter.limit(0)
+    for level in tables[1:]:
+        first = shorter.select(F.col("key").alias("head"), "whole", F.col("words").alias("before"), "heads")
+        last = shorter.select(F.col("key").alias("tail"), F.col("words").alias("after"), "tails")
+        own = level.join(first, "head").join(last, "tail")
+        shorter = stored(own.select(
+            "key", "whole", F.concat("before", F.slice("after", -1, 1)).alias("words"),
+            F.concat("heads", F.array("head")).alias("heads"), F.concat(F.array("tail"), "tails").alias("tails"),
+        ), "candidates")
+        out = out.unionByName(shorter)
+    return out
 
 
 class Trie(NamedTuple):
@@ -349,6 +336,7 @@ def count_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shards = -(-found.count() // SHARD)
     built, path = tries(found, max(shards, 1)), new_path(spark, "phrase-counts")
+    lanes = math.isqrt(docs.rdd.getNumPartitions()) + 1
     for shard in range(shards):
         rows = built.where(F.col("shard") == shard).select("trie").collect()  # one trie of about SHARD phrases
         if not rows:
@@ -356,6 +344,8 @@ def count_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
         held = spark.sparkContext.broadcast(pickle.loads(rows[0].trie))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
             trie = Trie(*held.value)
             counts, parts, size = np.zeros(len(trie.base), np.int64), [], 0
             for batch in batches:
@@ -368,21 +358,61 @@ def count_phrases(docs: DataFrame, found: DataFrame) -> DataFrame:
                         parts, size = [], 0
             if parts:
                 counts += np.bincount(np.concatenate(parts), minlength=len(counts))
-            met = np.flatnonzero((trie.accepts >= 0) & (counts > 0))
-            keys = trie.phrases[trie.accepts[met]].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[met])], ["key", "n"])
-
-        docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).write.parquet(f"{path}/shard-{shard}")
-        held.destroy()
-    return _read_all(spark, path, shards)
-
-
-def _read_all(spark: SparkSession, path: str, shards: int) -> DataFrame:
+            own = np.zeros(-(-len(trie.phrases) // VECTOR) * VECTOR, np.int64)
+            ends = np.flatnonzero(trie.accepts >= 0)
+            own[trie.accepts[ends]] = counts[ends]
+            vectors = own.reshape(-1, VECTOR)
+            met = np.flatnonzero(vectors.any(axis=1)).astype(np.int32)
+            lane = np.full(len(met), TaskContext.get().partitionId() % lanes, np.int32)
+            columns = [pa.array(met), pa.array(lane), pa.array([v.tobytes() for v in vectors[met]], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "lane", "vector"])
+
+        def add(table: pa.Table) -> pa.Table:
+            total = np.zeros(VECTOR, np.int64)
+            for v in table.column("vector").to_pylist():
+                total += np.frombuffer(v, np.int64)
+            return table.slice(0, 1).set_column(2, "vector", pa.array([total.tobytes()], pa.binary()))
+
+        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = held.value[-1]
+            for batch in batches:
+                for block, v in zip(batch.column("block").to_pylist(), batch.column("vector").to_pylist()):
+                    keys = phrases[block * VECTOR : (block + 1) * VECTOR]
+                    columns = [pa.array(keys.view(np.int64)), pa.array(np.frombuffer(v, np.int64)[: len(keys)])]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
+
+        kind = "block int, lane int, vector binary"
+        sums = docs.mapInArrow(run, kind).groupBy("block", "lane").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind)
+        sums.mapInArrow(name, "key long, n long").write.parquet(f"{path}/shard-{shard}")
     if not shards:
         return spark.createDataFrame([], "key long, n long")
     return spark.read.schema("key long, n long").option("recursiveFileLookup", "true").parquet(path)
 
 
+def spellings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, word) of the wanted keys of words and languages, as the documents spell them."""
+    held = docs.sparkSession.sparkContext.broadcast(tuple(build_filter(wanted)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = Filter(*held.value), np.zeros(0, np.uint64)
+        for batch in batches:
+            for piece in W.slices(batch, limit=SLICE_BYTES):
+                p = split(piece)
+                keys, first = np.unique(p.keys, return_index=True)
+                new = known.has(keys) & ~np.isin(keys, seen)
+                langs, row = np.unique(p.langs, return_index=True)
+                old = np.isin(langs, seen)
+                langs, row = langs[~old], row[~old]
+                words = [p.data[p.starts[i] : p.ends[i]].tobytes() for i in first[new]]
+                names = piece.column("lang").fill_null("und").take(pa.array(row)).cast(pa.string()).to_pylist()
+                keys = np.concatenate([keys[new], langs])
+                seen = np.union1d(seen, keys) if len(seen) < KEPT else keys
+                spelt = pa.array([*words, *[n.encode() for n in names]], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), spelt], ["key", "word"])
+
+    return stored(docs.mapInArrow(run, "key long, word string").groupBy("key").agg(F.min("word").alias("word")), "spellings")
+
+
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000) -> DataFrame:
     """The ``top`` phrases of every language by the score of their weakest cut.
 
@@ -391,20 +421,31 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000) -> DataFram
     """
     texts = docs.select("text", F.col("lang").cast("string").alias("lang"))
     tables, filters = [frequent(texts, [], least)], []
-    while len(tables) <= LONGEST:
+    while len(tables) < LONGEST and not tables[-1].isEmpty():
         filters.append(build_filter(tables[-1].select("key")))
-        if len(tables) == LONGEST or not len(tables[-1].head(1)):
-            break
         tables.append(frequent(texts, filters, least))
-    found = candidates(texts, filters)
+    found = candidates(tables)
     phrases = count_phrases(texts, found).where(F.col("n") >= least)
-    known = stored(tables[0].unionByName(phrases), "known")
-    return rank(found, known, phrases, top)
+    known = stored(tables[0].select("key", "n").unionByName(phrases), "known")
+    best = stored(scored(found, known, phrases, top), "best")
+    parts = best.select("key", "whole", F.posexplode("words").alias("at", "part"))
+    wanted = parts.select(F.col("part").alias("key")).union(parts.select("whole")).distinct()
+    spelt = spellings(texts, stored(wanted, "wanted"))
+    words = parts.join(spelt.withColumnRenamed("key", "part"), "part").groupBy("key").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda w: w["word"]), " ").alias("phrase")
+    )
+    rows = best.join(words, "key").join(spelt.select(F.col("key").alias("whole"), F.col("word").alias("lang")), "whole")
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    rows = rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def rank(found: DataFrame, known: DataFrame, phrases: DataFrame, top: int) -> DataFrame:
-    """Scores, drops and ranks the candidates; ``known`` has the counts of words, phrases and languages."""
-    own = found.drop("words").join(phrases.withColumnRenamed("n", "a"), "key")
+def scored(found: DataFrame, known: DataFrame, phrases: DataFrame, top: int) -> DataFrame:
+    """The phrases among the first ``top`` of their language by score and count, and all that tie with the last.
+
+    ``known`` has the counts of words, phrases and languages.
+    """
+    own = found.join(phrases.withColumnRenamed("n", "a"), "key")
     cut = own.select("key", "whole", "a", F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "c"))
     cut = cut.select("key", "whole", "a", "k", F.col("c.heads").alias("head"), F.col("c.tails").alias("tail"))
     named = lambda key, n: known.select(F.col("key").alias(key), F.col("n").alias(n))
@@ -416,6 +457,6 @@ def rank(found: DataFrame, known: DataFrame, phrases: DataFrame, top: int) -> Da
     inside = own.where(F.size("heads") > 1).select(F.explode(F.array(last("heads"), F.col("tails")[0])).alias("key"), "a")
     inside = inside.groupBy("key").agg(F.max("a").alias("longer"))
     kept = own.join(inside, "key", "left").where("longer IS NULL OR longer < a").join(weakest, "key")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    rows = kept.select("lang", "phrase", "a", "m.l", "m.r", "m.n", "m.score").withColumn("rank", F.row_number().over(order).cast("long"))
-    return rows.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    order = Window.partitionBy("whole").orderBy(F.desc("m.score"), F.desc("a"))
+    kept = kept.withColumn("place", F.rank().over(order)).where(F.col("place") <= top)
+    return kept.select("key", "whole", "words", "a", "m.l", "m.r", "m.n", "m.score")
