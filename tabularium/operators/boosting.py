@@ -356,6 +356,11 @@ class _Blocks:
             rdd.unpersist()
 
 
+def _step(n: int, base: float, spread: float) -> float:
+    """The unit of the whole numbers that residuals are summed as."""
+    return max(2 * (spread + abs(base)), 1e-300) / 2 ** min(STEP_BITS, 62 - int(n).bit_length())
+
+
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -385,8 +390,7 @@ def fit_boosted(
     model = Boosted(list(features), limits, base or 0.0, [])
     if not n:
         return model
-    most = max(2 * (spread + abs(base)), 1e-300)
-    step = most / 2 ** min(STEP_BITS, 62 - int(n).bit_length())
+    step = _step(n, base, spread)
     path, size = new_path(spark, "boosting"), max(len(e) for e in limits) + 1
     pack(df, features, label, held, limits, model.base, path)
     blocks, stump = _Blocks(spark, path), Tree(*[np.zeros(1, np.int64)] * 3, np.zeros(1), np.zeros(1), 0)
@@ -418,3 +422,21 @@ def fit_boosted(
     blocks.close()
     model.trees = model.trees[: best[1]]
     return model
+
+
+def first_histogram(
+    df: DataFrame, features: Sequence[str], label: str, bins: int = BINS,
+    edges: Callable[[DataFrame, Sequence[str], int], list[np.ndarray]] = quantile_edges,
+) -> DataFrame:
+    """(feature, bin, n, residual): what the first growth step sums over all rows; empty bins are left out."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, "boosting")
+    n, base, spread = df.agg(F.count(label), F.avg(label).cast("double"), F.max(F.abs(label)).cast("double")).first()
+    limits, step = edges(df, features, bins), _step(n, base or 0.0, spread or 0.0)
+    pack(df, features, label, F.lit(False), limits, base or 0.0, path)
+    blocks = _Blocks(spark, path)
+    stump, size = Tree(*[np.zeros(1, np.int64)] * 3, np.zeros(1), np.zeros(1), 0), max(len(e) for e in limits) + 1
+    hist, _ = sum_nodes(blocks.rdd, [], stump, [0], step, size, False)
+    blocks.close()
+    filled = zip(*np.nonzero(hist[0, 0])) if n else ()
+    rows = [(features[f], int(k), int(hist[0, 0, f, k]), float(hist[1, 0, f, k] * step)) for f, k in filled]
+    return spark.createDataFrame(rows, "feature string, bin long, n long, residual double")  # features x bins numbers

@@ -38,14 +38,13 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_group_median(
-    df: DataFrame, column: str, group: str, train: Column, rows_bound: int | None = None
+    df: DataFrame, column: str, group: str, train: Column
 ) -> DataFrame:
     """Null ← training median of the row's group, else the global training median."""
     fitted = df.where(train).select(group, column)
     fits = stored(
         quantiles(
-            with_overall(fitted, group, column), ["overall", group], column, {"_median": 0.5},
-            rows_bound, costly=True,
+            with_overall(fitted, group, column), ["overall", group], column, {"_median": 0.5}, costly=True,
         ),
         "group-medians",
     )
@@ -56,11 +55,11 @@ def impute_group_median(
 
 
 def column_medians(
-    df: DataFrame, columns: Sequence[str], rows_bound: int | None = None
+    df: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """One row per column: its exact median over the given rows."""
     return quantiles(
-        long_numbers(df, columns), ["feature"], "value", {"median": 0.5}, rows_bound
+        long_numbers(df, columns), ["feature"], "value", {"median": 0.5}
     ).select("feature", "median")
 
 
@@ -86,7 +85,6 @@ def fill_remaining(
     train: Column,
     columns: Sequence[str] | None = None,
     snapshot: DataFrame | None = None,
-    rows_bound: int | None = None,
 ) -> DataFrame:
     """Remaining nulls: numbers ← training median, strings ← None.
 
@@ -101,7 +99,7 @@ def fill_remaining(
         return out
     source = (df if snapshot is None else snapshot).where(train)
     medians = per_feature(
-        stored(column_medians(source, numeric, rows_bound), "column-medians"), numeric, "median"
+        stored(column_medians(source, numeric), "column-medians"), numeric, "median"
     )
     fills = {c: F.coalesce(_c(c), medians[c].cast(types[c])) for c in numeric}
     return out.withColumns(fills)

@@ -119,11 +119,11 @@ def log_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_robust(
-    train: DataFrame, columns: Sequence[str], rows_bound: int | None = None
+    train: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """Stored table (feature, center, scale): exact median and IQR; a zero IQR scales by 1."""
     probs = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    q = quantiles(long_numbers(train, columns), ["feature"], "value", probs, rows_bound)
+    q = quantiles(long_numbers(train, columns), ["feature"], "value", probs)
     iqr = F.col("q3") - F.col("q1")
     fitted = q.select(
         "feature",
@@ -235,7 +235,7 @@ def _encode(
 
 
 def fit(
-    df: DataFrame, spec: EncodingSpec, train: Column, rows_bound: int | None = None
+    df: DataFrame, spec: EncodingSpec, train: Column
 ) -> Encoder:
     """Fit every parameter on the rows selected by ``train``."""
     rows = df.where(train)
@@ -246,14 +246,14 @@ def fit(
     hot = {f"{c}_{v}" for c, vs in categories.items() for v in vs[1:]}
     skip = {*spec.ids, *spec.keep, spec.target, *hot}
     scaled = [c for c in numeric_columns(encoded) if c not in skip and not c.startswith("log_")]
-    return Encoder(spec, targets, categories, fit_robust(encoded, scaled, rows_bound), scaled)
+    return Encoder(spec, targets, categories, fit_robust(encoded, scaled), scaled)
 
 
 def encode_matrix(
-    df: DataFrame, spec: EncodingSpec, train: Column, rows_bound: int | None = None
+    df: DataFrame, spec: EncodingSpec, train: Column
 ) -> tuple[DataFrame, Encoder]:
     """The fully numeric matrix and the encoder that made it."""
-    encoder = fit(df, spec, train, rows_bound)
+    encoder = fit(df, spec, train)
     return encoder.apply(df), encoder
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,39 +36,78 @@ def _vector(features: Sequence[str]) -> Column:
     )
 
 
+def _uniform(keys: np.ndarray, *salt: int) -> np.ndarray:
+    """A number between 0 and 1 for every 64-bit key; other salts give other numbers."""
+    odd = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+    x = keys ^ np.uint64(sum(s * o for s, o in zip(salt, odd)) & 0xFFFFFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53
+
+
+def least_ranks(keys: np.ndarray, copies: np.ndarray, tree: int, seed: int, below: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranks under ``below`` of all copies of the keys in one tree: ranks, copy numbers, row of each.
+
+    Every copy of a key has a uniform rank. Those of n copies are the order statistics of n
+    uniform numbers, made one after another from the least, so copies need not be listed.
+    """
+    rows = np.flatnonzero(_uniform(keys, seed, tree, 0) <= below * copies)
+    rank, out = np.zeros(len(rows)), []
+    number = 0
+    while len(rows):
+        fresh = -np.expm1(np.log1p(-_uniform(keys[rows], seed, tree, number)) / (copies[rows] - number))
+        rank = rank + (1 - rank) * fresh
+        on = rank < below
+        rows, rank = rows[on], rank[on]
+        out.append((rank, np.full(len(rows), number), rows))
+        number += 1
+        on = copies[rows] > number
+        rows, rank = rows[on], rank[on]
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (rank, rows, rows)
+
+
 def draw_samples(
     df: DataFrame, features: Sequence[str], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """(tree, x): for every tree a random sample without replacement.
+    """(tree, x, pos): for every tree a random sample without replacement, the same for any partitioning.
 
-    A pool of about twice the rows the forest needs is drawn row by row, so copies of one row
-    are no more likely to enter together than any others. The pool is shuffled once per round
-    by a seeded hash and cut into tree-sized slices; small tables take more rounds.
+    A tree takes the rows of the least ranks, a rank being drawn from the hash of the row's values, the
+    number of the tree and of the copy: a bottom-k sketch, which any task can make of its rows and any
+    other can merge. Only ranks under a limit that about four times the sample stays below leave a task;
+    should a tree get too few, the limit is raised and the pass repeated.
     """
-    total = df.count()
-    need = trees * sample
-    vectors = df.select(_vector(features).alias("x"))
-    if total > 2 * need:
-        vectors = vectors.sample(fraction=2.0 * need / total, seed=seed)
-    copies = Window.partitionBy("x").orderBy("x")
-    pool = stored(vectors.withColumn("copy", F.row_number().over(copies)), "forest-pool")
-    size = pool.count()
-    if size == 0:
+    vectors = df.select(_vector(features).alias("x")).withColumn("h", F.xxhash64("x"))
+    counted = stored(vectors.groupBy("h").agg(F.count("*").alias("n")), "forest-rows")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if total == 0:
         raise ValueError("cannot fit a forest on an empty table")
-    per_tree = min(sample, size)
-    per_round = max(size // per_tree, 1)
-    rounds = math.ceil(trees / per_round)
-    shuffled = Window.partitionBy("round").orderBy("h", "x", "copy")
-    return (
-        pool.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-        .withColumn("h", F.xxhash64("x", "copy", "round", F.lit(seed)))
-        .withColumn("pos", F.row_number().over(shuffled) - 1)
-        .withColumn("slice", F.floor(F.col("pos") / per_tree).cast("int"))
-        .where(F.col("slice") < per_round)
-        .withColumn("tree", (F.col("round") * per_round + F.col("slice")).cast("int"))
-        .where(F.col("tree") < trees)
-        .select("tree", "x", F.col("pos").alias("pos"))
-    )
+    want = min(sample, total)
+
+    def ranks(below: float):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h, n = (batch.column(c).to_numpy() for c in ("h", "n"))
+                for tree in range(trees):
+                    rank, number, rows = least_ranks(h.view(np.uint64), n, tree, seed, below)
+                    columns = [pa.array(np.full(len(rank), tree, np.int32)), pa.array(rank), pa.array(number), pa.array(h[rows])]
+                    yield pa.RecordBatch.from_arrays(columns, ["tree", "rank", "copy", "h"])
+
+        return run
+
+    below = 4.0 * want / total
+    while True:
+        below = below if below < 1.0 else 2.0  # above every rank
+        drawn = stored(counted.mapInArrow(ranks(below), "tree int, rank double, copy long, h long"), "forest-ranks")
+        sizes = drawn.groupBy("tree").count()
+        full = sizes.where(F.col("count") >= want).count() == trees
+        if full or below >= 1.0:
+            break
+        below *= 4.0
+    order = Window.partitionBy("tree").orderBy("rank", "h", "copy")
+    kept = drawn.withColumn("pos", F.row_number().over(order) - 1).where(F.col("pos") < want)
+    kept = stored(kept.select("tree", "pos", "h"), "forest-kept")  # at most trees x sample rows
+    values = vectors.join(kept.select("h").distinct(), "h").groupBy("h").agg(F.min("x").alias("x"))
+    return kept.join(values, "h").select("tree", "x", "pos")
 
 
 def fit_forest(
@@ -161,7 +201,6 @@ def isolation_forest(
     trees: int = FOREST_TREES,
     sample: int = FOREST_SAMPLE,
     seed: int = 42,
-    rows_bound: int | None = None,
 ) -> DataFrame:
     """Add ``iso_score`` (negative = anomalous) and ``iso_flag``.
 
@@ -169,7 +208,7 @@ def isolation_forest(
     """
     nodes = fit_forest(df, features, trees, sample, seed)
     scored = stored(raw_scores(df, nodes, features, sample), "forest-scores")
-    cut = quantiles(scored, [], "raw_score", {"q": contamination}, rows_bound).select("q").scalar()
+    cut = quantiles(scored, [], "raw_score", {"q": contamination}).select("q").scalar()
     return (
         scored.withColumn("iso_score", F.col("raw_score") - cut)
         .withColumn("iso_flag", F.col("iso_score") < 0)

@@ -50,7 +50,7 @@ def filter_options(df: DataFrame, categorical: Sequence[str], numeric: Sequence[
 
 
 def group_stats(
-    df: DataFrame, group: str, price: str, digits: int = 2, rows_bound: int | None = None, volume: bool = False
+    df: DataFrame, group: str, price: str, digits: int = 2, volume: bool = False
 ) -> DataFrame:
     """Median, mean, deviation, count and range of the price per group, highest median first.
 
@@ -61,7 +61,6 @@ def group_stats(
         [group],
         price,
         {"median_price": 0.5},
-        rows_bound,
         extra={
             "mean_price": F.avg(price),
             "std_price": F.stddev_samp(price),
@@ -88,20 +87,19 @@ def group_stats(
 
 
 def group_volume(
-    df: DataFrame, group: str, price: str, rows_bound: int | None = None
+    df: DataFrame, group: str, price: str
 ) -> DataFrame:
     """Group statistics plus the traded volume in millions."""
-    return group_stats(df, group, price, digits=4, rows_bound=rows_bound, volume=True)
+    return group_stats(df, group, price, digits=4, volume=True)
 
 
-def market_kpis(df: DataFrame, price: str, rows_bound: int | None = None) -> DataFrame:
+def market_kpis(df: DataFrame, price: str) -> DataFrame:
     """Median, mean, total, variation and the stable-market flag in one row."""
     return quantiles(
         df,
         [],
         price,
         {"median_price": 0.5},
-        rows_bound,
         extra={
             "mean_price": F.avg(price),
             "total_volume": F.sum(price),
@@ -118,12 +116,11 @@ def market_kpis(df: DataFrame, price: str, rows_bound: int | None = None) -> Dat
 
 
 def top_group_premium(
-    df: DataFrame, group: str, price: str, rows_bound: int | None = None
+    df: DataFrame, group: str, price: str
 ) -> DataFrame:
     """The group with the highest median and its premium over the market median."""
     medians = quantiles(
-        with_overall(df, group, price), ["overall", group], price, {"m": 0.5},
-        rows_bound, costly=True,
+        with_overall(df, group, price), ["overall", group], price, {"m": 0.5}, costly=True,
     )
     own = ~F.col("overall")
     return medians.agg(
@@ -153,24 +150,23 @@ def market_segments(
     group: str,
     price: str,
     segments: Mapping[str, Sequence[str]],
-    rows_bound: int | None = None,
 ) -> DataFrame:
     """Median, volume in millions and count per named segment; empty segments do not appear."""
     labelled = df.withColumn("segment", segment_of(F.col(group), segments)).where(
         F.col("segment").isNotNull()
     )
     q = quantiles(
-        labelled, ["segment"], price, {"median_price": 0.5}, rows_bound,
+        labelled, ["segment"], price, {"median_price": 0.5},
         extra={"volume_m": F.sum(price) / 1e6}, costly=True,
     )
     return q.select("segment", "volume_m", F.col("n").alias("units"), "median_price")
 
 
 def yearly_trend(
-    df: DataFrame, year: str, price: str, rows_bound: int | None = None
+    df: DataFrame, year: str, price: str
 ) -> DataFrame:
     """Median price and count per year."""
-    q = quantiles(df, [year], price, {"median_price": 0.5}, rows_bound, costly=True)
+    q = quantiles(df, [year], price, {"median_price": 0.5}, costly=True)
     return q.select(year, "median_price", F.col("n").alias("transactions"))
 
 
@@ -183,10 +179,10 @@ def month_year_pivot(
     return table.withColumn("month_name", F.element_at(names, F.col(month)))
 
 
-def distribution_shape(df: DataFrame, price: str, rows_bound: int | None = None) -> DataFrame:
+def distribution_shape(df: DataFrame, price: str) -> DataFrame:
     """Skewness, quartiles, IQR, share above the upper quartile and the mean-median gap."""
     q = (
-        quantiles(df, [], price, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, rows_bound)
+        quantiles(df, [], price, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
         .select(F.struct("q25", "q50", "q75"))
         .scalar()
     )
@@ -226,11 +222,11 @@ def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
 
 
 def box_summary(
-    df: DataFrame, group: str, price: str, rows_bound: int | None = None
+    df: DataFrame, group: str, price: str
 ) -> DataFrame:
     """Five-number summary, 1.5 IQR fences and outlier count per group, by descending median."""
     probs = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}
-    q = stored(quantiles(df, [group], price, probs, rows_bound, costly=True), "box").drop("n")
+    q = stored(quantiles(df, [group], price, probs, costly=True), "box").drop("n")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = q.withColumn("low_fence", F.col("q1") - reach).withColumn(
         "high_fence", F.col("q3") + reach
@@ -301,7 +297,6 @@ def seeded_sample(df: DataFrame, n: int, seed: int) -> DataFrame:
 
 def scenario_grid(
     df: DataFrame, scenarios: Mapping[str, Mapping[str, Column]], score: Column,
-    rows_bound: int | None = None,
 ) -> DataFrame:
     """Score every row under each scenario and place it against the median of the base scores.
 
@@ -309,7 +304,7 @@ def scenario_grid(
     they are generated inside the row instead of joined.
     """
     base = df.withColumn("base_score", score)
-    market = quantiles(base, [], "base_score", {"m": 0.5}, rows_bound).select("m").scalar()
+    market = quantiles(base, [], "base_score", {"m": 0.5}).select("m").scalar()
     changed = sorted({c for changes in scenarios.values() for c in changes})
     variants = [
         F.struct(
@@ -323,9 +318,9 @@ def scenario_grid(
     return grid.withColumn("score", score).withColumn("vs_median_pct", pct_over(F.col("score"), market))
 
 
-def market_position(df: DataFrame, price: str, rows_bound: int | None = None) -> DataFrame:
+def market_position(df: DataFrame, price: str) -> DataFrame:
     """Percent distance of each price from the market median."""
-    m = quantiles(df, [], price, {"m": 0.5}, rows_bound).select("m").scalar()
+    m = quantiles(df, [], price, {"m": 0.5}).select("m").scalar()
     return df.withColumn("position_pct", pct_over(F.col(price), m))
 
 

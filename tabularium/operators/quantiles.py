@@ -1,18 +1,14 @@
-"""Exact quantiles that stay exact, and stay distributed, on skewed and very large groups.
+"""Exact quantiles of all groups at once by narrowing, with one plan for tables of any size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer. That
-is the fastest plan while a group is known to be small, and the wrong one when a single group
-can hold a third of a huge table. Beyond a proven bound the work is split in two passes:
+A wanted quantile lies at one or two ranks of its group. The first pass takes the size, least and
+greatest value of every group; each further pass cuts the range that still holds a wanted rank into
+``SLOTS`` cells of equal width and takes the size, least and greatest value of every cell, for all
+groups and ranks in one aggregate. The cell that holds the rank becomes the next range. A rank is found
+once its range has a single value or the rank is the first or last of it, which takes two or three
+passes for usual data and never more than a handful: a range shrinks by ``SLOTS`` each time.
 
-1. a mergeable sketch per group gives, for each wanted quantile, a bracket of values that
-   must contain it;
-2. values inside a bracket are counted one by one while everything between brackets collapses
-   to a single (count, min, max) row before the shuffle. Brackets are cut into blocks; running
-   counts over the blocks find those that hold a wanted rank, and running counts within these
-   find the value.
-
-Only bracket values ever cross the network, about ``8 / ACCURACY`` of the rows per quantile,
-and no task orders more than one block of a group.
+Rows combine in their tasks, so a pass shuffles at most ``SLOTS`` small rows per task, group and
+range, whatever the size of a group; nothing is sampled and no task holds a group.
 """
 
 from __future__ import annotations
@@ -25,9 +21,7 @@ from pyspark.sql import functions as F
 
 from tabularium.session import stored
 
-BUFFERED_ROWS = 1_000_000
-ACCURACY = 20_000
-SLOTS = 1_000
+SLOTS = 4096
 
 
 def quantiles(
@@ -35,138 +29,89 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probs: dict[str, float],
-    rows_bound: int | None = None,
     extra: dict[str, Column] | None = None,
     costly: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group: keys, ``n`` and one column per name.
 
-    ``rows_bound`` is a proven upper bound on the rows of any group (for example the row count
-    of the scanned fact table, which parquet footers answer without a scan). ``extra`` are
-    named aggregates over ``value`` that ride along in the same pass. ``costly`` marks an
-    input (a join) that should be written once rather than computed for both passes.
+    Nulls do not count; a null key is a group. ``extra`` are named aggregates over ``value`` that
+    ride along in the first pass. ``costly`` marks an input (a join) that should be written once
+    rather than computed for every pass. Without keys there is one row, of nulls for no values.
     """
-    present = df.select(*keys, F.col(f"`{value}`").cast("double").alias(value)).where(
-        F.col(f"`{value}`").isNotNull()
-    )
-    extra = extra or {}
-    riders = [c.alias(k) for k, c in extra.items()]
-    if rows_bound is not None and rows_bound <= BUFFERED_ROWS:
-        names = list(probs)
-        wanted = F.array(*[F.lit(float(probs[k])) for k in names])
-        agg = present.groupBy(*keys).agg(
-            F.count("*").alias("n"), F.percentile(value, wanted).alias("_q"), *riders
-        )
-        picked = [F.col("_q")[i].alias(k) for i, k in enumerate(names)]
-        return agg.select(*keys, "n", *picked, *extra)
+    keys, extra = list(keys), extra or {}
+    present = df.select(*keys, F.col(f"`{value}`").cast("double").alias(value)).where(F.col(f"`{value}`").isNotNull())
     if costly:
         present = stored(present, "quantile-input")
-    return _bracketed(present, list(keys), value, probs, extra)
-
-
-def _bracketed(
-    present: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: dict[str, float],
-    extra: dict[str, Column],
-) -> DataFrame:
-    names = sorted(probs, key=lambda k: probs[k])
-    margin = 4.0 / ACCURACY
-    edges: list[float] = []
-    for name in names:
-        edges += [max(probs[name] - margin, 0.0), min(probs[name] + margin, 1.0)]
-    sketch = present.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(value, F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("_cuts"),
-        *[c.alias(k) for k, c in extra.items()],
+    v = F.col(f"`{value}`")
+    groups = present.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"), *[c.alias(k) for k, c in extra.items()]
     )
-    sketch = stored(sketch, "quantile-brackets")
-    present = present.withColumnRenamed(value, "_v")
+    groups = stored(groups, "quantile-groups")
+
+    def rank(name: str, side) -> Column:
+        return F.struct(F.lit(f"{name}:{side.__name__}").alias("rank"), side(F.lit(float(probs[name])) * (F.col("n") - 1)).alias("r"))
+
+    ranks = F.array(*[rank(name, side) for name in probs for side in (F.floor, F.ceil)])
+    state = groups.where("n > 0").select(*keys, F.inline(ranks), "_lo", "_hi", F.lit(0).cast("bigint").alias("_before"), F.col("n").alias("_c"))
+    state = state.select(*keys, "rank", "r", "_lo", "_hi", "_before", "_c", _found().alias("found"))
+    known = []
+    while True:
+        state = stored(state, "quantile-ranks")  # a row per group and rank
+        known.append(state.where("found IS NOT NULL").select(*keys, "rank", "found"))
+        open_ranks = state.where("found IS NULL").drop("found", "_c")
+        if open_ranks.isEmpty():
+            break
+        state = _narrow(present.withColumnRenamed(value, "_v"), open_ranks, keys)
+    found = reduce(DataFrame.unionByName, known)
+    at = lambda name, side: F.max(F.when(F.col("rank") == f"{name}:{side}", F.col("found")))
+    wide = found.groupBy(*keys).agg(*[at(name, side).alias(f"_{name}_{side}") for name in probs for side in ("floor", "ceil")])
     if keys:
-        located = null_safe_join(present, sketch.select(*keys, "n", "_cuts"), keys)
+        out = null_safe_join(groups, wide, keys)
     else:
-        one = sketch.select(F.struct("n", "_cuts").alias("s")).scalar()
-        located = present.select("_v", one["n"].alias("n"), one["_cuts"].alias("_cuts"))
-
-    v, cuts = F.col("_v"), F.col("_cuts")
-    block = F.lit(-1)
-    for i in range(len(names)):
-        # Beyond bracket i (so far): the gap that follows it.
-        block = F.when(v > cuts[2 * i + 1], F.lit(-2 - i)).otherwise(block)
-    for i in reversed(range(len(names))):
-        lo, hi = cuts[2 * i], cuts[2 * i + 1]
-        slot = F.coalesce(F.floor(F.try_divide((v - lo) * SLOTS, hi - lo)), F.lit(0))
-        slot = F.least(slot, F.lit(SLOTS - 1)) + i * SLOTS
-        block = F.when((v >= lo) & (v <= hi), slot).otherwise(block)
-    cells = (
-        located.select(*keys, "n", "_v", block.cast("bigint").alias("_block"))
-        .withColumn("_own", F.when(F.col("_block") >= 0, v))
-        .groupBy(*keys, "_block", "_own")
-        .agg(
-            F.max("n").alias("n"),
-            F.count("*").alias("_c"),
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-        )
-    )
-    cells = stored(cells, "quantile-cells")  # small, and read twice
+        one = wide.select(F.struct(*wide.columns).alias("s")).scalar()
+        out = groups.withColumns({c: one[c] for c in wide.columns})
+    picked = []
+    for name in probs:
+        pos = F.lit(float(probs[name])) * (F.col("n") - 1)
+        low, high = F.col(f"_{name}_floor"), F.col(f"_{name}_ceil")
+        picked.append(F.when(low == high, low).otherwise(low + (high - low) * (pos - F.floor(pos))).alias(name))
+    return out.select(*keys, "n", *picked, *extra)
 
-    # Blocks are consecutive value ranges, at most SLOTS + 1 per quantile: their running count
-    # is cheap and names the few blocks that hold a wanted rank.
-    blocks = cells.groupBy(*keys, "_block").agg(
-        F.sum("_c").alias("_size"), F.min("_lo").alias("_from"), F.max("n").alias("_n")
-    )
-    order = Window.partitionBy(*keys).orderBy("_from") if keys else Window.orderBy("_from")
-    before = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
-    placed = blocks.withColumn("_before", before)
-    wanted = [
-        r(F.lit(probs[name]) * (F.col("_n") - 1)) for name in names for r in (F.floor, F.ceil)
-    ]
-    holds = reduce(
-        lambda a, b: a | b,
-        [(F.col("_before") <= w) & (w < F.col("_before") + F.col("_size")) for w in wanted],
-    )
-    needed = placed.where(holds).select(*keys, "_block", "_before")
-
-    inside = Window.partitionBy(*keys, "_block").orderBy("_lo")
-    running = F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (
-        null_safe_join(cells, needed, [*keys, "_block"])
-        .withColumn("_end", F.col("_before") + running)
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
 
-    def at(rank: Column) -> Column:
-        hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
-        exact = (
-            F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
-            .when(rank == F.col("_start"), F.col("_lo"))
-            .when(rank == F.col("_end") - 1, F.col("_hi"))
-            .otherwise(F.raise_error(F.lit("quantile rank fell between brackets")).cast("double"))
-        )
-        return F.max(F.when(hit, exact))
-
-    aggs = []
-    for name in names:
-        pos = F.lit(probs[name]) * (F.col("n") - 1)
-        aggs += [
-            at(F.floor(pos)).alias(f"_{name}_lo"),
-            at(F.ceil(pos)).alias(f"_{name}_hi"),
-        ]
-    out = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
-    results = []
-    for name in probs:
-        pos = F.lit(probs[name]) * (F.col("n") - 1)
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        results.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    out = out.select(*keys, "n", *results)
-    if not extra:
-        return out
-    if not keys:
-        one = sketch.select(F.struct(*extra)).scalar()
-        return out.withColumns({k: one[k] for k in extra})
-    return null_safe_join(out, sketch.select(*keys, *extra), keys)
+def _found() -> Column:
+    """The value at the rank where the range of ``_c`` values after ``_before`` others tells it."""
+    lo, hi = F.col("_lo"), F.col("_hi")
+    last = F.col("_before") + F.col("_c") - 1
+    return F.when((lo == hi) | (F.col("r") == F.col("_before")), lo).when(F.col("r") == last, hi)
+
+
+def _narrow(present: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """The open ranks with the cell of their range that holds them as their new range."""
+    spans = ranks.groupBy(*keys).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_spans"))  # at most two a quantile
+    if keys:
+        located = null_safe_join(present, spans, keys)
+    else:
+        located = present.withColumn("_spans", spans.select("_spans").scalar())
+    v = F.col("_v")
+    within = F.filter("_spans", lambda s: (s["_lo"] <= v) & (v <= s["_hi"]))
+    rows = located.select(*keys, "_v", F.inline(within))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    # Halves cannot overflow where the width does; between infinite ends all else is in the middle.
+    halves = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+    share = F.when(hi - lo == float("inf"), halves).otherwise(F.try_divide(v - lo, hi - lo))
+    share = F.nanvl(F.coalesce(share, F.lit(0.5)), F.lit(0.5))
+    inner = F.least(F.greatest(F.floor(share * SLOTS), F.lit(0)), F.lit(SLOTS - 1))
+    cell = F.when(v == lo, 0).when(v == hi, SLOTS - 1).otherwise(inner)
+    cells = rows.groupBy(*keys, "_lo", "_hi", cell.alias("_cell")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+    )
+    order = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("_upto", F.sum("_c").over(order))  # at most SLOTS rows a range
+    both = null_safe_join(ranks, cells, [*keys, "_lo", "_hi"])
+    start, end = F.col("_before") + F.col("_upto") - F.col("_c"), F.col("_before") + F.col("_upto")
+    hit = both.where((start <= F.col("r")) & (F.col("r") < end))
+    hit = hit.select(*keys, "rank", "r", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), start.alias("_before"), "_c")
+    return hit.withColumn("found", _found())
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

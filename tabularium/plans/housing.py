@@ -62,13 +62,13 @@ def artifact():
 
 
 def clean_housing(
-    df: DataFrame, remove_artifacts: bool = True, rows_bound: int | None = None
+    df: DataFrame, remove_artifacts: bool = True
 ) -> DataFrame:
     """Every cleaning step in order; no nulls remain."""
     out = clean.fill_structural(df, STRUCTURAL_NULL_COLUMNS)
     snapshot = out
     if "Lot Frontage" in out.columns:
-        out = clean.impute_group_median(out, "Lot Frontage", HOOD, train_rows(), rows_bound)
+        out = clean.impute_group_median(out, "Lot Frontage", HOOD, train_rows())
     if {"Garage Yr Blt", "Year Built"} <= set(out.columns):
         out = clean.fill_from_column(out, "Garage Yr Blt", "Year Built")
     constants = {"Mas Vnr Type": clean.MISSING, "Mas Vnr Area": 0}
@@ -81,7 +81,7 @@ def clean_housing(
             out, artifact(), f"GrLivArea>{ARTIFACT_AREA} & SalePrice<{ARTIFACT_PRICE}", remove_artifacts
         )
     names = [c for c in out.columns if c not in ("artifact_flag", "artifact_reason")]
-    return clean.fill_remaining(out, train_rows(), names, snapshot, rows_bound)
+    return clean.fill_remaining(out, train_rows(), names, snapshot)
 
 
 def cleaning_log(df: DataFrame) -> DataFrame:
@@ -104,12 +104,12 @@ def cleaning_log(df: DataFrame) -> DataFrame:
 
 
 def find_anomalies(
-    matrix: DataFrame, rows_bound: int | None = None, trees: int | None = None
+    matrix: DataFrame, trees: int | None = None
 ) -> DataFrame:
     """The matrix with forest and z-score flags, methods, severity and per-feature detail."""
     names = [f for f in ANOMALY_FEATURES if f in matrix.columns]
     kw = {"trees": trees} if trees else {}
-    scored = forest.isolation_forest(matrix, names, rows_bound=rows_bound, **kw)
+    scored = forest.isolation_forest(matrix, names, **kw)
     flagged = anomaly.zscore_flags(scored, names)
     return anomaly.details(
         anomaly.combine(flagged, "iso_flag", "z_flag", "iso_score"), names, "iso_flag"
@@ -134,20 +134,19 @@ class Run:
 
 def run_housing(
     raw: DataFrame,
-    rows_bound: int | None = None,
     rounds: int = 100,
     trees: int | None = None,
 ) -> Run:
     """The whole flow over a raw housing table."""
     df = to_contract(raw)
     prof = profile.column_profile(df, profile.housing_kinds())
-    cleaned = stored(clean_housing(df, rows_bound=rows_bound), "housing-cleaned")
+    cleaned = stored(clean_housing(df), "housing-cleaned")
     engineered = features.engineer(cleaned)
     spec = encode.EncodingSpec()
-    matrix, encoder = encode.encode_matrix(engineered, spec, train_rows(), rows_bound)
+    matrix, encoder = encode.encode_matrix(engineered, spec, train_rows())
     matrix = stored(matrix, "housing-matrix")
 
-    flagged = stored(find_anomalies(matrix, rows_bound, trees), "housing-anomalies")
+    flagged = stored(find_anomalies(matrix, trees), "housing-anomalies")
     preds = stored(predict_all(matrix, encoder, rounds), "housing-predictions")
     metrics = scoring.regression_metrics(preds, ["model_name", "split"], "actual", "pred", logged=True)
     best = scoring.champion(metrics, "model_name", "split")
@@ -157,7 +156,7 @@ def run_housing(
     rows_in = df.agg(F.count("*")).scalar()
     test = metrics.where(F.col("split") == "test").select("model_name", F.col("rmse").alias("test_rmse"))
     docs = reports.report_documents(
-        group_stats(cleaned, HOOD, TARGET, rows_bound=rows_bound),
+        group_stats(cleaned, HOOD, TARGET),
         HOOD,
         cleaned.groupBy(F.col(f"`{YEAR}`").alias("yr")).agg(F.count("*").alias("n")),
         "yr",

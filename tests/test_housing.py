@@ -9,7 +9,7 @@ from tabularium.vocabulary import HOUSING_COLUMNS
 
 @pytest.fixture(scope="module")
 def run(houses):
-    return housing.run_housing(houses, rows_bound=1000, rounds=5, trees=50)
+    return housing.run_housing(houses, rounds=5, trees=50)
 
 
 def test_contract_names():
@@ -52,7 +52,7 @@ def test_group_median_uses_training_rows_only(houses):
 
     def fills(df):
         ids = [r[0] for r in df.where(gap).select("PID").collect()]
-        out = housing.clean_housing(df, rows_bound=1000)
+        out = housing.clean_housing(df)
         return {r[0]: r[1] for r in out.where(F.col("PID").isin(ids)).select("PID", "`Lot Frontage`").collect()}
 
     assert fills(base) == fills(moved)

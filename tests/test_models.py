@@ -101,7 +101,7 @@ def test_forest_finds_planted_outliers(spark):
     df = spark.createDataFrame(pd.DataFrame(x, columns=["u", "v"]).assign(id=np.arange(4000)))
     results = []
     for parts in (1, 8):
-        out = forest.isolation_forest(df.repartition(parts), ["u", "v"], trees=60, rows_bound=4000)
+        out = forest.isolation_forest(df.repartition(parts), ["u", "v"], trees=60)
         results.append({r["id"]: (r["iso_flag"], round(r["iso_score"], 12)) for r in out.collect()})
     assert results[0] == results[1]
     flagged = {i for i, (f, _) in results[0].items() if f}
@@ -112,7 +112,7 @@ def test_forest_with_copies_and_constant_rows(spark):
     df = spark.range(3000).select(
         "id", F.when(F.col("id") < 2000, 1.0).otherwise(F.rand(1)).alias("u"), F.lit(2.0).alias("v")
     )
-    out = forest.isolation_forest(df, ["u", "v"], trees=20, rows_bound=3000)
+    out = forest.isolation_forest(df, ["u", "v"], trees=20)
     assert out.count() == 3000
     assert out.where("iso_flag").where("id < 2000").count() == 0
 

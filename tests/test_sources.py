@@ -112,7 +112,7 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "g string, x double, y int")
     train = F.lit(True)
     assert clean.impute_group_median(empty, "x", "g", train, 10).count() == 0
-    assert clean.fill_remaining(empty, train, rows_bound=10).count() == 0
+    assert clean.fill_remaining(empty, train).count() == 0
     from tabularium.operators import market, profile
 
     assert market.market_kpis(empty, "x", 10).first()["transactions"] == 0

@@ -41,11 +41,6 @@ def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> D
     return spread(df, *KEYS[name]) if heavy else df
 
 
-def rows(spark: SparkSession, folder: str, name: str) -> int:
-    """Row count from the parquet footers: the proven bound for groups of a fact table."""
-    return table(spark, folder, name).count()
-
-
 def sales(spark: SparkSession, folder: str, *parts: str) -> DataFrame:
     """Line items as sales; ``parts`` names the dimensions a query needs.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabularium.operators import encode as e
 from tabularium.session import new_path, stored
-from workloads.base import GAPPY, gappy, query, rows, sales
+from workloads.base import GAPPY, gappy, query, sales
 
 TRAIN_SQL = "yr <= 1999"
 PRIORITY = {"1-URGENT": 5, "2-HIGH": 4, "3-MEDIUM": 3, "4-NOT SPECIFIED": 0}
@@ -100,7 +100,7 @@ def scaled_sql(c):
 SELECT l_orderkey, l_partkey, {', '.join(scaled_sql(c) for c in SCALED)} FROM gappy, r""")
 def robust_scale(spark, d):
     s = gappy(sales(spark, d, "orders"))
-    fitted = e.fit_robust(s.where(train()), SCALED, rows(spark, d, "lineitem"))
+    fitted = e.fit_robust(s.where(train()), SCALED)
     out = e.apply_robust(s, fitted, SCALED)
     return out.select("l_orderkey", "l_partkey", *[F.round(c, 6).alias(c) for c in SCALED])
 
@@ -155,7 +155,7 @@ def rounded(df):
 
 @query("encode_matrix", MATRIX + "SELECT * FROM matrix")
 def encode_matrix(spark, d):
-    matrix, _ = e.encode_matrix(raw(spark, d), SPEC, train(), rows(spark, d, "lineitem"))
+    matrix, _ = e.encode_matrix(raw(spark, d), SPEC, train())
     return rounded(matrix)
 
 
@@ -165,7 +165,7 @@ def serving_features(spark, d):
     """Rows after the training years, without the quantity, through saved parameters."""
     whole = raw(spark, d)
     path = new_path(spark, "encoder")
-    e.fit(whole, SPEC, train(), rows(spark, d, "lineitem")).save(path)
+    e.fit(whole, SPEC, train()).save(path)
     requests = whole.where(F.col("yr") > 1999).drop("qty", "price")
     served = e.Encoder.load(spark, path, SPEC).apply(requests)
     return rounded(served.withColumn("log_price", F.lit(0.0))).drop("log_price")
@@ -177,7 +177,7 @@ def serving_features(spark, d):
 ))
 def params_roundtrip(spark, d):
     s = gappy(sales(spark, d, "orders"))
-    saved = e.save_params(e.fit_robust(s.where(train()), SCALED, rows(spark, d, "lineitem")))
+    saved = e.save_params(e.fit_robust(s.where(train()), SCALED))
     return saved.select(
         "feature", F.round("center", 6).alias("center"), F.round("scale", 6).alias("scale")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.numeric import band
 from tabularium.operators import market as m
-from workloads.base import SALES, query, rows, sales, table
+from workloads.base import SALES, query, sales, table
 
 NUMERIC = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "c_acctbal"]
 TIERS = {
@@ -23,7 +23,7 @@ SELECT hood, round(median(price), 4) AS median_price, round(avg(price), 4) AS me
        round(min(price), 4) AS min_price, round(max(price), 4) AS max_price
 FROM sales GROUP BY hood""")
 def group_stats(spark, d):
-    return m.group_stats(sales(spark, d, "hood", "heavy"), "hood", "price", 4, rows(spark, d, "lineitem"))
+    return m.group_stats(sales(spark, d, "hood", "heavy"), "hood", "price", 4)
 
 
 @query("market_kpis", f"""WITH {SALES}
@@ -33,7 +33,7 @@ SELECT round(median(price), 4) AS median_price, round(avg(price), 4) AS mean_pri
        stddev_samp(price) / avg(price) * 100 < 35 AS stable
 FROM sales""")
 def market_kpis(spark, d):
-    k = m.market_kpis(sales(spark, d), "price", rows(spark, d, "lineitem"))
+    k = m.market_kpis(sales(spark, d), "price")
     return k.select(
         F.round("median_price", 4).alias("median_price"),
         F.round("mean_price", 4).alias("mean_price"),
@@ -50,7 +50,7 @@ mk AS (SELECT median(price) AS md FROM sales)
 SELECT g.hood AS top_group, round(g.md, 4) AS top_median, round(mk.md, 4) AS market_median,
        round((g.md - mk.md) / mk.md * 100, 6) AS premium_pct FROM g, mk""")
 def top_group_premium(spark, d):
-    t = m.top_group_premium(sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem"))
+    t = m.top_group_premium(sales(spark, d, "hood", "heavy"), "hood", "price")
     return t.select(
         "top_group",
         F.round("top_median", 4).alias("top_median"),
@@ -70,7 +70,7 @@ SELECT segment, round(sum(price) / 1e6, 6) AS volume_m, count(price) AS units,
 FROM s WHERE segment IS NOT NULL GROUP BY segment""")
 def market_segments(spark, d):
     s = m.market_segments(
-        sales(spark, d, "hood", "heavy"), "hood", "price", TIERS, rows(spark, d, "lineitem")
+        sales(spark, d, "hood", "heavy"), "hood", "price", TIERS
     )
     return s.select(
         "segment",
@@ -88,14 +88,14 @@ SELECT hood, round(median(price), 4) AS median_price, round(avg(price), 4) AS me
 FROM sales GROUP BY hood)
 SELECT * FROM g""")
 def group_volume(spark, d):
-    return m.group_volume(sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem"))
+    return m.group_volume(sales(spark, d, "hood", "heavy"), "hood", "price")
 
 
 @query("yearly_trend", f"""WITH {SALES}
 SELECT yr, round(median(price), 4) AS median_price, count(price) AS transactions
 FROM sales GROUP BY yr""")
 def yearly_trend(spark, d):
-    t = m.yearly_trend(sales(spark, d, "orders", "heavy"), "yr", "price", rows(spark, d, "lineitem"))
+    t = m.yearly_trend(sales(spark, d, "orders", "heavy"), "yr", "price")
     return t.select("yr", F.round("median_price", 4).alias("median_price"), "transactions")
 
 
@@ -154,7 +154,7 @@ SELECT q.hood, round(any_value(q0), 6) AS q0, round(any_value(q1), 6) AS q1,
 FROM q JOIN sales USING (hood) GROUP BY q.hood""")
 def box_summary(spark, d):
     b = m.box_summary(
-        sales(spark, d, "hood", "heavy"), "hood", "price", rows(spark, d, "lineitem")
+        sales(spark, d, "hood", "heavy"), "hood", "price"
     )
     nums = ["q0", "q1", "q2", "q3", "q4", "low_fence", "high_fence"]
     return b.select("hood", *[F.round(c, 6).alias(c) for c in nums], "outliers")
@@ -247,7 +247,6 @@ def scenario_grid(spark, d):
             "bulk": {"l_quantity": F.col("l_quantity") * 1.5},
         },
         linear_score(),
-        rows(spark, d, "lineitem"),
     )
     return g.select(
         "l_orderkey",
@@ -262,7 +261,7 @@ def scenario_grid(spark, d):
   round((l_extendedprice - md) / md * 100, 6) AS position_pct
 FROM lineitem, (SELECT median(l_extendedprice) AS md FROM lineitem)""")
 def market_position(spark, d):
-    p = m.market_position(sales(spark, d), "price", rows(spark, d, "lineitem"))
+    p = m.market_position(sales(spark, d), "price")
     return p.select(
         "l_orderkey", "l_linenumber", "price", F.round("position_pct", 6).alias("position_pct")
     )

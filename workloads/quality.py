@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabularium.operators import clean as c
 from tabularium.operators import features as f
 from tabularium.operators import profile as p
-from workloads.base import GAPPY, SALES, gappy, query, rows, sales, table
+from workloads.base import GAPPY, SALES, gappy, query, sales, table
 
 PROFILED = ["l_orderkey", "l_linenumber", "price", "l_discount", "qty", "flag", "extra", "l_linestatus"]
 KINDS = {
@@ -174,7 +174,7 @@ def catchall_median_fill(spark, d):
     whole = gappy(sales(spark, d, "orders"))
     kept = c.flag_artifacts(whole, artifact(), "", remove=True)
     filled = c.fill_remaining(
-        kept, train(), ["qty", "flag", "extra"], snapshot=whole, rows_bound=rows(spark, d, "lineitem")
+        kept, train(), ["qty", "flag", "extra"], snapshot=whole
     )
     return filled.select("l_orderkey", "l_linenumber", "qty", "flag", "extra")
 
@@ -186,7 +186,7 @@ SELECT l_orderkey, l_linenumber, gappy.hood, coalesce(qty, gm, am) AS qty
 FROM gappy LEFT JOIN g ON g.hood = gappy.hood, a""")
 def impute_group_median(spark, d):
     out = c.impute_group_median(
-        gappy(sales(spark, d, "hood", "heavy")), "qty", "hood", train(), rows(spark, d, "lineitem")
+        gappy(sales(spark, d, "hood", "heavy")), "qty", "hood", train()
     )
     return out.select("l_orderkey", "l_linenumber", "hood", "qty")
 

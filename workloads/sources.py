@@ -10,7 +10,7 @@ from tabularium.operators import profile as p
 from tabularium.operators import reports
 from tabularium.session import new_path
 from tabularium.sources import readers, registry
-from workloads.base import GAPPY, SALES, gappy, query, rows, sales, table
+from workloads.base import GAPPY, SALES, gappy, query, sales, table
 
 
 @query("scan_csv_roundtrip", """SELECT c_custkey, c_name, c_acctbal,
@@ -164,7 +164,7 @@ def report_documents(spark, d):
     s = sales(spark, d, "hood")
     from tabularium.operators.market import group_stats
 
-    stats = group_stats(s, "hood", "price", 4, rows(spark, d, "lineitem"))
+    stats = group_stats(s, "hood", "price", 4)
     years = s.groupBy("yr").agg(F.count("*").alias("n"))
     flags = s.agg(
         F.count_if((F.col("l_quantity") > 45) | (F.col("l_tax") > 0.07)).alias("total_flagged"),
