@@ -34,11 +34,22 @@ class Ridge:
         )
 
 
-def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: str) -> DataFrame:
-    """Sum of outer products of (1, x, y) per fold: everything ridge and its CV need.
+def _numbers(names: Sequence[str]) -> list[Column]:
+    return [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)).alias(n) for n in names]
+
+
+def centre(df: DataFrame, features: Sequence[str], label: str) -> np.ndarray:
+    """About the mean of every feature and of the label, from one aggregate; 0 for an empty table."""
+    means = df.select(*_numbers([*features, label])).agg(*[F.avg(f"`{n}`") for n in (*features, label)]).first()
+    return np.array([m or 0.0 for m in means])
+
+
+def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: str, shift: np.ndarray) -> DataFrame:
+    """Sum of outer products of (1, x - shift, y - shift) per fold: everything ridge and its CV need.
 
     Each task folds its batches into one small matrix per fold, so the data are read once and
-    never shuffled; only (features + 2)² numbers per task and fold travel.
+    never shuffled; only (features + 2)² numbers per task and fold travel. With ``shift`` near
+    the means the products are as small as the spread of the data and nothing cancels.
     """
     width = len(features) + 2
     names = [*features, label]
@@ -47,15 +58,14 @@ def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: st
         total: dict[int, np.ndarray] = {}
         for pdf in batches:
             for k, part in pdf.groupby(fold):
-                z = np.column_stack([np.ones(len(part)), part[names].to_numpy(dtype=float)])
+                z = np.column_stack([np.ones(len(part)), part[names].to_numpy(dtype=float) - shift])
                 total[int(k)] = total.get(int(k), np.zeros((width, width))) + z.T @ z
         for k, g in total.items():
             yield pd.DataFrame(
                 {"fold": k, "cell": np.arange(width * width), "value": g.ravel()}
             )
 
-    x = [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)).alias(n) for n in names]
-    sums = df.select(*x, F.col(fold)).mapInPandas(gram, "fold int, cell int, value double")
+    sums = df.select(*_numbers(names), F.col(fold)).mapInPandas(gram, "fold int, cell int, value double")
     return sums.groupBy("fold", "cell").agg(F.sum("value").alias("value"))
 
 
@@ -67,30 +77,34 @@ def fit_ridge(
     alphas: Sequence[float] = RIDGE_ALPHAS,
     folds: int = RIDGE_FOLDS,
 ) -> Ridge:
-    """Ridge with the penalty chosen by k-fold RMSE, in one pass over the training rows.
+    """Ridge with the penalty chosen by k-fold RMSE, in two passes over the training rows.
 
-    Rows go to folds by a hash of ``fold_key``. The collected statistics are folds ×
+    The first takes means, the second products around them, so large means with a small spread
+    lose no digits. Rows go to folds by a hash of ``fold_key``. The collected statistics are folds ×
     (features + 2)² numbers, whatever the number of rows.
     """
     keyed = train.withColumn("_fold", F.pmod(F.xxhash64(*fold_key), F.lit(folds)).cast("int"))
     width = len(features) + 2
     grams = np.zeros((folds, width, width))
-    for r in fold_statistics(keyed, features, label, "_fold").collect():
+    shift = centre(train, features, label)
+    for r in fold_statistics(keyed, features, label, "_fold", shift).collect():
         grams[r["fold"]].flat[r["cell"]] = r["value"]
     whole = grams.sum(axis=0)
     errors: dict[float, float] = {}
     for alpha in alphas:
         per_fold = []
         for held in grams:
-            if held[0, 0] == 0:
+            rest = whole - held
+            if held[0, 0] == 0 or rest[0, 0] == 0:
                 continue
-            w, b = _solve(whole - held, alpha)
+            w, b = _solve(rest, alpha)
             v = np.concatenate([[b], w, [-1.0]])
             per_fold.append(np.sqrt(max(v @ held @ v, 0.0) / held[0, 0]))
-        errors[float(alpha)] = float(np.mean(per_fold))
+        errors[float(alpha)] = float(np.mean(per_fold)) if per_fold else 0.0
     alpha = min(errors, key=lambda a: (errors[a], a))
     w, b = _solve(whole, alpha)
-    return Ridge(dict(zip(features, map(float, w))), float(b), alpha, errors)
+    intercept = b + shift[-1] - w @ shift[:-1]
+    return Ridge(dict(zip(features, map(float, w))), float(intercept), alpha, errors)
 
 
 def _solve(gram: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:

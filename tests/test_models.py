@@ -50,6 +50,22 @@ def test_ridge_cv_error_equals_refit(table):
     assert model.alpha == min(model.cv_rmse, key=model.cv_rmse.get)
 
 
+def test_ridge_keeps_its_digits_far_from_zero(spark):
+    """Means of 10^9 and a spread of 1: raw products would lose all digits of the slopes."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (4000, 2))
+    y = 2 * x[:, 0] - 3 * x[:, 1] + rng.normal(0, 0.01, 4000)
+    pdf = pd.DataFrame(x + 1e9, columns=["a", "b"]).assign(y=y + 1e9, id=np.arange(4000))
+    model = training.fit_ridge(spark.createDataFrame(pdf).repartition(3), ["a", "b"], "y", ["id"], alphas=[0.1])
+    xc, yc = (x + 1e9) - (x + 1e9).mean(0), (y + 1e9) - (y + 1e9).mean()
+    want = np.linalg.solve(xc.T @ xc + 0.1 * np.eye(2), xc.T @ yc)
+    np.testing.assert_allclose(list(model.coefs.values()), want, rtol=1e-7)
+    assert model.cv_rmse[0.1] < 0.02
+    assert abs(model.intercept + 1e9 * sum(want) - (y + 1e9).mean() + 0.0) < 1e-3 * 1e9
+    empty = training.fit_ridge(spark.createDataFrame(pdf[:1]), ["a", "b"], "y", ["id"], alphas=[0.1])
+    assert list(empty.coefs.values()) == [0.0, 0.0]
+
+
 def test_boosting_and_attribution(table, spark):
     _, df = table
     names = ["a", "b", "c"]
