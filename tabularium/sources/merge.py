@@ -21,19 +21,19 @@ BUCKETS = 64
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path as it knows it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _fs(spark, path)
+    fs, place = file_system(spark, path)
     return fs.exists(place)
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, place = _fs(spark, path)
+    fs, place = file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
 
 
@@ -99,7 +99,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
                 gone.append(f"{root}/data/{name}/{child}")
     gone += [f"{root}/commits/batch={c}" for c in known[:-keep]]
     for path in gone:
-        fs, place = _fs(spark, path)
+        fs, place = file_system(spark, path)
         fs.delete(place, True)
     return gone
 

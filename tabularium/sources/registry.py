@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabularium.session import stored
+
 
 def row_digest(df: DataFrame, algorithm: str = "sha256") -> DataFrame:
     """``df`` plus ``row_hash``, a digest of all columns rendered as text ('~' for null)."""
@@ -33,7 +35,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of the raw bytes of each file below ``path``."""
+    """SHA-256 of the raw bytes of each file below ``path``; a file is read by one task, up to 2 GB."""
     return (
         spark.read.format("binaryFile")
         .load(path)
@@ -41,6 +43,35 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_tree_digests(spark: SparkSession, path: str, leaf_lines: int = 4096) -> DataFrame:
+    """(path, length, lines, dataset_hash) of each text file below ``path``, by a tree of digests.
+
+    A leaf is the SHA-256 of ``leaf_lines`` line digests, the root that of the file's length and its
+    leaves. Files are read in splits, lines are numbered across them from the splits' line counts,
+    and leaves are hashed by different tasks, so one huge file is not one task; the digest depends on
+    the bytes alone and not on how they were split. An empty file has no lines and no leaves.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path).select(
+        meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.sha2("value", 256).alias("h"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    lines = stored(lines, "line-digests")
+    blocks = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    numbered = lines.join(blocks, ["path", "block"]).withColumn("line", F.col("id") - F.col("first") + F.col("before"))
+    in_order = lambda n, h: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(n, h))), lambda s: s[h]), "")
+    leaves = numbered.groupBy("path", F.floor(F.col("line") / leaf_lines).alias("leaf")).agg(
+        F.sha2(in_order("line", "h"), 256).alias("h"), F.count("*").alias("lines")
+    )
+    tree = leaves.groupBy("path").agg(in_order("leaf", "h").alias("leaves"), F.sum("lines").alias("lines"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")  # contents are not read
+    known = files.join(tree, "path", "left").na.fill({"leaves": "", "lines": 0})
+    root = F.sha2(F.concat(F.col("length").cast("string"), F.lit(":"), F.col("leaves")), 256)
+    return known.select("path", "length", "lines", root.alias("dataset_hash"))
+
+
 def processed_flag(incoming: DataFrame, runs: DataFrame, force: bool = False) -> DataFrame:
     """Mark data sets whose hash already has a successful run."""
     if force:

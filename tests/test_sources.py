@@ -131,3 +131,26 @@ def test_serving_clamps_and_defaults(spark):
     assert (serving["HouseAge"], serving["RemodAge"], serving["GarageAge"]) == (0, 0, 0)
     batch = features.engineer(df, cols).first()
     assert (batch["HouseAge"], batch["GarageAge"]) == (-5, -5)
+
+
+def test_file_digest_depends_on_bytes_alone(spark, tmp_path):
+    """One file in many splits, and the same bytes as one; an empty file; a last line without an end."""
+    lines = [f"line {k} " + "é" * (k % 50) for k in range(5000)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "big.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "a" / "cut.txt").write_text("\n".join(lines))
+    (tmp_path / "a" / "empty.txt").write_text("")
+
+    def want(text):
+        h = [hashlib.sha256(x.encode()).hexdigest() for x in text.split("\n")[: None if text[-1:] != "\n" else -1]] if text else []
+        leaves = [hashlib.sha256("".join(h[k : k + 64]).encode()).hexdigest() for k in range(0, len(h), 64)]
+        return len(h), hashlib.sha256(f"{len(text.encode())}:{''.join(leaves)}".encode()).hexdigest()
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    for size in (before, "7000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = registry.file_tree_digests(spark, str(tmp_path / "a"), 64).collect()
+        found.append({r.path.split("/")[-1]: (r.lines, r.dataset_hash) for r in rows})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] == {p.name: want(p.read_text()) for p in (tmp_path / "a").iterdir()}

@@ -9,7 +9,7 @@ from tabularium.operators import history as h
 from tabularium.operators import profile as p
 from tabularium.operators import reports
 from tabularium.session import new_path
-from tabularium.sources import readers, registry
+from tabularium.sources import merge, readers, registry
 from workloads.base import GAPPY, SALES, gappy, query, sales, table
 
 
@@ -44,12 +44,52 @@ def documents_scan(spark, d):
     )
 
 
-@query("dataset_fingerprint", """WITH r AS (SELECT sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) AS h FROM orders)
+def texts_as_files(spark, d):
+    """One text file per language with all its documents, one after another."""
+    path = new_path(spark, "document-files")
+    docs = table(spark, d, "documents").select("lang", "doc_id", "text")
+    docs.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy("lang").text(path)
+    return path
+
+
+LEAF = 100
+
+
+@query("file_digests", f"""WITH f AS (SELECT lang, string_agg(text, chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY lang),
+l AS (SELECT lang, sha256(u) AS h, i - 1 AS line FROM (SELECT lang, unnest(string_split(t, chr(10))) AS u, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM f)),
+v AS (SELECT lang, line // {LEAF} AS leaf, sha256(string_agg(h, '' ORDER BY line)) AS h, count(*) AS n FROM l GROUP BY ALL),
+r AS (SELECT lang, string_agg(h, '' ORDER BY leaf) AS leaves, CAST(sum(n) AS BIGINT) AS lines FROM v GROUP BY lang)
+SELECT f.lang AS title, strlen(t) + 1 AS length, lines, sha256(concat(strlen(t) + 1, ':', leaves)) AS dataset_hash FROM f JOIN r USING (lang)""")
+def file_digests(spark, d):
+    """The digest of every file that the documents are written to."""
+    out = registry.file_tree_digests(spark, texts_as_files(spark, d), LEAF)
+    return out.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("title"), "length", "lines", "dataset_hash")
+
+
+@query("text_files_scan", """SELECT 'newest' AS run, lang AS title, length(string_agg(text, chr(10) ORDER BY doc_id)) + 1 AS n_chars,
+  md5(concat(string_agg(text, chr(10) ORDER BY doc_id), chr(10))) AS digest FROM documents GROUP BY lang""")
+def text_files_scan(spark, d):
+    """All files of the newest of two run folders, read whole; each title is the name of a language."""
+    root, source = new_path(spark, "runs"), texts_as_files(spark, d)
+    fs, _ = merge.file_system(spark, root)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    for entry in fs.listStatus(place(source)):  # one folder per language
+        name = entry.getPath().getName()
+        if name.startswith("lang="):
+            file = next(s.getPath() for s in fs.listStatus(entry.getPath()) if s.getPath().getName().endswith(".txt"))
+            fs.mkdirs(place(f"{root}/newest"))
+            fs.rename(file, place(f"{root}/newest/{name.removeprefix('lang=')}.txt"))
+    spark.range(1).select(F.lit("old").alias("t")).coalesce(1).write.text(f"{root}/earlier")
+    out = readers.read_documents(spark, root)
+    return out.select("run", "title", F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("digest"))
+
+
+@query("dataset_fingerprint", """WITH r AS (SELECT sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority)) AS h FROM orders)
 SELECT count(*) AS row_count, bit_xor(CAST('0x' || substr(h, 1, 12) AS BIGINT)) AS xor_head,
   bit_xor(CAST('0x' || substr(h, 13, 12) AS BIGINT)) AS xor_tail, min(h) AS min_hash, max(h) AS max_hash FROM r""")
 def dataset_fingerprint(spark, d):
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return registry.fingerprint(orders)
+    """All columns of all orders."""
+    return registry.fingerprint(table(spark, d, "orders"))
 
 
 INCOMING = """inc AS (SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR)) AS dataset_hash FROM customer),
