@@ -111,11 +111,11 @@ def test_unknown_predicates(spark):
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "g string, x double, y int")
     train = F.lit(True)
-    assert clean.impute_group_median(empty, "x", "g", train, 10).count() == 0
+    assert clean.impute_group_median(empty, "x", "g", train).count() == 0
     assert clean.fill_remaining(empty, train).count() == 0
     from tabularium.operators import market, profile
 
-    assert market.market_kpis(empty, "x", 10).first()["transactions"] == 0
+    assert market.market_kpis(empty, "x").first()["transactions"] == 0
     assert profile.schema_confidence(profile.column_profile(empty)).first()["confidence"] == 0.0
     assert sum(r["n"] for r in market.histogram(empty, "x").collect()) == 0
 
