@@ -40,6 +40,7 @@ STEP_BITS = 38  # a residual is a whole number of at most so many bits; fewer wh
 REFRESH = 8
 CUT = 64
 LEAF_WISE = {"leaves": BOOST_LEAVES, "depth": BOOST_LEAVES, "penalty": 0.0, "least": BOOST_LEAF_ROWS}
+TASK_ROWS = 1 << 18  # rows of a task: steps are short, and starting tasks is most of what a small table costs
 FAN_IN = 64  # partial histograms that meet in one task or in the driver
 
 
@@ -323,12 +324,13 @@ def predictions(block: Block, trees: Sequence[Tree]) -> np.ndarray:
 class _Blocks:
     """The packed rows with the predictions so far, brought up to date as trees come in."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.pending, self.old = spark, [], []
+    def __init__(self, spark: SparkSession, path: str, rows: int):
+        self.spark, self.pending, self.old, self.tasks = spark, [], [], -(-rows // TASK_ROWS)
         self.rdd = self._read(path)
 
     def _read(self, path: str) -> RDD:
-        return self.spark.read.schema(PACKED).parquet(path).rdd.map(from_row).persist(StorageLevel.MEMORY_AND_DISK)
+        packed = self.spark.read.schema(PACKED).parquet(path).coalesce(max(self.tasks, 1))
+        return packed.rdd.map(from_row).persist(StorageLevel.MEMORY_AND_DISK)
 
     def add(self, tree: Tree, number: int) -> None:
         self.pending.append(tree)
@@ -393,7 +395,7 @@ def fit_boosted(
     step = _step(n, base, spread)
     path, size = new_path(spark, "boosting"), max(len(e) for e in limits) + 1
     pack(df, features, label, held, limits, model.base, path)
-    blocks, stump = _Blocks(spark, path), Tree(*[np.zeros(1, np.int64)] * 3, np.zeros(1), np.zeros(1), 0)
+    blocks, stump = _Blocks(spark, path, n), Tree(*[np.zeros(1, np.int64)] * 3, np.zeros(1), np.zeros(1), 0)
     best = (math.inf, 0)
     for number in range(rounds + 1):
         root, losses = sum_nodes(blocks.rdd, blocks.pending, stump, [0], step, size, True)
@@ -433,7 +435,7 @@ def first_histogram(
     n, base, spread = df.agg(F.count(label), F.avg(label).cast("double"), F.max(F.abs(label)).cast("double")).first()
     limits, step = edges(df, features, bins), _step(n, base or 0.0, spread or 0.0)
     pack(df, features, label, F.lit(False), limits, base or 0.0, path)
-    blocks = _Blocks(spark, path)
+    blocks = _Blocks(spark, path, n)
     stump, size = Tree(*[np.zeros(1, np.int64)] * 3, np.zeros(1), np.zeros(1), 0), max(len(e) for e in limits) + 1
     hist, _ = sum_nodes(blocks.rdd, [], stump, [0], step, size, False)
     blocks.close()

@@ -56,12 +56,11 @@ def quantiles(
     state = state.select(*keys, "rank", "r", "_lo", "_hi", "_before", "_c", _found().alias("found"))
     known = []
     while True:
-        state = stored(state, "quantile-ranks")  # a row per group and rank
         known.append(state.where("found IS NOT NULL").select(*keys, "rank", "found"))
         open_ranks = state.where("found IS NULL").drop("found", "_c")
         if open_ranks.isEmpty():
             break
-        state = _narrow(present.withColumnRenamed(value, "_v"), open_ranks, keys)
+        state = stored(_narrow(present.withColumnRenamed(value, "_v"), open_ranks, keys), "quantile-ranks")  # a row per group and rank
     found = reduce(DataFrame.unionByName, known)
     at = lambda name, side: F.max(F.when(F.col("rank") == f"{name}:{side}", F.col("found")))
     wide = found.groupBy(*keys).agg(*[at(name, side).alias(f"_{name}_{side}") for name in probs for side in ("floor", "ceil")])

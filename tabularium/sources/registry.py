@@ -49,7 +49,7 @@ def file_tree_digests(spark: SparkSession, path: str, leaf_lines: int = 4096) ->
     A leaf is the SHA-256 of ``leaf_lines`` line digests, the root that of the file's length and its
     leaves. Files are read in splits, lines are numbered across them from the splits' line counts,
     and leaves are hashed by different tasks, so one huge file is not one task; the digest depends on
-    the bytes alone and not on how they were split. An empty file has no lines and no leaves.
+    the bytes alone and not on how they were split. Scans leave out empty files.
     """
     meta = F.col("_metadata")
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path).select(

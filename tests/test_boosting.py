@@ -81,6 +81,7 @@ def test_partitions_blocks_and_cuts_change_nothing(frame, monkeypatch):
     monkeypatch.setattr(b, "REFRESH", 2)
     monkeypatch.setattr(b, "CUT", 4)
     monkeypatch.setattr(b, "FAN_IN", 2)
+    monkeypatch.setattr(b, "TASK_ROWS", 50)
     many = b.fit_boosted(df.repartition(8), NAMES, "y", held, rounds=9, rate=0.2, edges=b.even_edges, bins=20)
     assert len(one.trees) == len(many.trees) == 9
     for s, t in zip(one.trees, many.trees):
