@@ -133,12 +133,31 @@ def test_forest_with_copies_and_constant_rows(spark):
     assert out.where("iso_flag").where("id < 2000").count() == 0
 
 
-def test_forest_pool_is_bounded(spark):
-    """A table much larger than the pool is sampled, without losing tree size."""
-    s = forest.draw_samples(spark.range(200_000).withColumn("u", F.rand(3)), ["u"], 20, 64, 1)
-    sizes = s.groupBy("tree").count().collect()
-    assert len(sizes) == 20 and {r["count"] for r in sizes} == {64}
-    assert s.select("x").distinct().count() == 20 * 64
+def test_forest_samples_ignore_partitions(spark):
+    """Every tree samples rows without replacement, the same ones however the table is cut."""
+    df = spark.range(50_000).withColumn("u", F.col("id") * 1.5)
+    found = []
+    for parts in (1, 7):
+        s = forest.draw_samples(df.repartition(parts), ["u"], 20, 64, 1)
+        found.append(sorted((r["tree"], r["pos"], r["x"][0]) for r in s.collect()))
+    assert found[0] == found[1] and len(found[0]) == 20 * 64
+    assert len({(t, x) for t, _, x in found[0]}) == 20 * 64
+    whole = forest.draw_samples(df.limit(40), ["u"], 3, 64, 1).groupBy("tree").count().collect()
+    assert {r["count"] for r in whole} == {40}
+
+
+def test_forest_samples_copies_by_their_number(spark):
+    """A row with a third of all copies is a third of the samples; ranks are those of single copies."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("id").cast("double")).alias("u"))
+    s = forest.draw_samples(df, ["u"], 40, 100, 2)
+    share = s.agg(F.avg((F.col("x")[0] == 0.0).cast("int"))).first()[0]
+    assert abs(share - 1 / 3) < 0.03
+    keys = np.arange(1, 4, dtype=np.uint64)
+    rank, number, rows = forest.least_ranks(keys, np.array([5, 1, 2000]), 0, 7, 2.0)
+    for row, n in enumerate((5, 1, 2000)):
+        mine = rank[rows == row]
+        assert len(mine) == n and (np.diff(mine) >= 0).all() and 0 <= mine[0] and mine[-1] <= 1
+    assert abs(rank[rows == 2].mean() - 0.5) < 0.05
 
 
 def test_target_encoding_skew_and_unseen(spark):

@@ -5,6 +5,8 @@ import re
 import pytest
 
 import workloads
+from tabularium.operators import quantiles
+from tabularium.session import stored
 
 QUERIES = workloads.load()[0]
 # Eager: their result is read back from a table or a fitted model, so the plan says little.
@@ -22,9 +24,30 @@ def test_no_pairing_join_or_row_udf(name, spark, data):
         assert operator not in text
 
 
-def test_scans_are_pruned(spark, data):
-    text = plan(QUERIES["group_stats"](spark, data))
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+@pytest.fixture()
+def written(monkeypatch):
+    """Plans of the tables that quantiles write on their way."""
+    plans = []
+
+    def keep(df, label):
+        plans.append(plan(df))
+        return stored(df, label)
+
+    monkeypatch.setattr(quantiles, "stored", keep)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["group_stats", "distribution_shape", "robust_scale"])
+def test_quantiles_pair_nothing_on_the_way(name, spark, data, written):
+    QUERIES[name](spark, data)
+    assert len(written) > 1
+    for text in written:
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_scans_are_pruned(spark, data, written):
+    QUERIES["group_stats"](spark, data)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", written[0])
     assert any(s == "l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double" for s in schemas)
     assert "o_orderkey:bigint,o_custkey:bigint" in schemas
 
