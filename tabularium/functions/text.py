@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tabularium.vocabulary import HEDGES, STOPWORDS
+from tabularium.vocabulary import HEDGES, LIVE_MARKER, STOPWORDS
 
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -36,7 +36,7 @@ def words(text: Column) -> Column:
 def strip_markers(text: Column) -> Column:
     """Remove source tags, the live-state header and document headers."""
     no_source = F.regexp_replace(text, r"\[Source:[^\]]*\]\n*", "")
-    no_live = F.replace(no_source, F.lit("[Live System State]\n"), F.lit(""))
+    no_live = F.replace(no_source, F.lit(LIVE_MARKER), F.lit(""))
     return F.trim(F.regexp_replace(no_live, r"DOCUMENT:\s*\S+\s*", ""))
 
 

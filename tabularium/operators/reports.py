@@ -29,11 +29,9 @@ def neighborhood_document(stats: DataFrame, group: str) -> DataFrame:
     ).select(
         F.lit("neighborhood_stats").alias("title"),
         F.concat(
-            F.lit("Neighborhood Statistics\n\nThe dataset contains "), F.col("n").cast("string"),
-            F.lit(" neighborhoods. Neighborhoods with highest median prices include "), high,
-            F.lit(". The most affordable neighborhoods include "), low,
-            F.lit(". The price range spans from $"), _int(F.col("a")),
-            F.lit(" to $"), _int(F.col("b")), F.lit("."),
+            F.lit("Prices by neighborhood\n\nCompared: "), F.col("n").cast("string"),
+            F.lit(". Dearest by median: "), high, F.lit(". Cheapest by median: "), low,
+            F.lit(". Single sales run from $"), _int(F.col("a")), F.lit(" up to $"), _int(F.col("b")), F.lit("."),
         ).alias("content"),
     )
 
@@ -45,9 +43,7 @@ def trend_document(years: DataFrame, year: str) -> DataFrame:
     return years.agg(most.cast("string").alias("most"), least.cast("string").alias("least")).select(
         F.lit("price_trends_report").alias("title"),
         F.concat(
-            F.lit("Price Trends and Transaction Volume Report\n\n"), "most",
-            F.lit(" had the highest transaction volume. "), "least",
-            F.lit(" had the lowest transaction volume."),
+            F.lit("Sales over the years\n\nBusiest year: "), "most", F.lit(". Quietest year: "), "least", F.lit("."),
         ).alias("content"),
     )
 
@@ -56,8 +52,8 @@ def anomaly_document(flags: DataFrame) -> DataFrame:
     return flags.select(
         F.lit("anomaly_report").alias("title"),
         F.format_string(
-            "Anomaly Detection Report\n\nTotal flagged: %d\nIsolation Forest flags: %d\n"
-            "Z-score flags: %d\nBoth methods: %d\n",
+            "Unusual sales\n\nFlagged in all: %d\nBy the isolation forest: %d\n"
+            "By z-scores: %d\nBy both: %d\n",
             "total_flagged", "isolation_forest_flags", "zscore_flags", "both_methods_flags",
         ).alias("content"),
     )
@@ -67,7 +63,7 @@ def cleaning_document(cleaning: DataFrame) -> DataFrame:
     return cleaning.select(
         F.lit("cleaning_report").alias("title"),
         F.format_string(
-            "Data Cleaning Report\n\nRows in: %d, Rows out: %d\nRows dropped: %d\n",
+            "Cleaning\n\nRead: %d rows, kept: %d\nRemoved: %d\n",
             F.col("rows_in"), F.col("rows_out"), F.col("rows_in") - F.col("rows_out"),
         ).alias("content"),
     )
@@ -76,13 +72,13 @@ def cleaning_document(cleaning: DataFrame) -> DataFrame:
 def model_document(models: DataFrame) -> DataFrame:
     """From the model results (one row per model)."""
     line = F.concat(
-        F.lit("- "), "model_name", F.lit(": Test RMSE=$"),
+        F.lit("- "), "model_name", F.lit(": RMSE on the test rows $"),
         F.round("test_rmse").cast("bigint").cast("string"), F.lit("\n"),
     )
     lines = F.array_sort(F.collect_list(F.struct("model_name", line.alias("t"))))
     return models.agg(F.array_join(F.transform(lines, lambda x: x["t"]), "").alias("t")).select(
         F.lit("model_evaluation_report").alias("title"),
-        F.concat(F.lit("Model Evaluation Report\n\n"), "t").alias("content"),
+        F.concat(F.lit("Models compared\n\n"), "t").alias("content"),
     )
 
 

@@ -36,7 +36,7 @@ def test_cleaning(run, houses):
     assert sum(nulls) == 0
     assert df.where("SalePrice <= 0").count() == 0
     assert {r[0] for r in df.select("Neighborhood").distinct().collect()} == {
-        "NAmes", "CollgCr", "OldTown", "NridgHt",
+        "Harbour", "Mill", "Old Quay", "Hillside",
     }
     dropped = houses.where(F.col("Electrical").isNull()).count() + 1
     assert df.count() == houses.count() - dropped

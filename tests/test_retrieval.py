@@ -19,12 +19,12 @@ def ask(spark, texts):
 @pytest.mark.parametrize(
     "text,intent",
     [
-        ("which year had the most home sales?", "temporal"),
-        ("neighborhoods in town with high prices", "neighborhood"),
-        ("how many outliers were detected?", "anomaly"),
-        ("what is the r2 score of the xgboost model?", "model_performance"),
-        ("what are the top features influencing price?", "feature"),
-        ("tell me about it", "general"),
+        ("in which year did sales peak, and in which month?", "temporal"),
+        ("which neighborhood is the cheapest area to live in?", "neighborhood"),
+        ("were any outliers or anomalies flagged?", "anomaly"),
+        ("compare the rmse and r2 of each model", "model_performance"),
+        ("which features are important for the price?", "feature"),
+        ("good morning to everyone", "general"),
         ("", "general"),
         (None, "general"),
     ],
@@ -51,8 +51,8 @@ def brute_bm25(query, docs, k1=1.5, b=0.75):
 
 
 DOCS = {
-    0: "The ridge model was trained first.", 1: "Café prices, été prices; PRICES rise.",
-    2: "XGBoost is a boosted model. XGBoost wins.", 3: "", 4: "prices prices model",
+    0: "The old bridge was closed first.", 1: "Café prices, été prices; PRICES rise.",
+    2: "Lanterns light a narrow bridge. Lanterns glow.", 3: "", 4: "prices prices bridge",
 }
 
 
@@ -61,7 +61,7 @@ def docs_df(spark):
 
 
 def test_bm25(spark, monkeypatch):
-    queries = ["XGBoost", "prices été prices", "nothing here"]
+    queries = ["Lanterns", "prices été prices", "nothing here"]
     toks = retrieval.tokenise_corpus(docs_df(spark), "doc_id", "text")
     got = retrieval.bm25(toks, ask(spark, queries), "query_id", "text").collect()
     scores = {(r["query_id"], r["doc_id"]): r["score"] for r in got}
@@ -172,7 +172,7 @@ def test_hybrid_equals_brute_force(spark, monkeypatch, joined, queries_per_block
     monkeypatch.setattr(retrieval, "JOINED_SPACE", joined)
     monkeypatch.setattr(retrieval, "SCANNED_QUERIES", queries_per_block)
     corpus, texts, vecs, names = small_corpus(spark)
-    asked = ["which year had the most home sales?", "unusual garage", "roof garage", "any outlier flag?"]
+    asked = ["in which year did sales peak, and in which month?", "unusual garage", "roof garage", "any outlier flag?"]
     rng = np.random.default_rng(11)
     qv = [rng.normal(0, 1, 6) for _ in asked]
     queries = spark.createDataFrame(
@@ -209,7 +209,7 @@ def test_hybrid_equals_brute_force(spark, monkeypatch, joined, queries_per_block
 def test_answering_plan(spark):
     corpus, *_ = small_corpus(spark)
     queries = spark.createDataFrame(
-        [(0, "which year had the most home sales?", [1.0] * 6)], "query_id bigint, text string, embedding array<double>"
+        [(0, "in which year did sales peak, and in which month?", [1.0] * 6)], "query_id bigint, text string, embedding array<double>"
     )
     built = answering.contexts(queries, corpus, intents.namespaces(SPACES, spark))
     row = answering.judge(answering.answer(queries, built)).first()
@@ -226,8 +226,8 @@ def test_grounding(spark):
     def score(a, c):
         return one(spark, grounding.grounding_score(F.lit(a), F.lit(c)))
 
-    assert score("Overall Quality is the top feature", "The top feature for prices is Overall Quality") > 0.5
-    assert score("completely unrelated words xyz", "context about housing") < 0.5
+    assert score("Lake houses sell slowly", "In autumn lake houses often sell slowly or not") > 0.5
+    assert score("purple giraffes dance", "ledger of harbour fees") < 0.5
     assert score("", "context") == 0.0 and score("answer", "") == 0.0 and score("the of", "the of") == 0.0
 
 
@@ -243,8 +243,8 @@ def test_gate(spark, score, answer, want):
 
 
 def test_extractive(spark):
-    text = "The top feature is Overall Quality. House age also matters. Garage area is important."
-    assert one(spark, grounding.extract_by_words(F.lit("What is the top feature?"), F.lit(text))).startswith("The top")
+    text = "Ships unload at dawn. The north pier was rebuilt after the storm. Fishing pays little."
+    assert one(spark, grounding.extract_by_words(F.lit("When was the north pier rebuilt?"), F.lit(text))).startswith("The north pier")
     assert one(spark, grounding.extract_by_words(F.lit("zebra?"), F.lit(text))) == NO_ANSWER
     assert one(spark, grounding.extract_by_words(F.lit("q"), F.lit(None).cast("string"))) == NO_ANSWER
     rows = [(0, [1.0, 0.0], [0.0, 1.0], 0, "far"), (0, [1.0, 0.0], [0.9, 0.1], 1, "near"), (1, [1.0, 0.0], [0.0, 1.0], 0, "far")]
@@ -285,7 +285,7 @@ def test_chat_formats(spark):
 
 
 def test_canonical(spark):
-    assert indel_ratio("SalePrise", "SalePrice") == pytest.approx(100 * 2 * 8 / 18)
+    assert indel_ratio("harbor", "harbour") == pytest.approx(100 * 2 * 6 / 13)
     df = spark.createDataFrame([("STANDAR",), ("LARGE",), ("xyz",), (None,)], "v string")
     for scorer in (best_indel, best_levenshtein):
         got = {r["v"]: r["canonical"] for r in canonicalize(df, "v", ["LARGE", "STANDARD"], scorer).collect()}

@@ -425,9 +425,9 @@ def namespace_filter(spark, d):
 @query("live_context", INTENTS + """, m AS (SELECT count(*) AS r, count(*) FILTER (event_type = 'error') AS a,
   floor(max(value)) AS rmse FROM events)
 SELECT conv_id, turn, CASE intent
-  WHEN 'anomaly' THEN concat('[Live System State]', chr(10), 'Total anomalies detected in the latest pipeline run: ', a, '.')
-  WHEN 'model_performance' THEN concat('[Live System State]', chr(10), 'The Champion model achieved an R2 score of 0.5 and an RMSE of $', CAST(rmse AS BIGINT), ' on the test set.')
-  WHEN 'feature' THEN concat('[Live System State]', chr(10), 'The latest run processed ', r, ' rows and generated 12 features.')
+  WHEN 'anomaly' THEN concat('[Live System State]', chr(10), 'The newest run flagged ', a, ' sales as unusual.')
+  WHEN 'model_performance' THEN concat('[Live System State]', chr(10), 'Best model so far: R2 0.5, RMSE $', CAST(rmse AS BIGINT), ' on the test rows.')
+  WHEN 'feature' THEN concat('[Live System State]', chr(10), 'The newest run read ', r, ' rows and made 12 features.')
   END AS live_line FROM intent, m""")
 def live_context(spark, d):
     metrics = table(spark, d, "events").agg(

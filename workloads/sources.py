@@ -188,18 +188,16 @@ y AS (SELECT yr, count(*) AS n FROM sales GROUP BY yr),
 an AS (SELECT count(*) FILTER (l_quantity > 45) AS f, count(*) FILTER (l_tax > 0.07) AS z,
   count(*) FILTER (l_quantity > 45 AND l_tax > 0.07) AS b, count(*) FILTER (l_quantity > 45 OR l_tax > 0.07) AS t, count(*) AS n FROM sales),
 mk AS (SELECT yr AS m, round(avg(price)) AS r FROM sales GROUP BY yr)
-SELECT 'neighborhood_stats' AS title, concat('Neighborhood Statistics', chr(10), chr(10), 'The dataset contains ', h, ' neighborhoods. ',
-  'Neighborhoods with highest median prices include ', hi.s, '. The most affordable neighborhoods include ', lo.s,
-  '. The price range spans from $', CAST(floor(a) AS BIGINT), ' to $', CAST(floor(b) AS BIGINT), '.') AS content FROM al, hi, lo
-UNION ALL SELECT 'price_trends_report', concat('Price Trends and Transaction Volume Report', chr(10), chr(10),
-  (SELECT yr FROM y ORDER BY n DESC, yr LIMIT 1), ' had the highest transaction volume. ',
-  (SELECT yr FROM y ORDER BY n, yr LIMIT 1), ' had the lowest transaction volume.')
-UNION ALL SELECT 'anomaly_report', concat('Anomaly Detection Report', chr(10), chr(10), 'Total flagged: ', t, chr(10),
-  'Isolation Forest flags: ', f, chr(10), 'Z-score flags: ', z, chr(10), 'Both methods: ', b, chr(10)) FROM an
-UNION ALL SELECT 'cleaning_report', concat('Data Cleaning Report', chr(10), chr(10), 'Rows in: ', n, ', Rows out: ', n - t, chr(10),
-  'Rows dropped: ', t, chr(10)) FROM an
-UNION ALL SELECT 'model_evaluation_report', concat('Model Evaluation Report', chr(10), chr(10),
-  string_agg(concat('- model_', m, ': Test RMSE=$', CAST(r AS BIGINT), chr(10)), '' ORDER BY m)) FROM mk""")
+SELECT 'neighborhood_stats' AS title, concat('Prices by neighborhood', chr(10), chr(10), 'Compared: ', h,
+  '. Dearest by median: ', hi.s, '. Cheapest by median: ', lo.s,
+  '. Single sales run from $', CAST(floor(a) AS BIGINT), ' up to $', CAST(floor(b) AS BIGINT), '.') AS content FROM al, hi, lo
+UNION ALL SELECT 'price_trends_report', concat('Sales over the years', chr(10), chr(10), 'Busiest year: ',
+  (SELECT yr FROM y ORDER BY n DESC, yr LIMIT 1), '. Quietest year: ', (SELECT yr FROM y ORDER BY n, yr LIMIT 1), '.')
+UNION ALL SELECT 'anomaly_report', concat('Unusual sales', chr(10), chr(10), 'Flagged in all: ', t, chr(10),
+  'By the isolation forest: ', f, chr(10), 'By z-scores: ', z, chr(10), 'By both: ', b, chr(10)) FROM an
+UNION ALL SELECT 'cleaning_report', concat('Cleaning', chr(10), chr(10), 'Read: ', n, ' rows, kept: ', n - t, chr(10), 'Removed: ', t, chr(10)) FROM an
+UNION ALL SELECT 'model_evaluation_report', concat('Models compared', chr(10), chr(10),
+  string_agg(concat('- model_', m, ': RMSE on the test rows $', CAST(r AS BIGINT), chr(10)), '' ORDER BY m)) FROM mk""")
 def report_documents(spark, d):
     s = sales(spark, d, "hood")
     from tabularium.operators.market import group_stats
