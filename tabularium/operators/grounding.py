@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tabularium.functions.text import clean_sentences, content_tokens, is_hedged, tokens
 from tabularium.functions.vectors import cosine
 from tabularium.vocabulary import (
+    CONTEXT_MIN_WORDS,
     EXTRACT_MIN_COSINE,
     EXTRACT_MIN_OVERLAP,
     GROUNDING_REJECT,
     GROUNDING_REVIEW,
     NO_ANSWER,
+    NO_CONTEXT,
 )
 
 
@@ -34,6 +36,16 @@ def gate(score: Column, answer: Column) -> Column:
     )
 
 
+def enough_context(context: Column, least: int = CONTEXT_MIN_WORDS) -> Column:
+    """Whether a context has the words that an answer needs; null has none."""
+    return F.regexp_count(F.coalesce(context, F.lit("")), F.lit(r"\S+")) >= least
+
+
+def answer_or_refuse(question: Column, context: Column) -> Column:
+    """The extractive answer, or the fixed refusal where the context is too short for one."""
+    return F.when(enough_context(context), extract_by_words(question, context)).otherwise(F.lit(NO_CONTEXT))
+
+
 def extract_by_words(question: Column, context: Column) -> Column:
     """The first sentence with the most distinct question words; fewer than two abstains."""
     asked = F.array_distinct(tokens(F.coalesce(question, F.lit(""))))

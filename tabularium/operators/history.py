@@ -117,6 +117,11 @@ def schema_history(history: DataFrame) -> DataFrame:
     return history.withColumn("null_rate", F.coalesce("null_rate", F.lit(0.0)))
 
 
+def record(log: DataFrame, key: str, value: object) -> DataFrame:
+    """The stored record of one id; the filter reaches the scan, so a sorted log reads little."""
+    return log.where(F.col(key) == value)
+
+
 def json_details(raw: Column, schema: str) -> Column:
     """Parse nested details; malformed text gives an empty map."""
     parsed = F.from_json(raw, schema)

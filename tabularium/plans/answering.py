@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.text import clean_sentences, strip_markers
 from tabularium.operators.chunking import context_budget
-from tabularium.operators.grounding import extract_by_words, gate, grounding_score
+from tabularium.operators.grounding import enough_context, extract_by_words, gate, grounding_score
 from tabularium.operators.intents import live_context
 from tabularium.operators.retrieval import assemble_context, hybrid_retrieve
 from tabularium.session import stored
+from tabularium.vocabulary import NO_CONTEXT
 
 
 def contexts(
@@ -37,7 +38,7 @@ def answer(questions: DataFrame, built: DataFrame) -> DataFrame:
         "confidence",
         facts.alias("facts"),
         "sources",
-        extract_by_words(F.col("text"), facts).alias("answer"),
+        F.when(enough_context(F.col("context")), extract_by_words(F.col("text"), facts)).otherwise(F.lit(NO_CONTEXT)).alias("answer"),
     )
 
 

@@ -160,6 +160,8 @@ GROUNDING_REVIEW = 0.50
 EXTRACT_MIN_COSINE = 0.35
 EXTRACT_MIN_OVERLAP = 2
 LIVE_MARKER = "[Live System State]\n"  # stripped from facts again, so it must stay as it is
+NO_CONTEXT = "I don't have enough context to answer that question. Please run the pipeline first."
+CONTEXT_MIN_WORDS = 20
 NO_ANSWER = "I don't have enough information to answer that question."
 
 # Stop words of the grounding score.

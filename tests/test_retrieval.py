@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabularium.operators import chunking, conversation, grounding, intents, nearest, retrieval
 from tabularium.operators.canonical import best_indel, best_levenshtein, canonicalize, indel_ratio
 from tabularium.plans import answering
-from tabularium.vocabulary import NO_ANSWER
+from tabularium.vocabulary import NO_ANSWER, NO_CONTEXT
 
 
 def ask(spark, texts):
@@ -255,6 +255,18 @@ def test_extractive(spark):
     assert got == {0: "near", 1: NO_ANSWER}
 
 
+def test_short_contexts_are_refused(spark):
+    question = F.lit("When was the north pier rebuilt?")
+    text = "The north pier was rebuilt after the storm. " + "Ships wait. " * 5
+    words = len(text.split())
+    assert words < 20
+    assert one(spark, grounding.answer_or_refuse(question, F.lit(text))) == NO_CONTEXT
+    longer = text + "Ships wait. " * 5
+    assert one(spark, grounding.answer_or_refuse(question, F.lit(longer))).startswith("The north pier")
+    for nothing in (None, "", "  "):
+        assert one(spark, grounding.answer_or_refuse(question, F.lit(nothing).cast("string"))) == NO_CONTEXT
+
+
 def test_chunk_overlap_and_long_sentence(spark):
     rng = np.random.default_rng(1)
     sents = [" ".join(f"w{rng.integers(99)}" for _ in range(n)) + "." for n in (60, 70, 90, 300, 10, 80)]

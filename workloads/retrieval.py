@@ -13,6 +13,7 @@ from tabularium.vocabulary import (
     HEDGES,
     INTENT_RULES,
     NO_ANSWER,
+    NO_CONTEXT,
     STOPWORDS,
 )
 from workloads.base import query, table
@@ -510,6 +511,35 @@ def extractive_answer(spark, d):
     return exchanges(spark, d).select("conv_id", "turn", answer.alias("answer"))
 
 
+@query("refused_answer", rf"""WITH {EXCHANGES}, s AS (
+  SELECT conv_id, turn, list_distinct({_toks('question')}) AS q, {CLEAN.replace('text', 'answer')} AS s FROM ex),
+p AS (SELECT conv_id, turn, i, s[i] AS t, len(list_filter(q, lambda w: list_contains({_toks('s[i]')}, w))) AS n
+  FROM s, unnest(range(1, len(s) + 1)) AS u(i)),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY n DESC, i) AS rk FROM p)
+SELECT ex.conv_id, ex.turn, CASE WHEN len(regexp_extract_all(coalesce(ex.answer, ''), '\S+')) < 20 THEN {quoted(NO_CONTEXT)}
+  WHEN coalesce(n, 0) >= 2 THEN t ELSE {quoted(NO_ANSWER)} END AS answer
+FROM ex LEFT JOIN b ON b.conv_id = ex.conv_id AND b.turn = ex.turn AND rk = 1""")
+def refused_answer(spark, d):
+    """Every question answered from the text that follows it, refused where that has under 20 words."""
+    answer = grounding.answer_or_refuse(F.col("question"), F.col("answer"))
+    return exchanges(spark, d).select("conv_id", "turn", answer.alias("answer"))
+
+
+@query("extractive_by_vector", f"""WITH v AS (SELECT vec_id, vec_id // 8 AS q, vec_id % 8 AS pos, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT s.q, s.pos, s.vec_id, list_cosine_similarity(a.e, s.e) AS score FROM v s JOIN v a ON a.q = s.q AND a.pos = 0 WHERE s.pos > 0),
+b AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, pos) AS rk FROM p)
+SELECT q, round(score, 6) AS score, CASE WHEN score < 0.35 THEN {quoted(NO_ANSWER)} ELSE concat('sentence ', vec_id) END AS answer FROM b WHERE rk = 1""")
+def extractive_by_vector(spark, d):
+    """Embeddings in runs of eight: the first asks, the others are sentences it is answered by."""
+    v = table(spark, d, "embeddings").select(
+        "vec_id", F.floor(F.col("vec_id") / 8).alias("q"), (F.col("vec_id") % 8).alias("pos"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+    asked = v.where("pos = 0").select("q", F.col("vector").alias("question_vector"))
+    sentence = F.concat(F.lit("sentence "), F.col("vec_id").cast("string"))
+    pairs = v.where("pos > 0").join(asked, "q").withColumn("sentence", sentence)
+    return grounding.extract_by_vector(pairs, "q").select("q", F.round("score", 6).alias("score"), "answer")
+
+
 @query("chat_window", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations)
 SELECT conv_id, string_agg(concat(CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END, ': ', text), chr(10) ORDER BY turn) AS "window"
 FROM r WHERE back <= 5 GROUP BY conv_id""")

@@ -284,6 +284,16 @@ def anomaly_page(spark, d):
     return h.anomaly_page(log, "high", [F.desc("ts"), "event_id"], 2, 10).select("event_id", "severity")
 
 
+@query("anomaly_record", """SELECT event_id, ts, value, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events
+WHERE event_id = (SELECT max(event_id) FROM events WHERE event_type = 'error')""")
+def anomaly_record(spark, d):
+    """The newest stored error by its id, with its details."""
+    ev = table(spark, d, "events")
+    newest = ev.where(F.col("event_type") == "error").agg(F.max("event_id")).scalar()
+    found = h.record(ev, "event_id", newest)
+    return found.select("event_id", "ts", "value", F.try_element_at(h.json_details(F.col("props"), "map<string,int>"), F.lit("k")).alias("k"))
+
+
 @query("paged_table", """SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders) AS total,
   CAST(ceil((SELECT count(*) FROM orders) / 25.0) AS BIGINT) AS pages FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 50""")
 def paged_table(spark, d):
