@@ -40,7 +40,7 @@ STEP_BITS = 38  # a residual is a whole number of at most so many bits; fewer wh
 REFRESH = 8
 CUT = 64
 LEAF_WISE = {"leaves": BOOST_LEAVES, "depth": BOOST_LEAVES, "penalty": 0.0, "least": BOOST_LEAF_ROWS}
-TASK_ROWS = 1 << 18  # rows of a task: steps are short, and starting tasks is most of what a small table costs
+TASK_ROWS = 1 << 16  # rows of a task: steps are short, and starting tasks is most of what a small table costs
 FAN_IN = 64  # partial histograms that meet in one task or in the driver
 
 
