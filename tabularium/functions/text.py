@@ -25,7 +25,8 @@ def sentences(text: Column) -> Column:
 def clean_sentences(text: Column) -> Column:
     """Sentences of a text with line breaks flattened, trimmed, empty ones removed."""
     flat = F.replace(text, F.lit("\n"), F.lit(" "))
-    return F.filter(F.transform(sentences(flat), F.trim), lambda s: s != "")
+    # A one-argument lambda: F.trim has two parameters, so transform would pass the index as its trim set.
+    return F.filter(F.transform(sentences(flat), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def words(text: Column) -> Column:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabularium.functions import text as tx
 from tabularium.operators import chunking, conversation, grounding, intents, nearest, retrieval
 from tabularium.operators.canonical import best_indel, best_levenshtein, canonicalize, indel_ratio
 from tabularium.plans import answering
@@ -302,3 +303,10 @@ def test_canonical(spark):
     for scorer in (best_indel, best_levenshtein):
         got = {r["v"]: r["canonical"] for r in canonicalize(df, "v", ["LARGE", "STANDARD"], scorer).collect()}
         assert got == {"STANDAR": "STANDARD", "LARGE": "LARGE", "xyz": "xyz", None: None}
+
+
+def test_clean_sentences_keep_leading_digits(spark):
+    # Sentence 1 starts with "1": the index was once passed to trim as the characters to strip.
+    df = spark.createDataFrame([("A. 1683 B.\nC! 0 D.",)], "text string")
+    got = df.select(chunking.context_budget(tx.clean_sentences(F.col("text"))).alias("s")).first().s
+    assert got == ["A.", "1683 B.", "C!", "0 D."]
