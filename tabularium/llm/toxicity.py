@@ -167,19 +167,33 @@ def fit(toxic: list[str], ordinary: list[str], calibration: list[tuple[str, int]
     return Model((plain, marked), mean, scale, _regression((x - mean) / scale, y))
 
 
-def fit_labelled(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on bounded samples of the labelled rows that are not held out."""
-    fold = _fold(F.col("doc_id"))
+def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """part, text and toxic of the rows fitting takes: in each part the first by a hash of the id, ties by text.
+
+    The ids of all labelled rows give the last hash that each part takes; only the texts of rows
+    up to it meet their labels, so no other text is shuffled.
+    """
+    fold, rank = _fold(F.col("doc_id")), F.xxhash64("doc_id")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known.where(fold != 0), "doc_id")
-    rows = rows.select(fold.alias("fold"), F.xxhash64("doc_id").alias("rank"), "text", "toxic")
+    known = known.where(fold != 0)
+    parts = [("calibration", F.col("fold") > 2, CALIBRATION_DOCS)]
+    parts += [("dictionary", F.col("fold").isin(1, 2) & (F.col("toxic") == label), n) for label, n in DICTIONARY_DOCS.items()]
+    keys = docs.select("doc_id").join(known, "doc_id").select(fold.alias("fold"), rank.alias("rank"), "toxic")
+    cuts = [keys.where(where).orderBy("rank").limit(n).agg(F.max("rank").alias("cut")).select(F.lit(k).alias("k"), "cut") for k, (_, where, n) in enumerate(parts)]
+    cut = dict(cuts[0].union(cuts[1]).union(cuts[2]).collect())
+
+    sample = None
+    for k, (part, where, n) in enumerate(parts):
+        rows = docs.where(rank <= F.lit(cut[k]).cast("long")).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+        rows = rows.select(fold.alias("fold"), rank.alias("rank"), "text", "toxic").where(where)
+        first = rows.orderBy("rank", "text").limit(n).select(F.lit(part).alias("part"), "text", "toxic")
+        sample = first if sample is None else sample.union(first)
+    return sample
 
-    def first(part: str, where, n: int) -> DataFrame:
-        return rows.where(where).orderBy("rank", "text").limit(n).select(F.lit(part).alias("part"), "text", "toxic")
 
-    sample = first("calibration", F.col("fold") > 2, CALIBRATION_DOCS)
-    for label, n in DICTIONARY_DOCS.items():
-        sample = sample.union(first("dictionary", F.col("fold").isin(1, 2) & (F.col("toxic") == label), n))
+def fit_labelled(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on bounded samples of the labelled rows that are not held out."""
+    sample = labelled_sample(docs, labels)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict = {("dictionary", 0): [], ("dictionary", 1): []}
