@@ -155,15 +155,29 @@ def _sketch(docs: DataFrame, terms: np.ndarray, idf: np.ndarray, omega: np.ndarr
     return out
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]]) -> Space | None:
-    """The latent space of one block of items over all documents."""
+def item_terms(items: list[tuple[int, str]]) -> np.ndarray:
+    """Sorted hashes of the words and word pairs of the items."""
     w = W.split(pa.array([t for _, t in items], pa.string()))
     hashed = W.hashes(w, fold=True)
     _, pair = W.windows(w, hashed, 2)
-    terms = np.unique(np.concatenate([hashed, pair]))
+    return np.unique(np.concatenate([hashed, pair]))
+
+
+def fit(docs: DataFrame, items: list[tuple[int, str]], counted: tuple[np.ndarray, np.ndarray, int] | None = None) -> Space | None:
+    """The latent space of one block of items over all documents.
+
+    ``counted`` may give sorted terms that hold the block's, with their frequencies and the number
+    of half passages, so that blocks share one pass; each term is counted alone, so alike.
+    """
+    w = W.split(pa.array([t for _, t in items], pa.string()))
+    hashed = W.hashes(w, fold=True)
+    terms = item_terms(items)
     if not len(terms):
         return None
-    df, halves = _frequencies(docs, terms)
+    if counted is None:
+        df, halves = _frequencies(docs, terms)
+    else:
+        df, halves = counted[1][np.searchsorted(counted[0], terms)], counted[2]
     frequent = (df > max(20, MAX_SHARE * halves)) & np.isin(terms, hashed)
     idf = np.where(frequent, 0.0, np.log((halves + 1) / (df + 1)) + 1)
     at, term = _terms(w, hashed, terms)
@@ -208,6 +222,10 @@ def leaks(w: W.Words, hashed: np.ndarray, space: Space) -> dict[tuple[int, int],
         a = max(w.first[key[0]], first - len(item))
         b = min(w.first[key[0] + 1], first + 2 * HALF + len(item))
         near = hashed[a:b].tolist()
+        # The item's words found in the window bound the common subsequence from above.
+        inside = set(near)
+        if 100 * sum(x in inside for x in item) < LCS_PERCENT * len(item):
+            continue
         shared = common_subsequence(item, near)
         if key in out and out[key][0] >= shared:
             continue
@@ -221,7 +239,13 @@ def _spaces(docs: DataFrame, benchmark: DataFrame) -> list[Space]:
     """Latent spaces of the items, block by block; the benchmark is a stated set of queries."""
     rows = benchmark.where("item_id is not null").select("item_id", F.coalesce("text", F.lit("")).alias("text")).orderBy("item_id", "text").collect()
     items = [(r.item_id, r.text) for r in rows]
-    found = [fit(docs.select("text"), items[k : k + BLOCK]) for k in range(0, len(items), BLOCK)]
+    blocks = [items[k : k + BLOCK] for k in range(0, len(items), BLOCK)]
+    every = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(item_terms, blocks)]))
+    if not len(every):
+        return []
+    # One pass counts the terms of all blocks.
+    counted = (every, *_frequencies(docs.select("text"), every))
+    found = [fit(docs.select("text"), block, counted) for block in blocks]
     return [s for s in found if s is not None]
 
 

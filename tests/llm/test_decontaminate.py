@@ -69,3 +69,44 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     assert decontaminate.find_leaks(some, bench.limit(0)).count() == 0
     assert decontaminate.drop_leaks(some, bench).count() == 0
+
+
+def test_windows_without_enough_item_words_skip_the_subsequence(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tabularium.llm import words as W
+
+    item = " ".join(f"item{k}" for k in range(20))
+    w = W.split(pa.array([item], pa.string()))
+    hashed = W.hashes(w, fold=True)
+    terms = np.unique(hashed)
+    latent = np.ones((1, len(terms)), np.float32) / np.sqrt(len(terms))
+    space = decontaminate.Space([7], [[int(h) for h in hashed]], terms, np.ones(len(terms)), np.eye(len(terms), dtype=np.float32), latent)
+    half = " ".join(f"item{k}" for k in range(10)) + " other words here"
+    texts = pa.array([half, "lead in " + item + " and more"], pa.string())
+    calls = []
+    plain = decontaminate.common_subsequence
+    monkeypatch.setattr(decontaminate, "common_subsequence", lambda a, b: calls.append(1) or plain(a, b))
+    w = W.split(texts)
+    found = decontaminate.leaks(w, W.hashes(w, fold=True), space)
+    assert list(found) == [(1, 0)] and found[1, 0][0] == 20
+    assert len(calls) == 2  # the leak and its answer; the half passage is bounded out
+
+
+def test_blocks_share_one_frequency_pass(spark, monkeypatch):
+    import numpy as np
+
+    texts = [" ".join(f"w{(d * 7 + k) % 500}" for k in range(90)) for d in range(60)]
+    docs = spark.createDataFrame([(d, t) for d, t in enumerate(texts)], "doc_id long, text string")
+    items = [(k, " ".join(f"w{(k * 3 + j) % 500}" for j in range(12))) for k in range(decontaminate.BLOCK + 5)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plain = decontaminate._frequencies
+    calls = []
+    monkeypatch.setattr(decontaminate, "_frequencies", lambda d, t: calls.append(len(t)) or plain(d, t))
+    spaces = decontaminate._spaces(docs, bench)
+    assert len(calls) == 1 and len(spaces) == 2
+    for space, k in zip(spaces, (0, decontaminate.BLOCK)):
+        alone = decontaminate.fit(docs.select("text"), items[k : k + decontaminate.BLOCK])
+        assert np.array_equal(space.terms, alone.terms) and np.array_equal(space.idf, alone.idf)
+        assert np.allclose(space.basis, alone.basis) and np.allclose(space.latent, alone.latent)
