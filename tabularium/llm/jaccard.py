@@ -15,8 +15,10 @@ with fewer words, the whole sequence is the one shingle. Documents link when
    bound the overlap from above. Survivors meet in an exact sorted-array intersection.
 5. Components of the links so far. Tiles that still hold several components are cut into blocks
    of bounded size, where the members outside the tile's largest component are tested against
-   all others by brief bitmaps: only such pairs can still connect anything, so no link between
-   components is lost, copies are never paired again, and pairs that fail never become rows.
+   all others, by brief bitmaps and then exactly: only such pairs can still connect anything, so
+   no link between components is lost and copies are never paired again. A block keeps its
+   components in a union-find and yields only links that join two of them, so no block yields
+   more rows than it has members, however large its groups of copies.
 
 Null and empty texts have an empty set, no links, and are their own component. Repeated rows
 share a class. Rows with a null id get their class's component (null if no row of it has an id).
@@ -176,19 +178,48 @@ def _block_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray,
     return i[good], j[good]
 
 
+def _links(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sets, sorted hashes as bytes, link."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    at = np.searchsorted(a, b)
+    both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _block_links(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the links of one block that join two of its components, fewer than its rows."""
+    i, j = _block_pairs(rows, percent)
+    comp = np.unique(rows["component"], return_inverse=True)[1].tolist()
+    root = list(range(max(comp, default=-1) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    sets, good = rows["shingles"], []
+    for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+        p, q = find(comp[x]), find(comp[y])
+        if p != q and _links(sets[x], sets[y], percent):
+            root[max(p, q)] = min(p, q)
+            good.append(k)
+    return i[good], j[good]
+
+
 def _paired(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of members of a tile that may still link, found block by block.
+    """(a, b) of members of a tile that link and join two components, found block by block.
 
     A tile's members are dealt into groups of about ``TILE_ROWS`` and every two groups meet in
     one block, so a tile of any size is spread over many tasks, none holds more than a block,
-    and only pairs that pass the test become rows.
+    and only links that join two components of a block become rows.
     """
     group = F.pmod(F.xxhash64("a"), F.col("groups"))
     dealt = members.withColumn("group", group).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     low, high = F.least("group", "other"), F.greatest("group", "other")
     side = F.when(low == high, 0).when(F.col("group") == low, 1).otherwise(2)
     block = F.xxhash64("shingle", "tile", low, high)
-    names = ["block", "side", "a", "n", "component", "own", "outside", "brief"]
+    names = ["block", "side", "a", "n", "component", "own", "outside", "brief", "shingles"]
     dealt = dealt.withColumn("block", block).withColumn("side", side).select(*names)
 
     def test(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -196,7 +227,7 @@ def _paired(members: DataFrame, percent: int) -> DataFrame:
         edges = np.flatnonzero(np.diff(rows["block"])) + 1
         for start, stop in zip([0, *edges], [*edges, len(rows["block"])]):
             if stop - start > 1:
-                i, j = _block_pairs({c: v[start:stop] for c, v in rows.items()}, percent)
+                i, j = _block_links({c: v[start:stop] for c, v in rows.items()}, percent)
                 pairs.append((rows["a"][start + i], rows["a"][start + j]))
         x, y = (np.concatenate(side) for side in zip(*pairs))
         return pa.record_batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
@@ -206,8 +237,9 @@ def _paired(members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names[:-1]}
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names[:-2]}
             rows["brief"] = np.frombuffer(b"".join(batch.column("brief").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            rows["shingles"] = np.array(batch.column("shingles").to_pylist() + [None], object)[:-1]
             if held is not None:
                 rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
             last = int(np.searchsorted(rows["block"], rows["block"][-1]))  # its block may go on
@@ -241,8 +273,8 @@ def _bounded(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return _with(pairs, reps, ["n", "bitmap"]).mapInArrow(run, "a long, b long")
 
 
-def _arrays(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the documents in ``pairs``: sorted hashes as bytes."""
+def _arrays(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) of the documents of ``ids`` (id): sorted hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,8 +282,7 @@ def _arrays(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
                 raw = [found[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
                 yield pa.record_batch({"id": part.column("id"), "shingles": pa.array(raw, pa.binary())})
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    found = docs.join(ends, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+    found = docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
     return found.dropDuplicates(["id"])
 
 
@@ -260,15 +291,12 @@ def _exact(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.searchsorted(a, b)
-                both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
+            ends = zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist())
+            good = [_links(x, y, percent) for x, y in ends]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return _with(pairs, stored(_arrays(docs, pairs, width), "arrays"), ["shingles"]).mapInArrow(run, "a long, b long")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return _with(pairs, stored(_arrays(docs, ends, width), "arrays"), ["shingles"]).mapInArrow(run, "a long, b long")
 
 
 def _bands(n, percent: int):
@@ -312,10 +340,11 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
         F.ceil(F.sum("size") / TILE_ROWS).alias("groups"),
     )
     placed = placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]).withColumn("outside", F.col("component") != F.col("main"))
+    placed = stored(placed, "placed")
     brief = facts.select(F.col("id").alias("a"), "brief").join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").dropDuplicates(["a"])
+    sets = _arrays(docs, placed.select(F.col("a").alias("id")).distinct(), width).withColumnRenamed("id", "a")
     # Two members of one band share two tiles and meet in the lower, where they are at home.
-    rest = _paired(placed.join(brief, "a"), percent)
-    more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
+    more = _paired(placed.join(brief, "a").join(stored(sets, "arrays"), "a"), percent)
     found = components(links.union(more))
 
     classes = reps.select(*same, F.col("id").alias("class_id"), "copies").join(found.withColumnRenamed("id", "class_id"), "class_id", "left")

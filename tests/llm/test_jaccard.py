@@ -129,3 +129,16 @@ def test_tiles_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE_ROWS", 2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(docs, 4, 85).collect()}
     assert got == brute(rows, 4, 85)
+
+
+def test_blocks_yield_only_links_that_join_components(spark):
+    """40 equal sets in 40 components and 10 that pass the brief bitmaps only: 39 links, not 1,225 pairs."""
+    brief = bytes(jaccard.BRIEF // 8)
+    equal = np.array([11, 22, 33, 44], np.uint64).tobytes()
+    rows = [(7, 0, a, 4, a, True, a > 0, 1, brief, equal) for a in range(40)]
+    rows += [(7, 0, a, 4, a, True, True, 1, brief, np.arange(4 * a, 4 * a + 4, dtype=np.uint64).tobytes()) for a in range(40, 50)]
+    schema = "shingle long, tile int, a long, n long, component long, own boolean, outside boolean, groups long, brief binary, shingles binary"
+    pairs = jaccard._paired(spark.createDataFrame(rows, schema), 85)
+    got = pairs.collect()
+    assert len(got) == 39 and all(r.a < 40 and r.b < 40 for r in got)
+    assert {r.id: r.component for r in components(pairs).collect()} == {a: 0 for a in range(1, 40)}
