@@ -207,12 +207,13 @@ def _block_links(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray,
     return i[good], j[good]
 
 
-def _paired(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of members of a tile that link and join two components, found block by block.
+def _paired(members: DataFrame, percent: int, exact: bool = True) -> DataFrame:
+    """(a, b) of members of a tile that may link, found block by block.
 
     A tile's members are dealt into groups of about ``TILE_ROWS`` and every two groups meet in
-    one block, so a tile of any size is spread over many tasks, none holds more than a block,
-    and only links that join two components of a block become rows.
+    one block, so a tile of any size is spread over many tasks and none holds more than a block.
+    With ``exact``, only links that join two components of a block become rows; otherwise the
+    pairs that pass the brief bitmaps do (``shingles`` may then be null).
     """
     group = F.pmod(F.xxhash64("a"), F.col("groups"))
     dealt = members.withColumn("group", group).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
@@ -227,7 +228,7 @@ def _paired(members: DataFrame, percent: int) -> DataFrame:
         edges = np.flatnonzero(np.diff(rows["block"])) + 1
         for start, stop in zip([0, *edges], [*edges, len(rows["block"])]):
             if stop - start > 1:
-                i, j = _block_links({c: v[start:stop] for c, v in rows.items()}, percent)
+                i, j = (_block_links if exact else _block_pairs)({c: v[start:stop] for c, v in rows.items()}, percent)
                 pairs.append((rows["a"][start + i], rows["a"][start + j]))
         x, y = (np.concatenate(side) for side in zip(*pairs))
         return pa.record_batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
@@ -299,6 +300,11 @@ def _exact(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     return _with(pairs, stored(_arrays(docs, ends, width), "arrays"), ["shingles"]).mapInArrow(run, "a long, b long")
 
 
+def brief_of(facts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(a, brief) of every representative."""
+    return facts.select(F.col("id").alias("a"), "brief").join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").dropDuplicates(["a"])
+
+
 def _bands(n, percent: int):
     """Band of a size: sizes that may link are in one band or in neighbouring ones."""
     return F.floor(F.log(n.cast("double")) / float(np.log(100 / percent))).cast("int")
@@ -340,11 +346,16 @@ def link_documents(docs: DataFrame, width: int = 4, percent: int = 85, key: str
         F.ceil(F.sum("size") / TILE_ROWS).alias("groups"),
     )
     placed = placed.join(main.where("parts > 1").drop("parts"), ["shingle", "tile"]).withColumn("outside", F.col("component") != F.col("main"))
-    placed = stored(placed, "placed")
-    brief = facts.select(F.col("id").alias("a"), "brief").join(chosen.withColumnRenamed("id", "a"), "a", "left_semi").dropDuplicates(["a"])
-    sets = _arrays(docs, placed.select(F.col("a").alias("id")).distinct(), width).withColumnRenamed("id", "a")
+    placed = placed.join(brief_of(facts, chosen), "a")
+    # Tiles of one group: pairs that pass the brief bitmaps, then bitmaps and exact intersection.
+    # Larger tiles, where pairs grow with the square of their size, test exactly in the block.
+    small = placed.where("groups = 1").withColumn("shingles", F.lit(None).cast("binary"))
+    large = placed.where("groups > 1")
+    sets = _arrays(docs, large.select(F.col("a").alias("id")).distinct(), width).withColumnRenamed("id", "a")
     # Two members of one band share two tiles and meet in the lower, where they are at home.
-    more = _paired(placed.join(brief, "a").join(stored(sets, "arrays"), "a"), percent)
+    rest = _paired(small, percent, exact=False)
+    more = _exact(stored(_bounded(rest, bitmaps, percent), "bounded"), docs, width, percent)
+    more = more.union(_paired(large.join(stored(sets, "arrays"), "a"), percent))
     found = components(links.union(more))
 
     classes = reps.select(*same, F.col("id").alias("class_id"), "copies").join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
