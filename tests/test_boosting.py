@@ -1,6 +1,7 @@
 """Boosted trees against a plain reference that grows one split at a time over all rows."""
 
 import math
+import pathlib
 
 import numpy as np
 import pandas as pd
@@ -123,3 +124,62 @@ def test_degenerate_tables(spark):
     empty = b.fit_boosted(df.limit(0), ["a", "b"], "y", F.lit(False), rounds=5)
     assert empty.base == 0.0 and empty.trees == [] and len(empty.nodes()) == 0
     assert b.fit_boosted(df, ["a", "b"], "y", F.lit(True), rounds=5).base == 0.0
+
+
+def kept_part(tmp_path, monkeypatch, trees=()):
+    """A partition in files, with a third of its rows held."""
+    monkeypatch.setenv("SPARK_LOCAL_DIRS", str(tmp_path))
+    monkeypatch.setattr(b, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(3)
+    bins, y, held = rng.integers(0, 9, (2, 300)).astype(np.uint8), rng.normal(0, 5, 300), np.arange(300) % 3 == 0
+    blocks = [b.Block(bins[:, k : k + 70], y[k : k + 70], held[k : k + 70], np.full(len(y[k : k + 70]), 0.5)) for k in range(0, 300, 70)]
+    ((folder, sizes),) = b._Part.keep(0, blocks)
+    return (bins, y, held), lambda trees: b._Part(folder, sizes, 2, trees, 0.001)
+
+
+def test_a_step_reads_the_rows_beside_it_and_walks_no_finished_tree(tmp_path, monkeypatch):
+    (bins, y, held), part = kept_part(tmp_path, monkeypatch)
+    tree = b.Tree(np.array([1, 0, 0]), np.array([3, b.BINS, b.BINS]), np.array([1, 1, 2]), np.array([0.0, 1.5, -2.0]), np.zeros(3), 1)
+    sent = b.pickle.dumps(tuple(tree))
+    hist, losses = part([sent]).root(None, None, (2, 9))
+    rest = y - 0.5 - np.where(bins[1] <= 3, 1.5, -2.0)
+    np.testing.assert_allclose(losses, [(rest[~held] ** 2).sum(), 200, (rest[held] ** 2).sum(), 100, 0])
+    whole = np.rint(rest[~held] / 0.001)
+    assert (hist[:, 1, 5] == [(bins[1, ~held] == 5).sum(), whole[bins[1, ~held] == 5].sum()]).all()
+    tables = np.array([0, b.BINS, b.BINS]), np.array([4, b.BINS, b.BINS]), np.array([1, 1, 2])
+    walk = b._Walk(1, 1, tables, 1, tables)
+    got, _ = part([b"not a tree"]).sums(walk, [2], (2, 9))  # the state after one tree is there
+    mine = bins[0, ~held] > 4
+    assert (got[0, 0, 1] == np.bincount(bins[1, ~held][mine], minlength=9)).all()
+    assert (got[1, 0, 1] == np.bincount(bins[1, ~held][mine], whole[mine], 9)).all()
+
+
+@pytest.mark.parametrize("kind", ["state", "at", "folder"])
+def test_lost_files_change_nothing(frame, monkeypatch, kind):
+    _, df = frame
+    held = F.col("id") % 4 == 0
+    shape = dict(rounds=6, rate=0.3, leaves=6, depth=4, edges=b.even_edges, bins=20)
+    want = b.fit_boosted(df, NAMES, "y", held, **shape)
+    monkeypatch.setattr(b, "TASK_ROWS", 300)
+    monkeypatch.setattr(b, "BLOCK_ROWS", 100)
+    calls, seen = {"root": 0, "sums": 0}, []
+
+    def lose(self, name):
+        calls[name] += 1
+        folders = [f for f, _ in self.parts.collect()]
+        seen.append(len(folders))
+        if kind == "folder" and calls["root"] == 3:
+            b.shutil.rmtree(folders[0], ignore_errors=True)
+        elif kind != "folder" and calls[name] % 2 == 0:
+            for path in pathlib.Path(folders[-1]).glob(f"{kind}-*"):
+                path.unlink()
+
+    for name in ("root", "sums"):
+        old = getattr(b._Files, name)
+        monkeypatch.setattr(b._Files, name, lambda self, *a, old=old, name=name: (lose(self, name), old(self, *a))[1])
+    got = b.fit_boosted(df, NAMES, "y", held, **shape)
+    assert max(seen) > 1 and len(got.trees) == len(want.trees) == 6
+    for s, t in zip(got.trees, want.trees):
+        assert (s.feature == t.feature).all() and (s.cut == t.cut).all() and (s.cover == t.cover).all()
+        np.testing.assert_allclose(s.value, t.value, rtol=1e-12)
+    np.testing.assert_allclose([h[1:] for h in got.history], [h[1:] for h in want.history], rtol=1e-9)
